@@ -25,7 +25,7 @@ from loomwork.operators import scan
 from loomwork.session import materialize
 
 MONEY = "decimal(28,2)"
-FAR = 10 ** 20  # beyond any balance
+FAR = Decimal(10) ** 20  # beyond any balance
 OPS_PER_SEGMENT = 100_000
 
 SUMMARY_NAMES = ["entry", "change", "low", "high", "accepted", "rejected"]
@@ -195,5 +195,6 @@ def apply_positional_ops(accounts: DataFrame, amounts: DataFrame, op: str) -> Da
     allowed = (amount >= 0) if op == "deposit" else (amount >= 0) & (after >= F.col("minimal"))
     done = F.coalesce(allowed, F.lit(False))
     return (accounts.join(amounts.select("idx", "amount"), "idx", "left")
-            .withColumn("balance", F.when(done, after).otherwise(F.col("balance")).cast("decimal(18,2)"))
-            .withColumn(f"{op}_done", done).drop("amount"))
+            .withColumn(f"{op}_done", done)
+            .withColumn("balance", F.when(F.col(f"{op}_done"), after).otherwise(F.col("balance"))
+                        .cast("decimal(18,2)")).drop("amount"))

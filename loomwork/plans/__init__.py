@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def catalog():
     """The registry with all queries loaded."""
-    from loomwork.plans import joins, registry, sources  # noqa: F401
+    from loomwork.plans import aggregates, joins, ordered, pictures, registry, sources, texts, vectors  # noqa: F401
 
     return registry.REGISTRY

@@ -116,13 +116,13 @@ PIXELS = """px AS (SELECT vec_id AS id, ((k - 1) // 8)::INTEGER AS i, ((k - 1) %
 
 def coin(*parts: str) -> str:
     """SQL of the uniform draw for these parts (SQL expressions)."""
-    joined = " || ':' || ".join(f"({p})" for p in parts)
+    joined = " || ':' || ".join(f"({p})::VARCHAR" for p in parts)
     return f"(('0x' || substr(md5({joined}), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
 def draw(limit: str, *parts: str) -> str:
     """SQL of the integer draw 0..limit."""
-    joined = " || ':' || ".join(f"({p})" for p in parts)
+    joined = " || ':' || ".join(f"({p})::VARCHAR" for p in parts)
     return f"(('0x' || substr(md5({joined}), 1, 8))::BIGINT % (({limit}) + 1))"
 
 
