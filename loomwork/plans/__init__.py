@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def catalog():
     """The registry with all queries loaded."""
-    from loomwork.plans import aggregates, joins, ordered, pictures, registry, sources, texts, vectors  # noqa: F401
+    from loomwork.plans import (  # noqa: F401
+        aggregates, jobs, joins, ordered, pictures, registry, sources, texts, vectors)
 
     return registry.REGISTRY

@@ -58,17 +58,21 @@ def chat_records(spark: SparkSession, folder: str) -> DataFrame:
     return chat.nest_turns(chat_turns(spark, folder))
 
 
-def account_ops(spark: SparkSession, folder: str) -> DataFrame:
+def as_account_ops(events: DataFrame) -> DataFrame:
     """Events as account operations: (account, ts, id, op, amount)."""
     kind = F.col("event_type")
     amount = F.col("value").cast("decimal(18,2)")
-    return (load(spark, folder, "events").where(kind.isin("signup", "purchase", "error"))
+    return (events.where(kind.isin("signup", "purchase", "error"))
             .select(F.col("user_id").alias("account"), micros().alias("ts"),
                     F.col("event_id").alias("id"),
                     F.when(kind == "purchase", "withdraw").otherwise("deposit").alias("op"),
                     F.when(kind == "error", -amount).otherwise(amount).alias("amount")))
 
 
+def account_ops(spark: SparkSession, folder: str) -> DataFrame:
+    return as_account_ops(load(spark, folder, "events"))
+
+
 def page_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, url, anchors) with every anchor of the page in document order."""
     return load(spark, folder, "pages").select(

@@ -26,7 +26,8 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    # Written as a glob: the file source takes a single file only that way.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run_available(writer, checkpoint: str) -> None:
@@ -73,6 +74,12 @@ def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00",
         lambda batch, n: sinks.save_snapshot(batch, out, n)), checkpoint)
 
 
+def latest_states(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """State of each key after the last batch that changed it."""
+    keys = spark.read.option("basePath", out).parquet(f"{out}/version=*").select(key).distinct()
+    return sinks.restore_snapshot(spark, out, keys, key).drop("version")
+
+
 def counter_stream(rows: DataFrame, key: str, out: str, checkpoint: str) -> None:
     """Running count per key; ``out`` gets the changed counts of each batch."""
     counted = rows.groupBy(key).agg(F.count("*").alias("calls"))
