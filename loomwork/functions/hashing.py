@@ -18,19 +18,25 @@ def digest(*parts) -> Column:
     return F.md5(F.concat_ws(":", *[c.cast("string") for c in columns]))
 
 
-def _leading_number(hexed: Column) -> Column:
-    return F.conv(F.substring(hexed, 1, 8), 16, 10).cast("long")
+def number_in(hexed: Column, group: int = 0) -> Column:
+    """The group-th eight digits of a digest as a number (four groups, from 0)."""
+    return F.conv(F.substring(hexed, 8 * group + 1, 8), 16, 10).cast("long")
+
+
+def share_of(hexed: Column, group: int = 0) -> Column:
+    """The same digits as a double in [0, 1)."""
+    return number_in(hexed, group).cast("double") / F.lit(SPAN)
 
 
 def coin(*parts) -> Column:
     """Uniform double in [0, 1)."""
-    return _leading_number(digest(*parts)).cast("double") / F.lit(SPAN)
+    return share_of(digest(*parts))
 
 
 def draw_int(limit, *parts) -> Column:
     """Integer in 0..limit, limit included."""
     top = limit if isinstance(limit, Column) else F.lit(int(limit))
-    return _leading_number(digest(*parts)) % (top.cast("long") + F.lit(1))
+    return number_in(digest(*parts)) % (top.cast("long") + F.lit(1))
 
 
 def draw_between(low: float, high: float, *parts) -> Column:

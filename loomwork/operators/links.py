@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import shared_dir
+from loomwork.session import materialize, shared_dir
 
 DEFAULT_LINKS = 4  # fixed value: the cap of pages found by the crawl itself
 
@@ -64,15 +64,18 @@ def crawl_bounded(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_dept
     Only known pages count.  With ``dedup`` a page has one row, its least depth.
     """
     known = pages.select("url").distinct()
-    seed_edges = follow_cap(edges, max_links).select("src", "dst")
-    later_edges = (seed_edges if max_links == DEFAULT_LINKS
-                   else follow_cap(edges, DEFAULT_LINKS).select("src", "dst"))
+
+    def into_known(max_links: int) -> DataFrame:
+        """Followed edges whose target is a known page, written once for all levels."""
+        capped = follow_cap(edges, max_links).select("src", "dst")
+        return materialize(capped.join(known, capped["dst"] == known["url"], "left_semi"), "edges")
+    seed_edges = into_known(max_links)
+    later_edges = seed_edges if max_links == DEFAULT_LINKS else into_known(DEFAULT_LINKS)
     level = (seeds.groupBy("url").agg(F.count("*").alias("copies"))
              .join(known, "url", "left_semi").select("url", F.lit(0).alias("depth"), "copies"))
     levels = [level]
     for depth in range(max_depth + 1):
-        found = expand_links(level, seed_edges if depth == 0 else later_edges)
-        level = found.join(known, "url", "left_semi")
+        level = expand_links(level, seed_edges if depth == 0 else later_edges)
         if depth % 3 == 2:  # long crawls: cut the lineage
             shared_dir(seeds.sparkSession)
             level = level.checkpoint()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.splits import best_per_group
-from loomwork.session import shared_dir
+from loomwork.session import materialize, shared_dir
 
 
 def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
@@ -17,8 +17,8 @@ def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
     The experience is summed once per (state, action, next_state); the sweeps
     work on those sums, whose number does not grow with the rows.
     """
-    moves = rows.groupBy("state", "action", "next_state").agg(
-        F.count("*").alias("n"), F.sum("reward").alias("r"))
+    moves = materialize(rows.groupBy("state", "action", "next_state").agg(
+        F.count("*").alias("n"), F.sum("reward").alias("r")), "moves")
     q = moves.select("state", "action").distinct().withColumn("q", F.lit(0.0))
     for sweep in range(sweeps):
         best = q.groupBy(F.col("state").alias("next_state")).agg(F.max("q").alias("best"))

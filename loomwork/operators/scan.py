@@ -69,6 +69,35 @@ def dense_index(df: DataFrame, order: list[str], lead: Column | None = None,
     return _index_in_blocks(with_blocks(df, lead, cuts), [F.col(c) for c in order], name), rows
 
 
+def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataFrame,
+                    name: str = "idx", next_name: str = "next",
+                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Add 0..n-1 in ``order`` and the next row's ``value``; the last row gets the first one's.
+
+    Blocks are cut on ``order[0]`` by the rows of ``sized_by``, a frame that has
+    that column and is cheap to count.  One shuffle serves rank and neighbour.
+    """
+    lead = F.col(order[0])
+    cuts = cut_points(sized_by, lead, block_count(sized_by.count(), rows_per_block))
+    blocked = with_blocks(df, lead, cuts)
+    inside = Window.partitionBy(_BLK).orderBy(*order)
+    along = Window.orderBy(_BLK)
+    # One row per block.
+    heads = blocked.groupBy(_BLK).agg(
+        F.count("*").alias("_n"), F.min_by(value, F.struct(*order)).alias("_head"))
+    heads = heads.select(
+        _BLK, F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)),
+                         F.lit(0)).alias("_start"),
+        F.coalesce(F.lead("_head").over(along), F.first("_head").over(
+            along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_after"))
+    ranked = blocked.withColumns({"_rank": F.row_number().over(inside),
+                                  next_name: F.lead(value).over(inside)})
+    return (ranked.join(heads, _BLK)
+            .withColumn(name, (F.col("_start") + F.col("_rank") - 1).cast("long"))
+            .withColumn(next_name, F.coalesce(next_name, "_after"))
+            .drop(_BLK, "_rank", "_start", "_after"))
+
+
 def hash_index(df: DataFrame, hashed: str, ties: list[str], name: str = "idx",
                rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, int]:
     """Add 0..n-1 in the order of a hex digest column.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.functions.hashing import digest
+from loomwork.functions.hashing import digest, draw_int
 from loomwork.operators import scan
 
 _H = "_digest"
@@ -75,8 +75,7 @@ def sample_with_replacement(df: DataFrame, key: str, draws: int, seed: int,
     indexed, rows = scan.dense_index(df, [key], rows_per_block=rows_per_block)
     picks = df.sparkSession.range(draws).select(
         F.col("id").alias("draw"),
-        (F.conv(F.substring(digest(F.col("id"), seed), 1, 8), 16, 10).cast("long")
-         % F.lit(rows)).alias("idx"))
+        draw_int(rows - 1, F.col("id"), seed).alias("idx"))
     return indexed.join(F.broadcast(picks), "idx").drop("idx")  # picks: ``draws`` rows
 
 

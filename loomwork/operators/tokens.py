@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions import text as tx
 from loomwork.functions.arrays import let
-from loomwork.functions.hashing import coin, digest, draw_int
+from loomwork.functions.hashing import coin, digest, share_of
 from loomwork.operators import counts, scan
 
 PAD, UNK, SEP, MASK = 0, 1, 2, 3
@@ -28,20 +28,19 @@ def build_vocab(df: DataFrame, column: str, size: int = VOCAB_SIZE) -> DataFrame
 
 
 def encode(df: DataFrame, key: str, tokens: Column, vocab: DataFrame,
-           max_length: int | None = None) -> DataFrame:
-    """Add ``ids ARRAY<INT>``; words outside the vocabulary become UNK.
+           max_length: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, keep..., ids ARRAY<INT>); words outside the vocabulary become UNK.
 
-    Every row keeps its words together, so the lists are built before the shuffle.
+    ``key`` identifies a row and ``keep`` are further columns of it.  A row's
+    words stay together, so its list is built before the shuffle.
     """
     shown = tokens if max_length is None else F.slice(tokens, 1, max_length)
-    words = df.select(key, F.posexplode(shown).alias("pos", "word"))
+    words = df.select(key, *keep, F.posexplode_outer(shown).alias("pos", "word"))
     known = words.join(F.broadcast(vocab), "word", "left")  # VOCAB_SIZE rows at most
     token = F.when(F.col("word") == SEPARATOR, F.lit(SEP)).otherwise(F.coalesce("token_id", F.lit(UNK)))
-    lists = known.groupBy(key).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col("pos"), token.alias("t")))),
-        lambda e: e["t"]).alias("ids"))
-    empty = F.array().cast("array<int>")
-    return df.join(lists, key, "left").withColumn("ids", F.coalesce("ids", empty))
+    entry = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), token.alias("t")))
+    return known.groupBy(key, *keep).agg(F.transform(
+        F.array_sort(F.collect_list(entry)), lambda e: e["t"]).alias("ids"))
 
 
 def pad(ids: Column, length) -> Column:
@@ -55,9 +54,10 @@ def attention_mask(ids: Column, length) -> Column:
                     F.array_repeat(F.lit(0), F.greatest(F.lit(0), length - F.size(ids))))
 
 
-def encode_pad(df: DataFrame, key: str, column: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """Add input_ids and mask, both ``max_length`` long."""
-    encoded = encode(df, key, tx.lower_words(F.col(column)), vocab, max_length)
+def encode_pad(df: DataFrame, key: str, column: str, vocab: DataFrame, max_length: int,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, keep..., input_ids, mask), both lists ``max_length`` long."""
+    encoded = encode(df, key, tx.lower_words(F.col(column)), vocab, max_length, keep)
     length = F.lit(max_length)
     return (encoded.withColumn("input_ids", pad(F.col("ids"), length))
             .withColumn("mask", attention_mask(F.col("ids"), length)).drop("ids"))
@@ -82,14 +82,12 @@ def sentence_rows(df: DataFrame, key: str, column: str) -> DataFrame:
                      .alias("pos", "sentence"))
 
 
-def next_sentence_pairs(sentences: DataFrame, key: str,
+def next_sentence_pairs(df: DataFrame, key: str, column: str,
                         rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
-    """(key, pos, idx, pair): each sentence with the next one; the last with the first."""
-    indexed, rows = scan.dense_index(sentences, [key, "pos"], rows_per_block=rows_per_block)
-    before = F.pmod(F.col("idx") - 1, F.lit(max(rows, 1)))
-    after = indexed.select(before.alias("idx"), F.col("sentence").alias("_next"))
-    return indexed.join(after, "idx").select(
-        key, "pos", "idx", F.concat_ws(" [SEP] ", "sentence", "_next").alias("pair"))
+    """(key, pos, idx, pair): each sentence of all texts with the next one; the last with the first."""
+    paired = scan.index_with_next(sentence_rows(df, key, column), [key, "pos"], "sentence",
+                                  sized_by=df, next_name="_next", rows_per_block=rows_per_block)
+    return paired.select(key, "pos", "idx", F.concat_ws(" [SEP] ", "sentence", "_next").alias("pair"))
 
 
 def _first_separator(ids: Column) -> Column:
@@ -121,17 +119,19 @@ def mlm_mask(df: DataFrame, key: str, ids: str, seed: int, share: float = 0.15,
              vocab_size: int = VOCAB_SIZE, masked: float = 0.8, random: float = 0.1) -> DataFrame:
     """Pick ``share`` of the ordinary tokens as labels; of those ``masked`` become MASK,
     ``random`` a random word, and the rest stay."""
-    picked = F.transform(F.col(ids), lambda t, i: (t >= RESERVED) | (t == UNK))
-    chosen = F.zip_with(F.col(ids), picked, lambda t, ok: F.struct(t.alias("t"), ok.alias("ok")))
-    marked = F.transform(chosen, lambda e, i: F.struct(
-        e["t"].alias("t"), (e["ok"] & (coin(F.col(key), i, "pick", seed) < F.lit(share))).alias("on")))
-
-    def new_id(e, i):
-        u = coin(F.col(key), i, "kind", seed)
-        other = (draw_int(vocab_size - RESERVED - 1, F.col(key), i, "word", seed) + RESERVED).cast("int")
-        changed = F.when(u < F.lit(masked), F.lit(MASK)).when(u < F.lit(masked + random), other).otherwise(e["t"])
+    def draws(t, i):
+        # One digest per token; its first three groups of digits are the three draws.
+        return let(digest(F.col(key), i, seed), lambda h: F.struct(
+            t.alias("t"), (((t >= RESERVED) | (t == UNK)) & (share_of(h, 0) < F.lit(share))).alias("on"),
+            h.alias("h")))
+
+    def new_id(e):
+        kind = share_of(e["h"], 1)
+        other = (F.floor(share_of(e["h"], 2) * (vocab_size - RESERVED)) + RESERVED).cast("int")
+        changed = (F.when(kind < F.lit(masked), F.lit(MASK))
+                   .when(kind < F.lit(masked + random), other).otherwise(e["t"]))
         return F.when(e["on"], changed).otherwise(e["t"])
-    return (df.withColumn("_marked", marked)
+    return (df.withColumn("_marked", F.transform(F.col(ids), draws))
             .withColumn("masked_ids", F.transform("_marked", new_id))
             .withColumn("mlm_labels", F.transform("_marked", lambda e: F.when(
                 e["on"], e["t"]).otherwise(F.lit(IGNORED)))).drop("_marked"))

@@ -48,17 +48,17 @@ def _rounded(df, *columns):
 @query("word_count", """
 SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""")
 def word_count(spark, d):
-    return counts.word_count(t.load(spark, d, "documents"), "text")
+    return counts.word_count(t.texts(spark, d), "text")
 
 
 @query("word_count_lower", f"WITH {S.WORDS} SELECT word, count FROM counted")
 def word_count_lower(spark, d):
-    return counts.word_count_lower(t.load(spark, d, "documents"), "text").orderBy(F.desc("count"), "word")
+    return counts.word_count_lower(t.texts(spark, d), "text").orderBy(F.desc("count"), "word")
 
 
 @query("sort_top_k", f"WITH {S.WORDS} SELECT word, count FROM counted ORDER BY count DESC, word LIMIT 20")
 def sort_top_k(spark, d):
-    return splits.sort_top_k(counts.word_count_lower(t.load(spark, d, "documents"), "text"), "count", "word", 20)
+    return splits.sort_top_k(counts.word_count_lower(t.texts(spark, d), "text"), "count", "word", 20)
 
 
 @query("first_letter_partition", f"""
@@ -68,7 +68,7 @@ mapped AS (SELECT doc_id, (idx // ((SELECT count(*) FROM documents) // 3))::INTE
 SELECT mapper, (unicode(word) % 3)::INTEGER AS bucket, count(*) AS size FROM words JOIN mapped USING (doc_id)
 GROUP BY ALL""")
 def first_letter_partition(spark, d):
-    chunks = splits.chunk_partitions(t.load(spark, d, "documents").select("doc_id", "text"), "doc_id", 3)
+    chunks = splits.chunk_partitions(t.texts(spark, d), "doc_id", 3)
     return counts.block_sizes(chunks, F.col("chunk"), tx.lower_words(F.col("text")), 3)
 
 

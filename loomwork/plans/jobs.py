@@ -33,7 +33,7 @@ def _lines(row):
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM documents)
 SELECT doc_id, len(ws) AS words, coalesce(list_max(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS longest FROM w""")
 def map_rows(spark, d):
-    return inference.map_rows(t.load(spark, d, "documents").select("doc_id", "text"), _text_shape,
+    return inference.map_rows(t.texts(spark, d), _text_shape,
                               "doc_id long, words long, longest long")
 
 
@@ -41,7 +41,7 @@ def map_rows(spark, d):
 SELECT doc_id, unnest(range(len(l))) AS line, unnest(list_transform(l, lambda x: length(x)))::BIGINT AS n_chars
 FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)""")
 def flat_map_rows(spark, d):
-    return inference.flat_map_rows(t.load(spark, d, "documents").select("doc_id", "text"), _lines,
+    return inference.flat_map_rows(t.texts(spark, d), _lines,
                                    "doc_id long, line long, n_chars long")
 
 
@@ -77,7 +77,7 @@ SELECT doc_id, string_agg(word, ' ' ORDER BY first) AS summary,
   string_agg(coalesce(other, word), ' ' ORDER BY first) AS translation
 FROM kept LEFT JOIN french USING (word) GROUP BY doc_id HAVING count(*) >= 5""")
 def two_stage_inference(spark, d):
-    return inference.two_stage_inference(t.load(spark, d, "documents"), "doc_id", "text", FRENCH)
+    return inference.two_stage_inference(t.texts(spark, d), "doc_id", "text", FRENCH)
 
 
 @query("train_text_classifier")

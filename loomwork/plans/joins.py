@@ -103,7 +103,7 @@ def union_batches(spark, d):
 WITH {S.WORDS}
 SELECT word, count FROM counted""")
 def merge_reducers(spark, d):
-    parts = counts.word_count_lower(t.load(spark, d, "documents"), "text").withColumn(
+    parts = counts.word_count_lower(t.texts(spark, d), "text").withColumn(
         "bucket", tx.first_letter_bucket(F.col("word"), 3))
     return counts.merge_reducers(parts, "word", "count", "bucket")
 

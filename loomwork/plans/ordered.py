@@ -97,8 +97,7 @@ def conversation_history(spark, d):
 
 @query("next_sentence_pairs", f"WITH {S.PAIRS} SELECT doc_id, pos, idx, pair FROM pairs")
 def next_sentence_pairs(spark, d):
-    return tokens.next_sentence_pairs(
-        tokens.sentence_rows(t.load(spark, d, "documents"), "doc_id", "text"), "doc_id")
+    return tokens.next_sentence_pairs(t.texts(spark, d), "doc_id", "text")
 
 
 @query("split_three_way", """

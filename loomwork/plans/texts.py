@@ -24,7 +24,7 @@ def joined(ids):
 
 
 def _documents(spark, d):
-    return t.load(spark, d, "documents").select("doc_id", "text")
+    return t.texts(spark, d)
 
 
 @query("clean_special_chars", r"""
@@ -134,7 +134,7 @@ WITH {ENCODED} SELECT doc_id, label.quality AS label, array_to_string(input_ids,
 def encode_pad(spark, d):
     labelled = _documents(spark, d).join(
         t.load(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "left")
-    encoded = tokens.encode_pad(labelled, "doc_id", "text", _vocab(spark, d), 512)
+    encoded = tokens.encode_pad(labelled, "doc_id", "text", _vocab(spark, d), 512, keep=("label",))
     return encoded.select("doc_id", "label", joined("input_ids").alias("input_ids"), joined("mask").alias("mask"))
 
 
@@ -154,15 +154,16 @@ SELECT doc_id, batch_id, n, width,
   md5(array_to_string(list_concat(list_transform(range(n), lambda x: 1), list_transform(range(width - n), lambda x: 0)), ','))
     AS mask_md5 FROM wide""")
 def pad_to_longest(spark, d):
-    encoded = tokens.encode(_documents(spark, d), "doc_id", tx.lower_words(F.col("text")), _vocab(spark, d))
-    batched = splits.ordered_batches(encoded.select("doc_id", "ids"), "doc_id", 8)
-    return tokens.pad_to_longest(batched, "batch_id").select(
+    batched = splits.ordered_batches(_documents(spark, d), "doc_id", 8)
+    encoded = tokens.encode(batched, "doc_id", tx.lower_words(F.col("text")), _vocab(spark, d),
+                            keep=("batch_id",))
+    return tokens.pad_to_longest(encoded, "batch_id").select(
         "doc_id", "batch_id", F.size("ids").alias("n"), "width",
         F.md5(joined("input_ids")).alias("ids_md5"), F.md5(joined("mask")).alias("mask_md5"))
 
 
 def _encoded_pairs(spark, d):
-    pairs = tokens.next_sentence_pairs(tokens.sentence_rows(_documents(spark, d), "doc_id", "text"), "doc_id")
+    pairs = tokens.next_sentence_pairs(_documents(spark, d), "doc_id", "text")
     return tokens.encode(pairs.select("idx", "pair"), "idx", tx.lower_words(F.col("pair")),
                          _vocab(spark, d), 512).select("idx", "ids")
 
@@ -196,8 +197,10 @@ def first_segment_labels(spark, d):
 
 @query("mlm_mask", f"""
 WITH {S.ENCODED_PAIRS}, each AS (SELECT idx, unnest(ids) AS t, unnest(range(len(ids))) AS i FROM encoded),
-drawn AS (SELECT idx, i, t, t <> 2 AND {S.coin('idx', 'i', "'pick'", "'11'")} < 0.15 AS picked,
-  {S.coin('idx', 'i', "'kind'", "'11'")} AS u, 4 + {S.draw('30517', 'idx', 'i', "'word'", "'11'")} AS other FROM each)
+hashed AS (SELECT *, md5(idx || ':' || i || ':11') AS h FROM each),
+drawn AS (SELECT idx, i, t, t <> 2 AND ('0x' || h[1:8])::BIGINT / 4294967296.0::DOUBLE < 0.15 AS picked,
+  ('0x' || h[9:16])::BIGINT / 4294967296.0::DOUBLE AS u,
+  4 + floor(('0x' || h[17:24])::BIGINT / 4294967296.0::DOUBLE * 30518)::INTEGER AS other FROM hashed)
 SELECT idx, string_agg(CASE WHEN NOT picked THEN t WHEN u < 0.8 THEN 3 WHEN u < 0.9 THEN other ELSE t END::VARCHAR, ','
   ORDER BY i) AS masked_ids, string_agg(CASE WHEN picked THEN t ELSE -100 END::VARCHAR, ',' ORDER BY i) AS mlm_labels
 FROM drawn GROUP BY idx""")

@@ -15,6 +15,21 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table stored in fewer pieces than there are cores.
+
+    For work that is heavy per row (regular expressions over texts and pages).
+    A table of many row groups is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text) for work that is heavy per text."""
+    return spread(load(spark, folder, "documents").select("doc_id", "text"))
+
+
 def micros(ts: str = "ts") -> Column:
     """Microseconds since 1970 of a timestamp column, free of any time zone."""
     return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', "
@@ -75,7 +90,7 @@ def account_ops(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, url, anchors) with every anchor of the page in document order."""
-    return load(spark, folder, "pages").select(
+    return spread(load(spark, folder, "pages")).select(
         "page_id", "url", html.anchors(F.col("html")).alias("anchors"))
 
 

@@ -20,6 +20,8 @@ from loomwork.operators.ledger import apply_op
 from loomwork.session import new_folder
 from loomwork.sources import sinks
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """A parquet folder (or file) as a stream; a trigger takes a bounded number of files."""
@@ -65,6 +67,8 @@ class AccountProcessor(StatefulProcessor):
 
 def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00", minimal="20.00") -> None:
     """Apply a stream of operations to accounts; ``out`` gets the changed states of each batch."""
+    # State kept by transformWithState needs this store.
+    ops.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     kind = dict(ops.dtypes)["account"]
     states = ops.groupBy("account").transformWithStateInPandas(
         AccountProcessor(opening, minimal),
