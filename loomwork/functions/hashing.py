@@ -28,6 +28,13 @@ def share_of(hexed: Column, group: int = 0) -> Column:
     return number_in(hexed, group).cast("double") / F.lit(SPAN)
 
 
+def below(hexed: Column, group, share: float) -> Column:
+    """Whether the draw of a digit group is below ``share``, compared as digits."""
+    place = 8 * group + 1
+    digits = F.substr(hexed, place if isinstance(place, Column) else F.lit(place), F.lit(8))
+    return digits < F.lit(f"{round(share * SPAN):08x}")
+
+
 def coin(*parts) -> Column:
     """Uniform double in [0, 1)."""
     return share_of(digest(*parts))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions import text as tx
 from loomwork.functions.arrays import let
-from loomwork.functions.hashing import coin, digest, share_of
+from loomwork.functions.hashing import below, coin, digest, share_of
 from loomwork.operators import counts, scan
 
 PAD, UNK, SEP, MASK = 0, 1, 2, 3
@@ -27,20 +30,29 @@ def build_vocab(df: DataFrame, column: str, size: int = VOCAB_SIZE) -> DataFrame
     return kept.select("word", (rank - 1 + RESERVED).cast("int").alias("token_id"))
 
 
-def encode(df: DataFrame, key: str, tokens: Column, vocab: DataFrame,
-           max_length: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, keep..., ids ARRAY<INT>); words outside the vocabulary become UNK.
+def vocab_words(vocab: DataFrame) -> list[str]:
+    """The words in id order; VOCAB_SIZE of them at most."""
+    return [row["word"] for row in vocab.orderBy("token_id").collect()]
 
-    ``key`` identifies a row and ``keep`` are further columns of it.  A row's
-    words stay together, so its list is built before the shuffle.
+
+def token_ids(tokens: Column, words: list[str], max_length: int | None = None) -> Column:
+    """ARRAY<INT> of a word array; words outside the vocabulary become UNK.
+
+    The vocabulary goes to every task and Arrow looks up whole batches, so a
+    text is encoded where it is read: nothing is shuffled.
     """
-    shown = tokens if max_length is None else F.slice(tokens, 1, max_length)
-    words = df.select(key, *keep, F.posexplode_outer(shown).alias("pos", "word"))
-    known = words.join(F.broadcast(vocab), "word", "left")  # VOCAB_SIZE rows at most
-    token = F.when(F.col("word") == SEPARATOR, F.lit(SEP)).otherwise(F.coalesce("token_id", F.lit(UNK)))
-    entry = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), token.alias("t")))
-    return known.groupBy(key, *keep).agg(F.transform(
-        F.array_sort(F.collect_list(entry)), lambda e: e["t"]).alias("ids"))
+    # Place 0 is the separator, place i the vocabulary's word i-1.
+    known = pa.array([SEPARATOR, *words], pa.string())
+    ids = pa.array([SEP, *range(RESERVED, RESERVED + len(words))], pa.int32())
+
+    @F.arrow_udf("array<int>")
+    def look_up(batch: pa.Array) -> pa.Array:
+        place = pc.index_in(batch.flatten(), value_set=known)
+        found = pc.fill_null(ids.take(place), UNK)
+        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(ends), found)
+    return look_up(tokens if max_length is None else F.slice(tokens, 1, max_length))
 
 
 def pad(ids: Column, length) -> Column:
@@ -54,13 +66,12 @@ def attention_mask(ids: Column, length) -> Column:
                     F.array_repeat(F.lit(0), F.greatest(F.lit(0), length - F.size(ids))))
 
 
-def encode_pad(df: DataFrame, key: str, column: str, vocab: DataFrame, max_length: int,
-               keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, keep..., input_ids, mask), both lists ``max_length`` long."""
-    encoded = encode(df, key, tx.lower_words(F.col(column)), vocab, max_length, keep)
+def encode_pad(df: DataFrame, column: str, words: list[str], max_length: int) -> DataFrame:
+    """Add input_ids and mask, both ``max_length`` long."""
     length = F.lit(max_length)
-    return (encoded.withColumn("input_ids", pad(F.col("ids"), length))
-            .withColumn("mask", attention_mask(F.col("ids"), length)).drop("ids"))
+    return (df.withColumn("_ids", token_ids(tx.lower_words(F.col(column)), words, max_length))
+            .withColumn("input_ids", pad(F.col("_ids"), length))
+            .withColumn("mask", attention_mask(F.col("_ids"), length)).drop("_ids"))
 
 
 def pad_to_longest(encoded: DataFrame, batch: str, multiple: int = 8) -> DataFrame:
@@ -119,19 +130,23 @@ def mlm_mask(df: DataFrame, key: str, ids: str, seed: int, share: float = 0.15,
              vocab_size: int = VOCAB_SIZE, masked: float = 0.8, random: float = 0.1) -> DataFrame:
     """Pick ``share`` of the ordinary tokens as labels; of those ``masked`` become MASK,
     ``random`` a random word, and the rest stay."""
-    def draws(t, i):
-        # One digest per token; its first three groups of digits are the three draws.
-        return let(digest(F.col(key), i, seed), lambda h: F.struct(
-            t.alias("t"), (((t >= RESERVED) | (t == UNK)) & (share_of(h, 0) < F.lit(share))).alias("on"),
-            h.alias("h")))
-
-    def new_id(e):
-        kind = share_of(e["h"], 1)
-        other = (F.floor(share_of(e["h"], 2) * (vocab_size - RESERVED)) + RESERVED).cast("int")
-        changed = (F.when(kind < F.lit(masked), F.lit(MASK))
-                   .when(kind < F.lit(masked + random), other).otherwise(e["t"]))
-        return F.when(e["on"], changed).otherwise(e["t"])
-    return (df.withColumn("_marked", F.transform(F.col(ids), draws))
+    # One digest serves four tokens: each compares its own eight digits.
+    def digests(size):
+        return F.transform(F.sequence(F.lit(0), F.floor(size / 4).cast("int")),
+                           lambda block: digest(F.col(key), block, seed))
+
+    def draws(hashed):
+        return F.transform(F.col(ids), lambda t, i: F.struct(t.alias("t"), (
+            ((t >= RESERVED) | (t == UNK))
+            & below(F.get(hashed, F.floor(i / 4).cast("int")), i % 4, share)).alias("on")))
+
+    def new_id(e, i):
+        def changed(h):
+            other = (F.floor(share_of(h, 1) * (vocab_size - RESERVED)) + RESERVED).cast("int")
+            return (F.when(share_of(h) < F.lit(masked), F.lit(MASK))
+                    .when(share_of(h) < F.lit(masked + random), other).otherwise(e["t"]))
+        return F.when(e["on"], let(digest(F.col(key), i, "kind", seed), changed)).otherwise(e["t"])
+    return (df.withColumn("_marked", let(digests(F.size(ids)), draws))
             .withColumn("masked_ids", F.transform("_marked", new_id))
             .withColumn("mlm_labels", F.transform("_marked", lambda e: F.when(
                 e["on"], e["t"]).otherwise(F.lit(IGNORED)))).drop("_marked"))

@@ -77,7 +77,7 @@ vocab AS (SELECT word, (row_number() OVER (ORDER BY count DESC, word) + 3)::INTE
   FROM counted QUALIFY row_number() OVER (ORDER BY count DESC, word) <= 30518)"""
 
 # (doc_id, pos, sentence)
-SENTENCES = r"""cleaned AS (SELECT doc_id, trim(regexp_replace(text, '[^a-zA-Z0-9\s.,?!]+|\n', '', 'g'), ' ') AS t
+SENTENCES = r"""cleaned AS (SELECT doc_id, trim(regexp_replace(text, '[^a-zA-Z0-9.,?!\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|\n', '', 'g'), ' ') AS t
   FROM documents),
 cut AS (SELECT doc_id, list_filter(string_split(regexp_replace(t, '([.?!])\s+', '\1' || chr(1), 'g'), chr(1)),
   lambda x: x <> '') AS s FROM cleaned),

@@ -240,5 +240,5 @@ def image_placeholder(spark, d):
                            F.coalesce("img", I.placeholder()).alias("img"))
     return filled.select("doc_id", "missing", I.height(F.col("img")).alias("height"),
                          I.width(F.col("img")).alias("width"),
-                         F.round(F.array_min(F.flatten("img")), 6).alias("low"),
-                         F.round(F.array_max(F.flatten("img")), 6).alias("high"))
+                         F.round(F.array_min(F.transform("img", F.array_min)), 6).alias("low"),
+                         F.round(F.array_max(F.transform("img", F.array_max)), 6).alias("high"))

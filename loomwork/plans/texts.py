@@ -28,7 +28,7 @@ def _documents(spark, d):
 
 
 @query("clean_special_chars", r"""
-SELECT doc_id, regexp_replace(text, '[^a-zA-Z0-9\s.,?!]+|\n', '', 'g') AS cleaned FROM documents""")
+SELECT doc_id, regexp_replace(text, '[^a-zA-Z0-9.,?!\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|\n', '', 'g') AS cleaned FROM documents""")
 def clean_special_chars(spark, d):
     return _documents(spark, d).select("doc_id", tx.clean_special_chars(F.col("text")).alias("cleaned"))
 
@@ -116,7 +116,7 @@ def build_vocab(spark, d):
 
 
 def _vocab(spark, d):
-    return tokens.build_vocab(_documents(spark, d), "text")
+    return tokens.vocab_words(tokens.build_vocab(_documents(spark, d), "text"))
 
 
 ENCODED = S.VOCAB + """,
@@ -134,7 +134,7 @@ WITH {ENCODED} SELECT doc_id, label.quality AS label, array_to_string(input_ids,
 def encode_pad(spark, d):
     labelled = _documents(spark, d).join(
         t.load(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "left")
-    encoded = tokens.encode_pad(labelled, "doc_id", "text", _vocab(spark, d), 512, keep=("label",))
+    encoded = tokens.encode_pad(labelled, "text", _vocab(spark, d), 512)
     return encoded.select("doc_id", "label", joined("input_ids").alias("input_ids"), joined("mask").alias("mask"))
 
 
@@ -142,7 +142,7 @@ def encode_pad(spark, d):
 WITH {ENCODED} SELECT doc_id, md5(array_to_string(input_ids, ',')) AS ids_md5,
   array_to_string(input_ids, ',') AS labels FROM padded""")
 def copy_labels(spark, d):
-    encoded = tokens.copy_labels(tokens.encode_pad(_documents(spark, d), "doc_id", "text", _vocab(spark, d), 512))
+    encoded = tokens.copy_labels(tokens.encode_pad(_documents(spark, d), "text", _vocab(spark, d), 512))
     return encoded.select("doc_id", F.md5(joined("input_ids")).alias("ids_md5"), joined("labels").alias("labels"))
 
 
@@ -155,8 +155,7 @@ SELECT doc_id, batch_id, n, width,
     AS mask_md5 FROM wide""")
 def pad_to_longest(spark, d):
     batched = splits.ordered_batches(_documents(spark, d), "doc_id", 8)
-    encoded = tokens.encode(batched, "doc_id", tx.lower_words(F.col("text")), _vocab(spark, d),
-                            keep=("batch_id",))
+    encoded = batched.withColumn("ids", tokens.token_ids(tx.lower_words(F.col("text")), _vocab(spark, d)))
     return tokens.pad_to_longest(encoded, "batch_id").select(
         "doc_id", "batch_id", F.size("ids").alias("n"), "width",
         F.md5(joined("input_ids")).alias("ids_md5"), F.md5(joined("mask")).alias("mask_md5"))
@@ -164,8 +163,8 @@ def pad_to_longest(spark, d):
 
 def _encoded_pairs(spark, d):
     pairs = tokens.next_sentence_pairs(_documents(spark, d), "doc_id", "text")
-    return tokens.encode(pairs.select("idx", "pair"), "idx", tx.lower_words(F.col("pair")),
-                         _vocab(spark, d), 512).select("idx", "ids")
+    ids = tokens.token_ids(tx.lower_words(F.col("pair")), _vocab(spark, d), 512)
+    return pairs.select("idx", ids.alias("ids"))
 
 
 # (idx, nsp_label, ids): half of the pairs with the words after the separator shuffled
@@ -197,10 +196,10 @@ def first_segment_labels(spark, d):
 
 @query("mlm_mask", f"""
 WITH {S.ENCODED_PAIRS}, each AS (SELECT idx, unnest(ids) AS t, unnest(range(len(ids))) AS i FROM encoded),
-hashed AS (SELECT *, md5(idx || ':' || i || ':11') AS h FROM each),
-drawn AS (SELECT idx, i, t, t <> 2 AND ('0x' || h[1:8])::BIGINT / 4294967296.0::DOUBLE < 0.15 AS picked,
-  ('0x' || h[9:16])::BIGINT / 4294967296.0::DOUBLE AS u,
-  4 + floor(('0x' || h[17:24])::BIGINT / 4294967296.0::DOUBLE * 30518)::INTEGER AS other FROM hashed)
+hashed AS (SELECT *, md5(idx || ':' || (i // 4) || ':11') AS h, md5(idx || ':' || i || ':kind:11') AS k FROM each),
+drawn AS (SELECT idx, i, t, t <> 2 AND ('0x' || substr(h, 8 * (i % 4)::INTEGER + 1, 8))::BIGINT
+    / 4294967296.0::DOUBLE < 0.15 AS picked, ('0x' || k[1:8])::BIGINT / 4294967296.0::DOUBLE AS u,
+  4 + floor(('0x' || k[9:16])::BIGINT / 4294967296.0::DOUBLE * 30518)::INTEGER AS other FROM hashed)
 SELECT idx, string_agg(CASE WHEN NOT picked THEN t WHEN u < 0.8 THEN 3 WHEN u < 0.9 THEN other ELSE t END::VARCHAR, ','
   ORDER BY i) AS masked_ids, string_agg(CASE WHEN picked THEN t ELSE -100 END::VARCHAR, ',' ORDER BY i) AS mlm_labels
 FROM drawn GROUP BY idx""")
