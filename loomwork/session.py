@@ -37,15 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session
     without that setting gets a temporary folder of its own.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir() is None:
+        if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="loomwork-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomwork-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
