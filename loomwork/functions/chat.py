@@ -13,7 +13,7 @@ USER_NAME, ASSISTANT_NAME = "用户", "助手"
 HTTP_ERROR, CALL_ERROR = "错误: HTTP", "请求错误:"
 
 # Turns of one nested record.  A longer conversation goes on in parts 1, 2, ...
-PART_TURNS = 10_000
+PART_TURNS = 1_000
 
 REPLY = "choices ARRAY<STRUCT<message: STRUCT<role: STRING, content: STRING>>>"
 

@@ -45,8 +45,9 @@ def flat_map_rows(df: DataFrame, function: Callable[[tuple], Iterator[tuple]], s
 
 
 def batch_score(df: DataFrame, key: str, features: str,
-                load: Callable[[], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
-    """(key, pred, confidence): ``load`` builds the model once per task, which then scores batches.
+                load: Callable[[], Callable[[np.ndarray], np.ndarray]],
+                keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, keep..., pred, confidence): ``load`` builds the model once per task, which then scores batches.
 
     The model maps an (n, d) matrix to (n, classes) logits.
     """
@@ -59,10 +60,11 @@ def batch_score(df: DataFrame, key: str, features: str,
             logits = logits - logits.max(axis=1, keepdims=True)
             odds = np.exp(logits)
             best = odds.argmax(axis=1)
-            yield pd.DataFrame({key: batch[key], "pred": best.astype("int32"),
-                                "confidence": odds.max(axis=1) / odds.sum(axis=1)})
-    kind = dict(df.dtypes)[key]
-    return df.select(key, features).mapInPandas(run, f"{key} {kind}, pred int, confidence double")
+            yield batch[[key, *keep]].assign(pred=best.astype("int32"),
+                                             confidence=odds.max(axis=1) / odds.sum(axis=1))
+    kinds = dict(df.dtypes)
+    kept = ", ".join(f"{c} {kinds[c]}" for c in (key, *keep))
+    return df.select(key, *keep, features).mapInPandas(run, f"{kept}, pred int, confidence double")
 
 
 def linear_model(weights: list[list[float]], bias: list[float]) -> Callable:

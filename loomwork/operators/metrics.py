@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions import arrays
 from loomwork.operators import scan
+from loomwork.session import materialize
 
 
 def flag_correct(pred: Column, label: Column) -> Column:
@@ -18,12 +19,17 @@ def _classes(df: DataFrame, classes: int, name: str) -> DataFrame:
     return df.sparkSession.range(classes).select(F.col("id").cast("int").alias(name))
 
 
+def _cells(df: DataFrame, classes: int) -> DataFrame:
+    """All (label, pred): classes * classes rows."""
+    return df.sparkSession.range(classes * classes).select(
+        F.floor(F.col("id") / classes).cast("int").alias("label"),
+        (F.col("id") % classes).cast("int").alias("pred"))
+
+
 def confusion_matrix(df: DataFrame, classes: int) -> DataFrame:
     """(label, pred, count) with every cell, also the empty ones."""
-    # classes * classes rows
-    cells = _classes(df, classes, "label").crossJoin(F.broadcast(_classes(df, classes, "pred")))
     counted = df.groupBy("label", "pred").agg(F.count("*").alias("count"))
-    return cells.join(counted, ["label", "pred"], "left").na.fill(0, ["count"])
+    return _cells(df, classes).join(counted, ["label", "pred"], "left").na.fill(0, ["count"])
 
 
 def accuracy(df: DataFrame) -> DataFrame:
@@ -91,11 +97,12 @@ def classification_report(df: DataFrame, classes: int, names: list[str]) -> Data
 def _score_steps(df: DataFrame, classes: int, limit: int) -> DataFrame:
     """Per class and distinct score: rows of the class (pos) and others (neg), the
     running counts down to that score, and the class totals."""
-    per_score = (df.select("label", F.posexplode("scores").alias("class", "score"))
-                 .where(F.col("class") < classes)
-                 .groupBy("class", "score")
-                 .agg(F.sum((F.col("label") == F.col("class")).cast("long")).alias("pos"),
-                      F.sum((F.col("label") != F.col("class")).cast("long")).alias("neg")))
+    # Read several times below: written once.
+    per_score = materialize(
+        df.select("label", F.posexplode("scores").alias("class", "score"))
+        .where(F.col("class") < classes).groupBy("class", "score")
+        .agg(F.sum((F.col("label") == F.col("class")).cast("long")).alias("pos"),
+             F.sum((F.col("label") != F.col("class")).cast("long")).alias("neg")), "scores")
     summed = scan.running(per_score, ["class"], [F.desc("score")], -F.col("score"),
                           {"cum_pos": F.col("pos"), "cum_neg": F.col("neg")}, limit)
     totals = per_score.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))

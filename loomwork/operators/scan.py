@@ -11,11 +11,14 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from loomwork.session import materialize
+
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 10_000
+HOT_BROADCAST = 500_000  # keys
 
 _BLK = "_blk"
 
@@ -44,6 +47,11 @@ def block_count(rows: int, rows_per_block: int) -> int:
     return max(1, min(MAX_BLOCKS, math.ceil(rows / rows_per_block)))
 
 
+def rows_at(indexed: DataFrame, ranks: list[int], index: str = "idx") -> dict[int, Row]:
+    """The rows of an indexed frame at these ranks (those that exist); one row per rank."""
+    return {row[index]: row for row in indexed.where(F.col(index).isin(ranks)).collect()}
+
+
 def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Dense 0-based index from a ``_blk`` column that follows ``order``."""
     earlier = Window.orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
@@ -118,13 +126,13 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
     Returns the frame and whether any key was split.  The counting pass is a
     partial aggregate; at most rows/limit keys are hot.
     """
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
-    largest = hot.agg(F.max("_n").alias("m"), F.sum("_n").alias("s")).first()
-    if largest["m"] is None:
+    hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "hot")
+    found, rows = hot.agg(F.count("*"), F.sum("_n")).first()
+    if found == 0:
         return df.withColumn(name, F.lit(0)), False
     hot = hot.select(*keys).withColumn("_hot", F.lit(True))
-    joined = df.join(hot, keys, "left")
-    cuts = cut_points(joined.where("_hot"), lead, block_count(largest["s"], limit))
+    joined = df.join(F.broadcast(hot) if found <= HOT_BROADCAST else hot, keys, "left")
+    cuts = cut_points(joined.where("_hot"), lead, block_count(rows, limit))
     blocked = with_blocks(joined, lead, cuts, name)
     return (blocked.withColumn(name, F.when(F.col("_hot"), F.col(name)).otherwise(0))
             .drop("_hot"), True)

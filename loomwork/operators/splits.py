@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.hashing import digest, draw_int
@@ -13,34 +14,42 @@ from loomwork.operators import scan
 _H = "_digest"
 
 
-def _shuffled(df: DataFrame, key: str, seed, rows_per_block: int) -> tuple[DataFrame, int]:
-    hashed = df.withColumn(_H, digest(F.col(key), seed))
+def _cuts(df: DataFrame, key: str, seed, ranks: Callable[[int], list[int]],
+          rows_per_block: int) -> list[Column]:
+    """Conditions "is before rank r in the seeded order"; ``ranks`` gives them from n.
+
+    Only keys and digests are ordered to find the rows at the ranks; the data is
+    then split where it lies, by comparing each row's own digest.
+    """
+    hashed = df.select(key, digest(F.col(key), seed).alias(_H))
     indexed, rows = scan.hash_index(hashed, _H, [key], "idx", rows_per_block)
-    return indexed.drop(_H), rows
+    wanted = ranks(rows)
+    found = scan.rows_at(indexed, wanted)
+    own = F.struct(digest(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    return [own < F.struct(F.lit(found[r][_H]).alias("h"), F.lit(found[r][key]).alias("k"))
+            if r in found else F.lit(True) for r in wanted]
 
 
 def split_three_way(df: DataFrame, key: str, seed: int, share: float = 0.1,
                     rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """Add ``split``: exactly int(share*n) test rows, as many val rows, the rest train."""
-    indexed, rows = _shuffled(df, key, seed, rows_per_block)
-    cut = int(share * rows)
-    return indexed.withColumn("split", F.when(F.col("idx") < cut, "test")
-                              .when(F.col("idx") < 2 * cut, "val").otherwise("train")).drop("idx")
+    test, val = _cuts(df, key, seed, lambda n: [int(share * n), 2 * int(share * n)], rows_per_block)
+    return df.withColumn("split", F.when(test, "test").when(val, "val").otherwise("train"))
 
 
 def split_fraction(df: DataFrame, key: str, seed: int, test_share: float = 0.2,
                    rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """Add ``split``: ceil(test_share*n) test rows, the rest train."""
-    indexed, rows = _shuffled(df, key, seed, rows_per_block)
-    cut = math.ceil(round(test_share * rows, 9))
-    return indexed.withColumn("split", F.when(F.col("idx") < cut, "test").otherwise("train")).drop("idx")
+    test, = _cuts(df, key, seed, lambda n: [math.ceil(round(test_share * n, 9))], rows_per_block)
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def shuffled_batches(df: DataFrame, key: str, epoch: int, seed: int, size: int,
                      rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """Add batch_id and place for one epoch's shuffle; the last batch may be short."""
-    indexed, _ = _shuffled(df, key, f"{epoch}:{seed}", rows_per_block)
-    return (indexed.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
+    hashed = df.withColumn(_H, digest(F.col(key), f"{epoch}:{seed}"))
+    indexed, _ = scan.hash_index(hashed, _H, [key], "idx", rows_per_block)
+    return (indexed.drop(_H).withColumn("batch_id", F.floor(F.col("idx") / size).cast("long"))
             .withColumn("place", (F.col("idx") % size).cast("int")).drop("idx"))
 
 
@@ -51,32 +60,40 @@ def ordered_batches(df: DataFrame, key: str, size: int,
     return indexed.withColumn("batch_id", F.floor(F.col("idx") / size).cast("long")).drop("idx")
 
 
+def _pieces(df: DataFrame, key: str, pieces: int, bounds: range, rows_per_block: int) -> Column:
+    """How many of the ``bounds`` (multiples of n div pieces) a row's rank has reached.
+
+    The keys at the bounds are found once; the rows stay where they are.
+    """
+    indexed, rows = scan.dense_index(df.select(key), [key], rows_per_block=rows_per_block)
+    found = scan.rows_at(indexed, [i * max(1, rows // pieces) for i in bounds])
+    if not found:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(row[key]) for row in found.values()]),
+                           lambda bound: bound <= F.col(key)))
+
+
 def contiguous_shards(df: DataFrame, key: str, shards: int,
                       rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """Add ``shard``: n div shards rows each, the last takes the remainder."""
-    indexed, rows = scan.dense_index(df, [key], rows_per_block=rows_per_block)
-    per = max(1, rows // shards)
-    return indexed.withColumn("shard", F.least(
-        F.floor(F.col("idx") / per), F.lit(shards - 1)).cast("int")).drop("idx")
+    return df.withColumn("shard", _pieces(df, key, shards, range(1, shards), rows_per_block))
 
 
 def chunk_partitions(df: DataFrame, key: str, chunks: int,
                      rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """Add ``chunk``: n div chunks rows each; the rows left over are dropped."""
-    indexed, rows = scan.dense_index(df, [key], rows_per_block=rows_per_block)
-    per = max(1, rows // chunks)
-    return (indexed.where(F.col("idx") < per * chunks)
-            .withColumn("chunk", F.floor(F.col("idx") / per).cast("int")).drop("idx"))
+    chunked = df.withColumn("chunk", _pieces(df, key, chunks, range(1, chunks + 1), rows_per_block))
+    return chunked.where(F.col("chunk") < chunks)
 
 
 def sample_with_replacement(df: DataFrame, key: str, draws: int, seed: int,
                             rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
     """``draws`` rows chosen by repeatable draws; a row may come up more than once."""
-    indexed, rows = scan.dense_index(df, [key], rows_per_block=rows_per_block)
+    indexed, rows = scan.dense_index(df.select(key), [key], rows_per_block=rows_per_block)
     picks = df.sparkSession.range(draws).select(
-        F.col("id").alias("draw"),
-        draw_int(rows - 1, F.col("id"), seed).alias("idx"))
-    return indexed.join(F.broadcast(picks), "idx").drop("idx")  # picks: ``draws`` rows
+        F.col("id").alias("draw"), draw_int(rows - 1, F.col("id"), seed).alias("idx"))
+    chosen = indexed.join(F.broadcast(picks), "idx").drop("idx")  # ``draws`` rows
+    return df.join(F.broadcast(chosen), key)
 
 
 def sort_top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:

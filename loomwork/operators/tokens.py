@@ -12,6 +12,7 @@ from loomwork.functions import text as tx
 from loomwork.functions.arrays import let
 from loomwork.functions.hashing import below, coin, digest, share_of
 from loomwork.operators import counts, scan
+from loomwork.session import materialize
 
 PAD, UNK, SEP, MASK = 0, 1, 2, 3
 RESERVED = 4
@@ -20,12 +21,23 @@ IGNORED = -100       # fixed value: label a loss leaves out
 SEPARATOR = "[sep]"
 
 
+def _frequent(counted: DataFrame, size: int) -> DataFrame:
+    """Fewer rows with the same ``size`` most frequent words: rare words cannot be among them."""
+    rows = counted.count()
+    if rows <= 4 * size:
+        return counted
+    floor = counted.agg(F.percentile_approx("count", 1 - 2 * size / rows, 1_000_000)).first()[0]
+    likely = counted.where(F.col("count") >= floor)
+    return likely if likely.count() >= size else counted
+
+
 def build_vocab(df: DataFrame, column: str, size: int = VOCAB_SIZE) -> DataFrame:
     """(word, token_id): the most frequent words, ids after the reserved ones.
 
     A vocabulary has a fixed size, so it can be broadcast whatever the corpus.
     """
-    kept = counts.top(counts.word_count_lower(df, column), "count", "word", size - RESERVED)
+    counted = materialize(counts.word_count_lower(df, column), "words")
+    kept = counts.top(_frequent(counted, size), "count", "word", size - RESERVED)
     rank = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("word")))
     return kept.select("word", (rank - 1 + RESERVED).cast("int").alias("token_id"))
 

@@ -108,7 +108,7 @@ def parameter_averaging_rounds(vectors: DataFrame, key: str, classes: int, dim:
         for entry in mean:
             weights.flat[entry["pos"]] = entry["value"]
         load = linear_model(weights[:, :dim].tolist(), weights[:, dim].tolist())
-        scored = batch_score(rows, key, "vec", load).join(rows.select(key, "label"), key)
+        scored = batch_score(rows, key, "vec", load, keep=("label",))
         out.append((step, float(metrics.accuracy(scored).first()["percent"])))
     data.unpersist()
     return vectors.sparkSession.createDataFrame(out, "round int, accuracy double")

@@ -184,9 +184,8 @@ SELECT round(avg((l_extendedprice - l_quantity * unit) * (l_extendedprice - l_qu
 FROM lineitem, price""")
 def mse_loss(spark, d):
     lines = t.load(spark, d, "lineitem").select("l_extendedprice", "l_quantity")
-    unit = lines.agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("unit"))  # one row
-    priced = lines.crossJoin(F.broadcast(unit))
-    return metrics.mse_loss(priced, F.col("l_extendedprice"), F.col("l_quantity") * F.col("unit")).select(
+    unit = lines.agg(F.sum("l_extendedprice") / F.sum("l_quantity")).first()[0]
+    return metrics.mse_loss(lines, F.col("l_extendedprice"), F.col("l_quantity") * F.lit(unit)).select(
         F.round("mse", 2).alias("mse"))
 
 

@@ -174,9 +174,9 @@ SELECT doc_id, lang, source, n_chars, (SELECT count(*) FROM documents) AS n_rows
 FROM documents ORDER BY doc_id LIMIT 5""")
 def preview_rows(spark, d):
     documents = t.load(spark, d, "documents")
-    shape = documents.agg(F.count("*").alias("n_rows"), F.lit(len(documents.columns)).alias("n_columns"))
-    head = documents.orderBy("doc_id").limit(5).select("doc_id", "lang", "source", "n_chars")
-    return head.crossJoin(F.broadcast(shape))  # one row
+    head = documents.select("doc_id", "lang", "source", "n_chars").orderBy("doc_id").limit(5)
+    return head.withColumns({"n_rows": F.lit(documents.count()).cast("long"),
+                             "n_columns": F.lit(len(documents.columns))})
 
 
 @query("select_dropna_cast", """

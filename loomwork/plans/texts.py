@@ -154,8 +154,9 @@ SELECT doc_id, batch_id, n, width,
   md5(array_to_string(list_concat(list_transform(range(n), lambda x: 1), list_transform(range(width - n), lambda x: 0)), ','))
     AS mask_md5 FROM wide""")
 def pad_to_longest(spark, d):
-    batched = splits.ordered_batches(_documents(spark, d), "doc_id", 8)
-    encoded = batched.withColumn("ids", tokens.token_ids(tx.lower_words(F.col("text")), _vocab(spark, d)))
+    # Encoded first: the batches then shuffle ids, not texts.
+    ids = tokens.token_ids(tx.lower_words(F.col("text")), _vocab(spark, d))
+    encoded = splits.ordered_batches(_documents(spark, d).select("doc_id", ids.alias("ids")), "doc_id", 8)
     return tokens.pad_to_longest(encoded, "batch_id").select(
         "doc_id", "batch_id", F.size("ids").alias("n"), "width",
         F.md5(joined("input_ids")).alias("ids_md5"), F.md5(joined("mask")).alias("mask_md5"))

@@ -100,10 +100,9 @@ def page_edges(spark: SparkSession, folder: str) -> DataFrame:
     pages = load(spark, folder, "pages")
     anchors = page_anchors(spark, folder).select(
         "page_id", F.col("url").alias("src"), F.inline("anchors"))
-    total = pages.agg(F.count("*").alias("n"))  # one row
-    linked = (anchors.where(F.col("href").isNotNull()).crossJoin(F.broadcast(total))
-              .select("src", "ordinal",
-                      ((F.col("page_id") * 7 + F.col("ordinal")) % F.col("n")).alias("to_id")))
+    linked = anchors.where(F.col("href").isNotNull()).select(
+        "src", "ordinal",
+        ((F.col("page_id") * 7 + F.col("ordinal")) % F.lit(pages.count())).alias("to_id"))
     target = pages.select(F.col("page_id").alias("to_id"), F.col("url").alias("dst"))
     return linked.join(target, "to_id").select("src", "ordinal", "dst")
 

@@ -23,9 +23,14 @@ from loomwork.sources import sinks
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+TRIGGER_BYTES = 256 * 1024 * 1024
+
+
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet folder (or file) as a stream; a trigger takes a bounded number of files."""
+    """A parquet folder (or file) as a stream; a trigger takes a bounded amount."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if not files_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", TRIGGER_BYTES)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # Written as a glob: the file source takes a single file only that way.

@@ -38,10 +38,10 @@ def run(spark, ops, accounts, per_segment):
 
 
 def test_sample_walk(spark):
-    ops = [("jwu", 1, 1, "withdraw", D(40)), ("jwu", 2, 2, "deposit", D(30))]
-    end, steps = run(spark, ops, [("jwu", D(100), D(20))], 100)
+    ops = [("x1", 1, 1, "withdraw", D(40)), ("x1", 2, 2, "deposit", D(30))]
+    end, steps = run(spark, ops, [("x1", D(100), D(20))], 100)
     assert steps == {1: (D("60.00"), "accepted"), 2: (D("90.00"), "accepted")}
-    assert end == {"jwu": (D("90.00"), 2, 0)}
+    assert end == {"x1": (D("90.00"), 2, 0)}
 
 
 def test_edges(spark):

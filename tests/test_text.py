@@ -90,7 +90,7 @@ def test_prompt_and_suffix(spark):
 
 
 def test_requests_and_replies(spark):
-    assert one(spark, chat.json_request_reply(F.col("b")), b='{"name": "Corey"}') == "Hello Corey!"
+    assert one(spark, chat.json_request_reply(F.col("b")), b='{"name": "Ann"}') == "Hello Ann!"
     rows = spark.createDataFrame(
         [(200, '{"choices":[{"message":{"role":"assistant","content":"hi"}}]}', None), (503, "busy", None),
          (None, None, "timed out")], "s int, b string, e string")
