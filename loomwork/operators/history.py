@@ -32,6 +32,8 @@ def request_messages(turns: DataFrame, part_turns: int = chat.PART_TURNS) -> Dat
     of the requests; rows of later parts get the earlier parts put in front.
     """
     last = conversation_history(turns, part_turns)
+    if (turns.agg(F.max("turn")).first()[0] or 0) < part_turns:
+        return last.drop("part")  # every conversation is one part
     parts = chat.nest_turns(turns, part_turns).select(
         F.col("id").alias("_id"), F.col("part").alias("_before"),
         F.transform("conversations", lambda t: F.struct(

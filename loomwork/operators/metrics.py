@@ -67,31 +67,36 @@ def per_class_prf(df: DataFrame, classes: int) -> DataFrame:
         F.col("precision") + F.col("recall")).alias("f1"), "support")
 
 
-def _averages(prf: DataFrame, weighted: bool) -> list[Column]:
+def _means(weighted: bool) -> Column:
+    """Precision, recall, F1 and support over all classes, as one struct."""
     def mean(c):
         if weighted:
             return _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support"))
         return F.avg(c)
-    return [*[mean(c).alias(c) for c in ("precision", "recall", "f1")],
-            F.sum("support").alias("support")]
+    return F.struct(*[mean(c).alias(c) for c in ("precision", "recall", "f1")],
+                    F.sum("support").alias("support"))
 
 
 def weighted_prf(df: DataFrame, classes: int) -> DataFrame:
     """Precision, recall and F1 weighted by support (one row)."""
-    return per_class_prf(df, classes).agg(*_averages(df, weighted=True))
+    return per_class_prf(df, classes).agg(_means(weighted=True).alias("m")).select("m.*")
 
 
 def classification_report(df: DataFrame, classes: int, names: list[str]) -> DataFrame:
-    """Rows per class, accuracy, macro average and weighted average."""
-    prf = per_class_prf(df, classes)
+    """Rows per class, accuracy, macro average and weighted average, from one pass."""
     titles = F.array(*[F.lit(n) for n in names])
-    rows = prf.select(F.get(titles, F.col("label")).alias("name"), "precision", "recall", "f1", "support")
-    macro = prf.agg(*_averages(prf, False)).select(F.lit("macro avg").alias("name"), "*")
-    weighted = prf.agg(*_averages(prf, True)).select(F.lit("weighted avg").alias("name"), "*")
+    fields = ("precision", "recall", "f1", "support")
+    row = F.struct(F.get(titles, F.col("label")).alias("name"), *fields)
+    # One row per class, so the list is as long as the report.
+    gathered = per_class_prf(df, classes).agg(
+        F.collect_list(row).alias("rows"), _means(False).alias("macro"), _means(True).alias("weighted"))
+
+    def line(name, means, **changed):
+        return F.struct(F.lit(name).alias("name"), *[F.col(f"{means}.{changed.get(c, c)}").alias(c) for c in fields])
     # Accuracy is the weighted recall.
-    right = weighted.select(F.lit("accuracy").alias("name"),
-                            *[F.col("recall").alias(c) for c in ("precision", "recall", "f1")], "support")
-    return rows.unionByName(right).unionByName(macro).unionByName(weighted)
+    return gathered.select(F.inline(F.concat("rows", F.array(
+        line("accuracy", "weighted", precision="recall", f1="recall"),
+        line("macro avg", "macro"), line("weighted avg", "weighted")))))
 
 
 def _score_steps(df: DataFrame, classes: int, limit: int) -> DataFrame:
@@ -109,7 +114,7 @@ def _score_steps(df: DataFrame, classes: int, limit: int) -> DataFrame:
     return summed.join(F.broadcast(totals), "class")  # one row per class
 
 
-def roc_curve_ovr(df: DataFrame, classes: int, limit: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+def roc_curve_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
     """(class, threshold, fpr, tpr) at each distinct score, and (0, 0) with a null threshold."""
     steps = _score_steps(df, classes, limit).select(
         F.col("class").cast("int"), F.col("score").alias("threshold"),
@@ -120,7 +125,7 @@ def roc_curve_ovr(df: DataFrame, classes: int, limit: int = scan.ROWS_PER_BLOCK)
     return starts.unionByName(steps)
 
 
-def auc_ovr(df: DataFrame, classes: int, limit: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+def auc_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
     """(class, auc): area under each curve, ties counted half; null for a one-sided class."""
     steps = _score_steps(df, classes, limit)
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0)))
@@ -129,7 +134,7 @@ def auc_ovr(df: DataFrame, classes: int, limit: int = scan.ROWS_PER_BLOCK) -> Da
         F.col("a"), F.col("P").cast("double") * F.col("N").cast("double")).alias("auc"))
 
 
-def macro_auc(df: DataFrame, classes: int, limit: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+def macro_auc(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
     """Unweighted mean over the classes."""
     return auc_ovr(df, classes, limit).agg(F.avg("auc").alias("macro_auc"))
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from loomwork.session import materialize
 
-ROWS_PER_BLOCK = 1_000_000
-MAX_BLOCKS = 10_000
+ROWS_PER_BLOCK = 100_000  # rows ranked in one task
+MAX_BLOCKS = 20_000
+HOT_ROWS = 1_000_000      # a key with more rows is cut into pieces
 HOT_BROADCAST = 500_000  # keys
 
 _BLK = "_blk"
@@ -52,8 +53,11 @@ def rows_at(indexed: DataFrame, ranks: list[int], index: str = "idx") -> dict[in
     return {row[index]: row for row in indexed.where(F.col(index).isin(ranks)).collect()}
 
 
-def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str) -> DataFrame:
+def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str, blocks: int) -> DataFrame:
     """Dense 0-based index from a ``_blk`` column that follows ``order``."""
+    if blocks == 1:
+        rank = F.row_number().over(Window.partitionBy(_BLK).orderBy(*order))
+        return blocked.withColumn(name, (rank - 1).cast("long")).drop(_BLK)
     earlier = Window.orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     # One row per block: MAX_BLOCKS rows at most, so one task and a broadcast are safe.
     starts = (blocked.groupBy(_BLK).agg(F.count("*").alias("_n"))
@@ -74,7 +78,8 @@ def dense_index(df: DataFrame, order: list[str], lead: Column | None = None,
     lead = F.col(order[0]) if lead is None else lead
     rows = df.count()
     cuts = cut_points(df, lead, block_count(rows, rows_per_block))
-    return _index_in_blocks(with_blocks(df, lead, cuts), [F.col(c) for c in order], name), rows
+    blocked = with_blocks(df, lead, cuts)
+    return _index_in_blocks(blocked, [F.col(c) for c in order], name, len(cuts) + 1), rows
 
 
 def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataFrame,
@@ -89,10 +94,16 @@ def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataF
     cuts = cut_points(sized_by, lead, block_count(sized_by.count(), rows_per_block))
     blocked = with_blocks(df, lead, cuts)
     inside = Window.partitionBy(_BLK).orderBy(*order)
+    first = F.min_by(value, F.struct(*order))
+    if not cuts:
+        head = df.agg(first).first()[0]
+        return blocked.withColumns({
+            name: (F.row_number().over(inside) - 1).cast("long"),
+            next_name: F.coalesce(F.lead(value).over(inside), F.lit(head))}).drop(_BLK)
     along = Window.orderBy(_BLK)
     # One row per block.
     heads = blocked.groupBy(_BLK).agg(
-        F.count("*").alias("_n"), F.min_by(value, F.struct(*order)).alias("_head"))
+        F.count("*").alias("_n"), first.alias("_head"))
     heads = heads.select(
         _BLK, F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)),
                          F.lit(0)).alias("_start"),
@@ -116,11 +127,11 @@ def hash_index(df: DataFrame, hashed: str, ties: list[str], name: str = "idx",
     digits = math.ceil(math.log(block_count(rows, rows_per_block), 16))
     prefix = F.substring(hashed, 1, digits) if digits else F.lit("")
     order = [F.col(hashed), *[F.col(c) for c in ties]]
-    return _index_in_blocks(df.withColumn(_BLK, prefix), order, name), rows
+    return _index_in_blocks(df.withColumn(_BLK, prefix), order, name, 16 ** digits), rows
 
 
 def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
-                   limit: int = ROWS_PER_BLOCK, name: str = _BLK) -> tuple[DataFrame, bool]:
+                   limit: int = HOT_ROWS, name: str = _BLK) -> tuple[DataFrame, bool]:
     """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks along ``lead``.
 
     Returns the frame and whether any key was split.  The counting pass is a
@@ -139,7 +150,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
 
 
 def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
-            sums: dict[str, Column], limit: int = ROWS_PER_BLOCK) -> DataFrame:
+            sums: dict[str, Column], limit: int = HOT_ROWS) -> DataFrame:
     """Per-key running sums (current row included), exact for hot keys too.
 
     A hot key is cut along ``lead`` (a number that never decreases in
@@ -169,7 +180,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
 
 
 def following(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
-              value: str, name: str, limit: int = ROWS_PER_BLOCK) -> DataFrame:
+              value: str, name: str, limit: int = HOT_ROWS) -> DataFrame:
     """The next row's ``value`` within the key (null on the last row)."""
     blocked, split = split_hot_keys(df, keys, lead, limit)
     out = blocked.withColumn(

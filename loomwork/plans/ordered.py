@@ -8,6 +8,7 @@ from loomwork.functions import chat
 from loomwork.operators import history, ledger, links, matrices, qvalues, scan, series, splits, tokens
 from loomwork.plans import fragments as S
 from loomwork.plans.registry import query
+from loomwork.session import materialize
 from loomwork.sources import tables as t
 
 SEED = 7
@@ -75,9 +76,10 @@ paid AS (SELECT c_custkey, i, b + 10 * (i + 1) AS b FROM placed)
 SELECT c_custkey, TRUE AS deposit_done, b - (15 + 10 * i) >= 20 AS withdraw_done,
   (CASE WHEN b - (15 + 10 * i) >= 20 THEN b - (15 + 10 * i) ELSE b END)::DECIMAL(18,2) AS balance FROM paid""")
 def apply_positional_ops(spark, d):
-    accounts, _ = scan.dense_index(t.load(spark, d, "customer").select(
+    indexed, _ = scan.dense_index(t.load(spark, d, "customer").select(
         "c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
         F.lit(t.MINIMAL).cast("decimal(18,2)").alias("minimal")), ["c_custkey"])
+    accounts = materialize(indexed, "accounts")  # the amounts are made from it too
     deposits = accounts.select("idx", (10 * (F.col("idx") + 1)).cast("decimal(18,2)").alias("amount"))
     withdrawals = accounts.select("idx", (15 + 10 * F.col("idx")).cast("decimal(18,2)").alias("amount"))
     paid = ledger.apply_positional_ops(accounts, deposits, "deposit")
