@@ -19,6 +19,7 @@ RESERVED = 4
 VOCAB_SIZE = 30_522  # fixed value: entries of the usual English subword vocabulary
 IGNORED = -100       # fixed value: label a loss leaves out
 SEPARATOR = "[sep]"
+TEXTS_PER_BLOCK = 1_000  # texts whose sentences are ranked in one task
 
 
 def _frequent(counted: DataFrame, size: int) -> DataFrame:
@@ -106,7 +107,7 @@ def sentence_rows(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def next_sentence_pairs(df: DataFrame, key: str, column: str,
-                        rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+                        rows_per_block: int = TEXTS_PER_BLOCK) -> DataFrame:
     """(key, pos, idx, pair): each sentence of all texts with the next one; the last with the first."""
     paired = scan.index_with_next(sentence_rows(df, key, column), [key, "pos"], "sentence",
                                   sized_by=df, next_name="_next", rows_per_block=rows_per_block)

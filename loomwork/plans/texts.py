@@ -156,7 +156,8 @@ SELECT doc_id, batch_id, n, width,
 def pad_to_longest(spark, d):
     # Encoded first: the batches then shuffle ids, not texts.
     ids = tokens.token_ids(tx.lower_words(F.col("text")), _vocab(spark, d))
-    encoded = splits.ordered_batches(_documents(spark, d).select("doc_id", ids.alias("ids")), "doc_id", 8)
+    encoded = splits.ordered_batches(_documents(spark, d).select("doc_id", ids.alias("ids")), "doc_id", 8,
+                                     rows_per_block=tokens.TEXTS_PER_BLOCK)
     return tokens.pad_to_longest(encoded, "batch_id").select(
         "doc_id", "batch_id", F.size("ids").alias("n"), "width",
         F.md5(joined("input_ids")).alias("ids_md5"), F.md5(joined("mask")).alias("mask_md5"))

@@ -56,7 +56,7 @@ def vector_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 def images(spark: SparkSession, folder: str) -> DataFrame:
     """(id, img): each vector as an 8 by 8 one-channel image."""
-    return vectors(spark, folder).select(
+    return spread(vectors(spark, folder)).select(
         F.col("vec_id").alias("id"), arrays.reshape(F.col("vec"), 8, 8).alias("img"))
 
 
