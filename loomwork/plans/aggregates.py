@@ -190,10 +190,10 @@ def mse_loss(spark, d):
 
 
 @query("epoch_average_loss", """
-SELECT day(ts)::INTEGER AS epoch, round(avg(value), 6) AS mean_loss FROM events GROUP BY 1""")
+SELECT day(ts)::INTEGER AS epoch, round(avg(value), 10) AS mean_loss FROM events GROUP BY 1""")
 def epoch_average_loss(spark, d):
-    return _rounded(series.epoch_average_loss(
-        t.load(spark, d, "events"), F.dayofmonth("ts"), "value"), "mean_loss")
+    return series.epoch_average_loss(t.load(spark, d, "events"), F.dayofmonth("ts"), "value").withColumn(
+        "mean_loss", F.round("mean_loss", 10))
 
 
 @query("average_states", f"""

@@ -106,7 +106,7 @@ moves AS (SELECT state, action, next_state, CASE WHEN next_state = 2 THEN 1.0::D
   WHERE next_state IS NOT NULL)"""
 
 # (epoch, metric)
-DAILY = """daily AS (SELECT (epoch_us(ts) // 86400000000 - 19723) AS epoch, round(avg(value), 6) AS metric
+DAILY = """daily AS (SELECT (epoch_us(ts) // 86400000000 - 19723) AS epoch, round(avg(value), 10) AS metric
   FROM events GROUP BY 1)"""
 
 # Pixels of the 8 by 8 images: (id, i, j, v)

@@ -158,13 +158,13 @@ def verify_digest(spark, d):
 
 
 @query("metric_log_sink", """
-SELECT event_type AS tag, (24 * (day(ts) - 1) + hour(ts))::INTEGER AS step, round(avg(value), 6) AS value
+SELECT event_type AS tag, (24 * (day(ts) - 1) + hour(ts))::INTEGER AS step, round(avg(value), 10) AS value
 FROM events GROUP BY ALL""")
 def metric_log_sink(spark, d):
     path = new_folder(spark, "metrics")
     step = sinks.global_step(F.dayofmonth("ts") - 1, F.hour("ts"), 24)
     scalars = (t.load(spark, d, "events").groupBy(F.col("event_type").alias("tag"), step.alias("step"))
-               .agg(F.round(F.avg("value"), 6).alias("value")))
+               .agg(F.round(F.avg("value"), 10).alias("value")))
     sinks.append_metrics(scalars, path)
     return spark.read.schema("step int, value double, tag string").parquet(path)
 

@@ -129,5 +129,5 @@ def daily_metric(spark: SparkSession, folder: str) -> DataFrame:
     """(epoch, metric): day number and mean event value."""
     day = F.floor(micros() / F.lit(86_400_000_000)).cast("long")
     return (load(spark, folder, "events").groupBy(day.alias("day"))
-            .agg(F.round(F.avg("value"), 6).alias("metric"))
+            .agg(F.round(F.avg("value"), 10).alias("metric"))
             .select((F.col("day") - F.lit(19723)).alias("epoch"), "metric"))
