@@ -15,8 +15,8 @@ least the next segment of every account and usually many.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,19 +24,20 @@ from pyspark.sql import functions as F
 from loomwork.operators import scan
 from loomwork.session import materialize
 
-MONEY = "decimal(28,2)"
-FAR = Decimal(10) ** 20  # beyond any balance
+MONEY = "decimal(18,2)"
+FAR = 4 * 10 ** 18  # cents beyond any balance
 OPS_PER_SEGMENT = 100_000
 
+# Summary of a folded segment; all money inside the fold is in whole cents.
 SUMMARY_NAMES = ["entry", "change", "low", "high", "accepted", "rejected"]
-SUMMARY = f"entry {MONEY}, change {MONEY}, low {MONEY}, high {MONEY}, accepted long, rejected long"
+SUMMARY = ", ".join(f"{name} long" for name in SUMMARY_NAMES)
 
 
-def apply_op(balance, minimal, op: str, amount):
-    """Balance after one operation, and whether it was accepted."""
+def apply_op(balance, minimal, takes: bool, amount):
+    """Balance after a withdrawal (``takes``) or deposit, and whether it was accepted."""
     if amount < 0:
         return balance, False
-    if op == "deposit":
+    if not takes:
         return balance + amount, True
     if balance - amount < minimal:
         return balance, False
@@ -47,39 +48,52 @@ def _money(value) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast(MONEY)
 
 
-def _segments(ops: DataFrame, per_segment: int) -> tuple[DataFrame, bool]:
-    """(account, seg, ops ARRAY in time order) with at most ``per_segment`` operations each."""
+def _cents(value: Column) -> Column:
+    return (value.cast("decimal(20,2)") * 100).cast("long")
+
+
+def _from_cents(value: Column) -> Column:
+    return (value.cast("decimal(20,0)") / 100).cast(MONEY)
+
+
+def _listed(ops: DataFrame, seg: Column) -> DataFrame:
+    """(account, seg, ops ARRAY in time order)."""
+    item = F.struct("ts", "id", (F.col("op") == "withdraw").alias("takes"), _cents(F.col("amount")).alias("cents"))
+    return ops.groupBy("account", seg.alias("seg")).agg(F.array_sort(F.collect_list(item)).alias("ops"))
+
+
+def _segments(ops: DataFrame, per_segment: int) -> tuple[DataFrame, DataFrame | None]:
+    """Ordinary accounts in one segment each (seg 0), and long ones in segments of at
+    most ``per_segment`` operations (None if there are none)."""
     blocked, split = scan.split_hot_keys(ops, ["account"], F.col("ts"), per_segment)
-    if split:
-        place = F.row_number().over(Window.partitionBy("account", "_blk").orderBy("ts", "id")) - 1
-        seg = F.col("_blk").cast("long") * F.lit(1 << 32) + F.floor(place / per_segment)
-        blocked = blocked.withColumn("seg", seg)
-    else:
-        blocked = blocked.withColumn("seg", F.lit(0).cast("long"))
-    items = F.array_sort(F.collect_list(F.struct("ts", "id", "op", "amount")))
-    return blocked.groupBy("account", "seg").agg(items.alias("ops")), split
+    if not split:
+        return _listed(ops, F.lit(0).cast("long")), None
+    place = F.row_number().over(Window.partitionBy("account", "_blk").orderBy("ts", "id")) - 1
+    cut = blocked.where(F.col("_blk") > 0).withColumn(
+        "_seg", F.col("_blk").cast("long") * F.lit(1 << 32) + F.floor(place / per_segment))
+    return (_listed(blocked.where(F.col("_blk") == 0), F.lit(0).cast("long")),
+            _listed(cut, F.col("_seg")))
 
 
 def _fold(ops: Column, entry: Column, minimal: Column) -> Column:
-    """Summary of a segment folded from ``entry``: STRUCT as in SUMMARY."""
-    start = F.struct(
-        _money(0).alias("change"), _money(-FAR).alias("low"), _money(FAR).alias("high"),
-        F.lit(0).cast("long").alias("accepted"), F.lit(0).cast("long").alias("rejected"))
+    """Summary of a segment folded from ``entry``: change, low, high, accepted, rejected."""
+    def whole(n):
+        return F.lit(n).cast("long")
+    start = F.struct(whole(0).alias("change"), whole(-FAR).alias("low"), whole(FAR).alias("high"),
+                     whole(0).alias("accepted"), whole(0).alias("rejected"))
 
     def step(acc, op):
-        amount = _money(op["amount"])
-        sound = amount >= 0
-        takes = op["op"] == "withdraw"
-        needed = _money(minimal + amount - acc["change"])  # least entry that can pay this
+        sound, takes = op["cents"] >= 0, op["takes"]
+        needed = minimal + op["cents"] - acc["change"]  # least entry that can pay this
         fits = entry >= needed
         done = sound & (~takes | fits)
-        moved = F.when(done, F.when(takes, -amount).otherwise(amount)).otherwise(_money(0))
+        moved = F.when(done, F.when(takes, -op["cents"]).otherwise(op["cents"])).otherwise(whole(0))
         return F.struct(
-            _money(acc["change"] + moved).alias("change"),
+            (acc["change"] + moved).alias("change"),
             F.when(sound & takes & fits, F.greatest(acc["low"], needed)).otherwise(acc["low"]).alias("low"),
             F.when(sound & takes & ~fits, F.least(acc["high"], needed)).otherwise(acc["high"]).alias("high"),
-            (acc["accepted"] + done.cast("long")).alias("accepted"),
-            (acc["rejected"] + (~done).cast("long")).alias("rejected"))
+            F.when(done, acc["accepted"] + 1).otherwise(acc["accepted"]).alias("accepted"),
+            F.when(done, acc["rejected"]).otherwise(acc["rejected"] + 1).alias("rejected"))
     return F.aggregate(ops, start, step)
 
 
@@ -92,7 +106,7 @@ def _summaries(segments: DataFrame) -> DataFrame:
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
     """Chain the summaries of one account: true or better entries, and which are settled."""
     pdf = pdf.sort_values("seg", ignore_index=True)
-    at, exact = pdf["opening"][0], True
+    at, exact = int(pdf["opening"][0]), True
     entries, settled = [], []
     for low, high, change in zip(pdf["low"], pdf["high"], pdf["change"]):
         exact = exact and low <= at < high
@@ -103,10 +117,10 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _settle(segments: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Summaries of all segments, each folded from its true entry balance."""
+    """Summaries of the segments of long accounts, each folded from its true entry balance."""
     openings = accounts.select("account", F.col("balance").alias("opening"))
     summaries = _summaries(segments.withColumn("entry", F.col("balance")))
-    schema = f"account {dict(summaries.dtypes)['account']}, seg long, {SUMMARY}, opening {MONEY}, settled boolean"
+    schema = f"account {dict(summaries.dtypes)['account']}, seg long, {SUMMARY}, opening long, settled boolean"
     while True:
         # One row of numbers per segment: an account's rows are its operations / OPS_PER_SEGMENT.
         chained = materialize(summaries.join(openings, "account").select(
@@ -123,13 +137,14 @@ def _settle(segments: DataFrame, accounts: DataFrame) -> DataFrame:
 def _settled_segments(ops: DataFrame, accounts: DataFrame, per_segment: int) -> tuple[DataFrame, DataFrame]:
     """Segments with balance and minimal of their account, and their final summaries."""
     opened = accounts.where(F.col("balance") >= F.col("minimal")).select(
-        "account", _money(F.col("balance")).alias("balance"), _money(F.col("minimal")).alias("minimal"))
-    cut, split = _segments(ops, per_segment)
-    segments = cut.join(opened, "account")
-    if split:
-        segments = materialize(segments, "segments")
-        return segments, _settle(segments, opened)
-    return segments, _summaries(segments.withColumn("entry", F.col("balance")))
+        "account", _cents(F.col("balance")).alias("balance"), _cents(F.col("minimal")).alias("minimal"))
+    ordinary, long = _segments(ops, per_segment)
+    segments = ordinary.join(opened, "account")
+    summaries = _summaries(segments.withColumn("entry", F.col("balance")))
+    if long is not None:
+        long = materialize(long.join(opened, "account"), "segments")
+        segments, summaries = segments.unionByName(long), summaries.unionByName(_settle(long, opened))
+    return segments, summaries
 
 
 def account_ledger(ops: DataFrame, accounts: DataFrame,
@@ -147,7 +162,7 @@ def account_ledger(ops: DataFrame, accounts: DataFrame,
         F.sum("rejected").alias("rejected"))
     return opened.join(totals, "account", "left").select(
         "account",
-        (F.col("balance") + F.coalesce("change", F.lit(0))).cast("decimal(18,2)").alias("balance"),
+        _money(F.col("balance") + _from_cents(F.coalesce("change", F.lit(0)))).alias("balance"),
         F.coalesce("accepted", F.lit(0)).alias("accepted"),
         F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
@@ -155,12 +170,14 @@ def account_ledger(ops: DataFrame, accounts: DataFrame,
 def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples(index=False):
-            balance, out = row.entry, []
-            for op in row.ops:
-                balance, done = apply_op(balance, row.minimal, op["op"], Decimal(op["amount"]))
-                out.append((row.account, op["ts"], op["id"], op["op"], op["amount"], balance,
-                            "accepted" if done else "rejected"))
-            yield pd.DataFrame(out, columns=["account", "ts", "id", "op", "amount", "balance", "status"])
+            at, balances, done = row.entry, [], []
+            for takes, cents in zip(row.takes.tolist(), row.cents.tolist()):
+                at, accepted = apply_op(at, row.minimal, takes, cents)
+                balances.append(at)
+                done.append(accepted)
+            yield pd.DataFrame({
+                "account": row.account, "ts": row.ts, "id": row.id, "takes": row.takes, "cents": row.cents,
+                "after": np.array(balances, dtype="int64"), "done": done})
 
 
 def account_ledger_steps(ops: DataFrame, accounts: DataFrame,
@@ -168,10 +185,15 @@ def account_ledger_steps(ops: DataFrame, accounts: DataFrame,
     """One row per operation with the balance after it and its status."""
     segments, summaries = _settled_segments(ops, accounts, per_segment)
     entered = segments.join(summaries.select("account", "seg", "entry"), ["account", "seg"])
+    lists = [F.col("ops").getField(f).alias(f) for f in ("ts", "id", "takes", "cents")]
     kind = dict(ops.dtypes)
-    return entered.select("account", "entry", "minimal", "ops").mapInPandas(
-        _steps, f"account {kind['account']}, ts {kind['ts']}, id {kind['id']}, op string, "
-                f"amount {kind['amount']}, balance decimal(18,2), status string")
+    walked = entered.select("account", "entry", "minimal", *lists).mapInPandas(
+        _steps, f"account {kind['account']}, ts {kind['ts']}, id {kind['id']}, takes boolean, "
+                "cents long, after long, done boolean")
+    return walked.select(
+        "account", "ts", "id", F.when(F.col("takes"), "withdraw").otherwise("deposit").alias("op"),
+        _from_cents(F.col("cents")).alias("amount"), _from_cents(F.col("after")).alias("balance"),
+        F.when(F.col("done"), "accepted").otherwise("rejected").alias("status"))
 
 
 def restore_or_init(keys: DataFrame, saved: DataFrame, key: str, balance, minimal) -> DataFrame:

@@ -132,7 +132,7 @@ def hash_index(df: DataFrame, hashed: str, ties: list[str], name: str = "idx",
 
 def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
                    limit: int = HOT_ROWS, name: str = _BLK) -> tuple[DataFrame, bool]:
-    """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks along ``lead``.
+    """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks 1, 2, ... along ``lead``.
 
     Returns the frame and whether any key was split.  The counting pass is a
     partial aggregate; at most rows/limit keys are hot.
@@ -145,7 +145,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
     joined = df.join(F.broadcast(hot) if found <= HOT_BROADCAST else hot, keys, "left")
     cuts = cut_points(joined.where("_hot"), lead, block_count(rows, limit))
     blocked = with_blocks(joined, lead, cuts, name)
-    return (blocked.withColumn(name, F.when(F.col("_hot"), F.col(name)).otherwise(0))
+    return (blocked.withColumn(name, F.when(F.col("_hot"), F.col(name) + 1).otherwise(0))
             .drop("_hot"), True)
 
 

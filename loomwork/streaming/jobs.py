@@ -60,7 +60,7 @@ class AccountProcessor(StatefulProcessor):
         # One account's operations within one trigger: bounded by the trigger's files.
         ops = pd.concat(list(rows)).sort_values(["ts", "id"])
         for op, amount in zip(ops["op"], ops["amount"]):
-            balance, done = apply_op(balance, self.minimal, op, amount)
+            balance, done = apply_op(balance, self.minimal, op == "withdraw", amount)
             accepted, rejected = accepted + done, rejected + (not done)
         self.state.update((balance, int(accepted), int(rejected)))
         yield pd.DataFrame({"account": [key[0]], "balance": [balance],
