@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions import chat
+from loomwork.operators import scan
 
 
 def conversation_history(turns: DataFrame, part_turns: int = chat.PART_TURNS) -> DataFrame:
@@ -25,36 +26,18 @@ def conversation_history(turns: DataFrame, part_turns: int = chat.PART_TURNS) ->
             .select("conv_id", "turn", "part", "text", "messages"))
 
 
-def request_messages(turns: DataFrame, part_turns: int = chat.PART_TURNS) -> DataFrame:
-    """(conv_id, turn, text, messages) with the whole history in every row.
+def chat_requests(turns: DataFrame, model: str, part_turns: int = chat.PART_TURNS) -> DataFrame:
+    """(conv_id, turn, part, body): the request that each assistant turn answers.
 
-    A request carries its whole history, so the size of the result is the size
-    of the requests; rows of later parts get the earlier parts put in front.
+    As in ``conversation_history``, a request of part 0 is complete; one of a later
+    part is completed by the messages of the earlier parts, which are kept once.
     """
-    last = conversation_history(turns, part_turns)
-    if (turns.agg(F.max("turn")).first()[0] or 0) < part_turns:
-        return last.drop("part")  # every conversation is one part
-    parts = chat.nest_turns(turns, part_turns).select(
-        F.col("id").alias("_id"), F.col("part").alias("_before"),
-        F.transform("conversations", lambda t: F.struct(
-            t["from"].alias("role"), t["value"].alias("content"))).alias("_messages"))
-    needs = last.where(F.col("part") > 0).select(
-        "conv_id", "turn", F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("_before"))
-    before = (needs.join(parts, (F.col("conv_id").cast("string") == F.col("_id"))
-                         & (needs["_before"] == parts["_before"]))
-              .groupBy("conv_id", "turn")
-              .agg(F.flatten(F.transform(F.array_sort(F.collect_list(
-                  F.struct(parts["_before"].alias("p"), F.col("_messages").alias("m")))),
-                  lambda e: e["m"])).alias("_earlier")))
-    whole = F.when(F.col("_earlier").isNotNull(), F.concat("_earlier", "messages")).otherwise(F.col("messages"))
-    return last.join(before, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", "text", whole.alias("messages"))
-
-
-def history_display(turns: DataFrame, part_turns: int = chat.PART_TURNS) -> DataFrame:
-    """(conv_id, turn, line): numbered lines of each conversation, numbers from 1."""
-    from loomwork.operators import scan
+    return conversation_history(turns, part_turns).select(
+        "conv_id", "turn", "part", chat.chat_request_json(F.col("messages"), model).alias("body"))
+
 
+def history_display(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, line): numbered lines of each conversation, numbers from 1."""
     numbered = scan.running(turns, ["conv_id"], [F.col("turn")], F.col("turn"), {"n": F.lit(1)})
     return numbered.select("conv_id", "turn", chat.history_line(
         F.col("n"), F.col("role"), F.col("text")).alias("line"))

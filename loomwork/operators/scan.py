@@ -137,6 +137,11 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
     Returns the frame and whether any key was split.  The counting pass is a
     partial aggregate; at most rows/limit keys are hot.
     """
+    if not keys:
+        rows = df.count()
+        if rows <= limit:
+            return df.withColumn(name, F.lit(0)), False
+        return with_blocks(df, lead, cut_points(df, lead, block_count(rows, limit)), name), True
     hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "hot")
     found, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if found == 0:
@@ -150,33 +155,41 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
 
 
 def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
-            sums: dict[str, Column], limit: int = HOT_ROWS) -> DataFrame:
-    """Per-key running sums (current row included), exact for hot keys too.
+            values: dict[str, Column], limit: int = HOT_ROWS,
+            largest: bool = False, before: bool = False) -> DataFrame:
+    """Per-key running sums (or the ``largest`` so far), exact for hot keys too.
 
-    A hot key is cut along ``lead`` (a number that never decreases in
-    ``order``); each piece is summed on its own and the pieces' totals carried.
+    The current row counts unless ``before``; a sum of nothing is 0, a largest of
+    nothing null.  A hot key is cut along ``lead`` (a number that never decreases
+    in ``order``); each piece is done on its own and the earlier pieces carried.
     """
+    combine = F.max if largest else F.sum
+
+    def filled(column):
+        return column if largest else F.coalesce(column, F.lit(0))
+
+    def joined(a, b):
+        return F.greatest(a, b) if largest else a + b
     blocked, split = split_hot_keys(df, keys, lead, limit)
-    for i, value in enumerate(sums.values()):
+    for i, value in enumerate(values.values()):
         blocked = blocked.withColumn(f"_v{i}", value)
     local = (Window.partitionBy(*keys, _BLK).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+             .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow))
     out = blocked
-    for i, name in enumerate(sums):
-        out = out.withColumn(name, F.sum(f"_v{i}").over(local))
+    for i, name in enumerate(values):
+        out = out.withColumn(name, filled(combine(f"_v{i}").over(local)))
     if split:
         earlier = (Window.partitionBy(*keys).orderBy(_BLK)
                    .rowsBetween(Window.unboundedPreceding, -1))
         totals = blocked.groupBy(*keys, _BLK).agg(
-            *[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(sums))])
+            *[combine(f"_v{i}").alias(f"_t{i}") for i in range(len(values))])
         carried = totals.select(*keys, _BLK, *[
-            F.coalesce(F.sum(f"_t{i}").over(earlier), F.lit(0)).alias(f"_c{i}")
-            for i in range(len(sums))])
+            filled(combine(f"_t{i}").over(earlier)).alias(f"_c{i}") for i in range(len(values))])
         out = out.join(carried, [*keys, _BLK])
-        for i, name in enumerate(sums):
-            out = out.withColumn(name, F.col(name) + F.col(f"_c{i}"))
-        out = out.drop(*[f"_c{i}" for i in range(len(sums))])
-    return out.drop(_BLK, *[f"_v{i}" for i in range(len(sums))])
+        for i, name in enumerate(values):
+            out = out.withColumn(name, joined(F.col(name), F.col(f"_c{i}")))
+        out = out.drop(*[f"_c{i}" for i in range(len(values))])
+    return out.drop(_BLK, *[f"_v{i}" for i in range(len(values))])
 
 
 def following(df: DataFrame, keys: list[str], order: list[Column], lead: Column,

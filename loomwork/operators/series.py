@@ -28,14 +28,14 @@ def epoch_average_loss(df: DataFrame, epoch: Column, loss: str) -> DataFrame:
     return df.groupBy(epoch.alias("epoch")).agg(F.avg(loss).alias("mean_loss")).orderBy("epoch")
 
 
-def best_so_far(log: DataFrame, epoch: str, metric: str, start: float) -> DataFrame:
-    """Add ``best`` (before the row) and ``is_new_best`` (metric above it; the first wins a tie).
-
-    ``log`` is an epoch log: one row per epoch, already aggregated.
-    """
-    before = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
-    best = F.greatest(F.lit(float(start)), F.coalesce(F.max(metric).over(before), F.lit(float(start))))
-    return log.withColumn("best", best).withColumn("is_new_best", F.col(metric) > F.col("best"))
+def best_so_far(log: DataFrame, epoch: str, metric: str, start: float,
+                limit: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+    """Add ``best`` (before the row) and ``is_new_best`` (metric above it; the first wins a tie)."""
+    seen = scan.running(log, [], [F.col(epoch)], F.col(epoch), {"best": F.col(metric)}, limit,
+                        largest=True, before=True)
+    first = F.lit(float(start))
+    return (seen.withColumn("best", F.greatest(first, F.coalesce("best", first)))
+            .withColumn("is_new_best", F.col(metric) > F.col("best")))
 
 
 def early_stop(log: DataFrame, epoch: str, reward: str, threshold: float, at_most: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomwork.functions import chat
-from loomwork.operators import history, ledger, links, matrices, qvalues, scan, series, splits, tokens
+from loomwork.operators import history, ledger, matrices, qvalues, scan, series, splits, tokens
 from loomwork.plans import fragments as S
 from loomwork.plans.registry import query
 from loomwork.session import materialize
@@ -87,9 +87,10 @@ def apply_positional_ops(spark, d):
 
 
 @query("conversation_history", """
-SELECT a.conv_id, a.turn, 0::INTEGER AS part, count(b.turn)::INTEGER AS n,
+SELECT a.conv_id, a.turn, (a.turn // 1000)::INTEGER AS part, count(b.turn)::INTEGER AS n,
   coalesce(string_agg(b.role || ': ' || b.text, chr(10) ORDER BY b.turn), '') AS prompt
 FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn < a.turn
+  AND b.turn // 1000 = a.turn // 1000
 WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn""")
 def conversation_history(spark, d):
     shown = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
@@ -192,17 +193,17 @@ def history_display(spark, d):
     return history.history_display(t.load(spark, d, "conversations"))
 
 
-_REQUEST = """requests AS (SELECT a.conv_id, a.turn, a.text, to_json({'model': 'chat', 'messages':
+_REQUEST = """requests AS (SELECT a.conv_id, a.turn, (a.turn // 1000)::INTEGER AS part, to_json({'model': 'chat', 'messages':
   list({'role': b.role, 'content': b.text} ORDER BY b.turn) FILTER (b.turn IS NOT NULL), 'temperature': 0.7::DOUBLE,
   'max_tokens': 500, 'stream': false})::VARCHAR AS body
 FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn < a.turn
-WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn, a.text)"""
+  AND b.turn // 1000 = a.turn // 1000
+WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn)"""
 
 
-@query("chat_request_json", f"WITH {_REQUEST} SELECT conv_id, turn, body FROM requests")
+@query("chat_request_json", f"WITH {_REQUEST} SELECT conv_id, turn, part, body FROM requests")
 def chat_request_json(spark, d):
-    return history.request_messages(t.load(spark, d, "conversations")).select(
-        "conv_id", "turn", chat.chat_request_json(F.col("messages"), "chat").alias("body"))
+    return history.chat_requests(t.load(spark, d, "conversations"), "chat")
 
 
 @query("chat_reply_parse", """

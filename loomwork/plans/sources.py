@@ -51,7 +51,7 @@ def _written_records(spark, d):
 
 @query("read_chat_jsonl", f"""
 WITH {S.TURNS}
-SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS place,
+SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn) - 1)::INTEGER AS place,
   role, text FROM turns""")
 def read_chat_jsonl(spark, d):
     return (_written_records(spark, d).select("id", F.posexplode("conversations").alias("place", "t"))
@@ -61,7 +61,7 @@ def read_chat_jsonl(spark, d):
 @query("chat_columns", f"""
 WITH {S.TURNS}
 SELECT conv_id::VARCHAR AS id, 'images/' || conv_id || '.jpg' AS image_path,
-  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS conversations FROM turns GROUP BY conv_id""")
+  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS conversations FROM turns GROUP BY conv_id, part""")
 def chat_columns(spark, d):
     shown = F.array_join(F.transform("conversations", lambda m: F.concat(
         m["from"], F.lit(": "), m["value"])), "\n")
@@ -102,7 +102,7 @@ def page_source(spark, d):
 @query("write_chat_jsonl", f"""
 WITH {S.TURNS}
 SELECT conv_id::VARCHAR AS id, 'images/' || conv_id || '.jpg' AS image, count(*)::INTEGER AS turns,
-  md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM turns GROUP BY conv_id""")
+  md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM turns GROUP BY conv_id, part""")
 def write_chat_jsonl(spark, d):
     shown = F.array_join(F.transform("conversations", lambda m: F.concat(
         m["from"], F.lit(": "), m["value"])), "\n")
@@ -114,7 +114,7 @@ def write_chat_jsonl(spark, d):
 WITH {S.TURNS}
 SELECT string_agg('<|im_start|>' || CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END || chr(10) ||
   regexp_replace(text, '<img>.*?</img>', '[图像]', 'g') || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text
-FROM turns GROUP BY conv_id""")
+FROM turns GROUP BY conv_id, part""")
 def write_text_corpus(spark, d):
     path = new_folder(spark, "corpus")
     rendered = chat.render_chatml(F.col("conversations"), chat.replace_image_tag)

@@ -48,8 +48,10 @@ def test_sample_repeats_rows(spark):
 
 def test_series(spark):
     log = spark.createDataFrame([(i, m) for i, m in enumerate([1.0, 3.0, 3.0, 2.0, 5.0])], "epoch int, m double")
-    assert [r["is_new_best"] for r in series.best_so_far(log, "epoch", "m", 0).orderBy("epoch").collect()] == [
-        True, True, False, False, True]
+    for limit in (2, 100):
+        seen = series.best_so_far(log, "epoch", "m", 0, limit).orderBy("epoch").collect()
+        assert [r["best"] for r in seen] == [0, 1, 3, 3, 3]
+        assert [r["is_new_best"] for r in seen] == [True, True, False, False, True]
     assert series.early_stop(log, "epoch", "m", 3, 10).count() == 2
     assert series.early_stop(log, "epoch", "m", 9, 4).count() == 4
     steps = spark.range(1, 26).select(F.lit(1).alias("e"), "id", F.col("id").cast("double").alias("loss"))

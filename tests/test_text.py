@@ -105,16 +105,21 @@ def turns(spark):
 
 
 def test_long_conversation_in_parts(spark, turns):
-    """With parts of four turns, the parts and the whole requests tell the same history."""
-    whole = {(r["conv_id"], r["turn"]): [m["content"] for m in r["messages"]]
-             for r in history.request_messages(turns, 4).collect()}
-    assert whole[1, 7] == [f"c1t{i}" for i in range(7)] and whole[2, 1] == ["c2t0"]
-    assert len(whole) == 5
-    for r in history.conversation_history(turns, 4).collect():
-        before = [f"c{r['conv_id']}t{i}" for i in range(4 * r["part"])]
-        assert before + [m["content"] for m in r["messages"]] == whole[r["conv_id"], r["turn"]]
-    parts = chat.nest_turns(turns, 4).where("id = '1'").orderBy("part").collect()
-    assert [len(p["conversations"]) for p in parts] == [4, 4, 1]
+    """With parts of four turns, a part's messages after the earlier parts are the whole history."""
+    parts = {}
+    for p in chat.nest_turns(turns, 4).orderBy("part").collect():
+        parts.setdefault(int(p["id"]), []).append([t["value"] for t in p["conversations"]])
+    assert [len(p) for p in parts[1]] == [4, 4, 1] and [len(p) for p in parts[2]] == [2]
+    rows = history.conversation_history(turns, 4).collect()
+    assert len(rows) == 5
+    for r in rows:
+        before = [text for part in parts[r["conv_id"]][:r["part"]] for text in part]
+        own = [m["content"] for m in r["messages"]]
+        assert before + own == [f"c{r['conv_id']}t{i}" for i in range(r["turn"])]
+    bodies = {(r["conv_id"], r["turn"]): json.loads(r["body"]) for r in history.chat_requests(turns, "m").collect()}
+    assert bodies[1, 3] == {
+        "model": "m", "messages": [{"role": ["user", "assistant"][i % 2], "content": f"c1t{i}"} for i in range(3)],
+        "temperature": 0.7, "max_tokens": 500, "stream": False}
 
 
 @pytest.mark.parametrize("page,want", [
