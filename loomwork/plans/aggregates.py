@@ -145,8 +145,8 @@ def classification_report(spark, d):
 WITH {SCORED}, per AS (SELECT class, score, count(*) FILTER (label = class) AS pos,
   count(*) FILTER (label <> class) AS neg FROM scored GROUP BY class, score),
 curve AS (SELECT class, score AS threshold,
-  sum(neg) OVER w / sum(neg) OVER (PARTITION BY class) AS fpr,
-  sum(pos) OVER w / sum(pos) OVER (PARTITION BY class) AS tpr
+  sum(neg) OVER w / nullif(sum(neg) OVER (PARTITION BY class), 0) AS fpr,
+  sum(pos) OVER w / nullif(sum(pos) OVER (PARTITION BY class), 0) AS tpr
   FROM per WINDOW w AS (PARTITION BY class ORDER BY score DESC))
 SELECT class, threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM curve
 UNION ALL SELECT c::INTEGER, NULL, 0.0, 0.0 FROM range(10) k(c)""")

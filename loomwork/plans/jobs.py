@@ -46,13 +46,16 @@ def flat_map_rows(spark, d):
 
 
 def _centroids(spark, d):
-    """Mean vector of each class: the weights of a linear scorer, CLASSES * DIM numbers."""
+    """Weights and bias of a linear scorer: the mean vector of each class, CLASSES * DIM numbers.
+
+    A class without vectors is never chosen.
+    """
     states = t.vector_entries(spark, d).select(
         F.col("vec_id").alias("worker"), F.col("label").alias("key"), "pos", "value")
-    weights = [[0.0] * DIM for _ in range(CLASSES)]
+    weights, bias = [[0.0] * DIM for _ in range(CLASSES)], [float("-inf")] * CLASSES
     for row in matrices.average_states(states, F.lit(False)).collect():
-        weights[row["key"]][row["pos"]] = row["value"]
-    return weights
+        weights[row["key"]][row["pos"]], bias[row["key"]] = row["value"], 0.0
+    return weights, bias
 
 
 @query("batch_score", f"""
@@ -61,7 +64,7 @@ logits AS (SELECT vec_id, c, sum(value * w) AS z FROM entries JOIN mean USING (p
 best AS (SELECT vec_id, arg_max(c, z) AS pred, max(z) AS top FROM logits GROUP BY vec_id)
 SELECT vec_id, pred, round(1 / sum(exp(z - top)), 6) AS confidence FROM logits JOIN best USING (vec_id) GROUP BY vec_id, pred""")
 def batch_score(spark, d):
-    load = inference.linear_model(_centroids(spark, d), [0.0] * CLASSES)
+    load = inference.linear_model(*_centroids(spark, d))
     scored = inference.batch_score(t.vectors(spark, d), "vec_id", "vec", load)
     return scored.withColumn("confidence", F.round("confidence", 6))
 

@@ -22,7 +22,7 @@ def _labelled(spark, d):
 
 
 @query("read_labelled_tsv", """
-SELECT doc_id, md5(text) AS text_md5, length(text)::INTEGER AS n, quality::DOUBLE AS label
+SELECT doc_id, md5(nullif(text, '')) AS text_md5, length(nullif(text, ''))::INTEGER AS n, quality::DOUBLE AS label
 FROM documents LEFT JOIN labels USING (doc_id)""")
 def read_labelled_tsv(spark, d):
     path = new_folder(spark, "labelled-tsv")
@@ -32,8 +32,8 @@ def read_labelled_tsv(spark, d):
 
 
 @query("read_notes_csv", """
-SELECT doc_id, md5(text) AS text_md5, (length(text) - length(replace(text, chr(10), '')))::INTEGER AS line_breaks
-FROM documents""")
+SELECT doc_id, md5(t) AS text_md5, (length(t) - length(replace(t, chr(10), '')))::INTEGER AS line_breaks
+FROM (SELECT doc_id, nullif(text, '') AS t FROM documents)""")
 def read_notes_csv(spark, d):
     path = new_folder(spark, "notes-csv")
     notes = t.load(spark, d, "documents").select("doc_id", F.col("text").alias("TEXT"))

@@ -26,8 +26,8 @@ def read_labelled_tsv(spark: SparkSession, path: str, schema: str | T.StructType
 
 
 def read_notes_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Comma-separated notes whose text holds line breaks."""
-    return spark.read.schema(schema).options(**QUOTED).csv(path)
+    """Comma-separated notes whose text holds line breaks; an empty field is null."""
+    return spark.read.schema(schema).options(**QUOTED).options(nullValue="", emptyValue="").csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str) -> None:
