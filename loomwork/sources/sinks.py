@@ -21,14 +21,18 @@ def save_snapshot(state: DataFrame, path: str, version: int) -> None:
     state.write.mode("overwrite").parquet(f"{path}/version={int(version)}")
 
 
-def restore_snapshot(spark: SparkSession, path: str, keys: DataFrame, key: str) -> DataFrame:
-    """Latest saved record of each key asked for; nulls for a key never saved."""
+def latest_records(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The record of each saved key in the last version that has it."""
     saved = spark.read.option("basePath", path).parquet(f"{path}/version=*")
     fields = [c for c in saved.columns if c not in (key, "version")]
-    latest = (saved.groupBy(key)
-              .agg(F.max_by(F.struct(*fields, "version"), "version").alias("_s"))
-              .select(key, "_s.*"))
-    return keys.join(latest, key, "left")
+    return (saved.groupBy(key)
+            .agg(F.max_by(F.struct(*fields, "version"), "version").alias("_s"))
+            .select(key, "_s.*"))
+
+
+def restore_snapshot(spark: SparkSession, path: str, keys: DataFrame, key: str) -> DataFrame:
+    """Latest saved record of each key asked for; nulls for a key never saved."""
+    return keys.join(latest_records(spark, path, key), key, "left")
 
 
 def verify_digest(content: Column, expected: Column) -> Column:
