@@ -141,7 +141,8 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
         rows = df.count()
         if rows <= limit:
             return df.withColumn(name, F.lit(0)), False
-        return with_blocks(df, lead, cut_points(df, lead, block_count(rows, limit)), name), True
+        blocked = with_blocks(df, lead, cut_points(df, lead, block_count(rows, limit)), name)
+        return blocked.withColumn(name, F.col(name) + 1), True
     hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "hot")
     found, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if found == 0:
@@ -181,13 +182,14 @@ def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
     if split:
         earlier = (Window.partitionBy(*keys).orderBy(_BLK)
                    .rowsBetween(Window.unboundedPreceding, -1))
-        totals = blocked.groupBy(*keys, _BLK).agg(
+        # Only pieces of hot keys carry anything: a short table.
+        totals = blocked.where(F.col(_BLK) > 0).groupBy(*keys, _BLK).agg(
             *[combine(f"_v{i}").alias(f"_t{i}") for i in range(len(values))])
         carried = totals.select(*keys, _BLK, *[
-            filled(combine(f"_t{i}").over(earlier)).alias(f"_c{i}") for i in range(len(values))])
-        out = out.join(carried, [*keys, _BLK])
+            combine(f"_t{i}").over(earlier).alias(f"_c{i}") for i in range(len(values))])
+        out = out.join(carried, [*keys, _BLK], "left")
         for i, name in enumerate(values):
-            out = out.withColumn(name, joined(F.col(name), F.col(f"_c{i}")))
+            out = out.withColumn(name, joined(F.col(name), filled(F.col(f"_c{i}"))))
         out = out.drop(*[f"_c{i}" for i in range(len(values))])
     return out.drop(_BLK, *[f"_v{i}" for i in range(len(values))])
 
@@ -201,11 +203,11 @@ def following(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
     if split:
         out = out.withColumn(
             "_left", F.lead(F.lit(1)).over(Window.partitionBy(*keys, _BLK).orderBy(*order)))
-        heads = blocked.groupBy(*keys, _BLK).agg(
+        heads = blocked.where(F.col(_BLK) > 0).groupBy(*keys, _BLK).agg(
             F.min_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_head"))
         heads = heads.select(*keys, _BLK, F.lead("_head").over(
             Window.partitionBy(*keys).orderBy(_BLK)).alias("_next"))
-        out = (out.join(heads, [*keys, _BLK])
+        out = (out.join(heads, [*keys, _BLK], "left")
                .withColumn(name, F.when(F.col("_left").isNull(), F.col("_next.v"))
                            .otherwise(F.col(name)))
                .drop("_left", "_next"))
