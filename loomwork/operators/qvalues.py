@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from loomwork.operators.splits import best_per_group
 from loomwork.session import materialize, shared_dir
 
+SMALL_SPACE = 100_000  # (state, action, next state) triples
+
 
 def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
                       discount: float = 0.9) -> DataFrame:
@@ -19,6 +21,8 @@ def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
     """
     moves = materialize(rows.groupBy("state", "action", "next_state").agg(
         F.count("*").alias("n"), F.sum("reward").alias("r")), "moves")
+    if moves.count() <= SMALL_SPACE:
+        moves = moves.coalesce(1)  # the sweeps then need no shuffle
     q = moves.select("state", "action").distinct().withColumn("q", F.lit(0.0))
     for sweep in range(sweeps):
         best = q.groupBy(F.col("state").alias("next_state")).agg(F.max("q").alias("best"))

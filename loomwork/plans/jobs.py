@@ -106,12 +106,12 @@ def _events(spark, d):
 
 @query("account_stream", f"""
 WITH RECURSIVE {S.STEPS}
-SELECT account, arg_max(balance, n) AS balance, count(*) FILTER (status = 'accepted') AS accepted,
+SELECT account, arg_max(balance, n)::DOUBLE AS balance, count(*) FILTER (status = 'accepted') AS accepted,
   count(*) FILTER (status = 'rejected') AS rejected FROM steps WHERE account IN (SELECT account FROM ops) GROUP BY account""")
 def account_stream(spark, d):
     out, checkpoint = jobs.stream_folders(spark, "account-stream")
     jobs.account_stream(t.as_account_ops(_events(spark, d)), out, checkpoint)
-    return jobs.latest_states(spark, out, "account")
+    return t.as_doubles(jobs.latest_states(spark, out, "account"))
 
 
 @query("counter_stream", "SELECT user_id, count(*) AS calls FROM events GROUP BY user_id")

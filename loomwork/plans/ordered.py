@@ -57,16 +57,16 @@ def early_stop(spark, d):
 
 @query("account_ledger", f"""
 WITH RECURSIVE {S.STEPS}
-SELECT account, arg_max(balance, n) AS balance, count(*) FILTER (status = 'accepted') AS accepted,
+SELECT account, arg_max(balance, n)::DOUBLE AS balance, count(*) FILTER (status = 'accepted') AS accepted,
   count(*) FILTER (status = 'rejected') AS rejected FROM steps GROUP BY account""")
 def account_ledger(spark, d):
-    return ledger.account_ledger(t.account_ops(spark, d), _accounts(spark, d))
+    return t.as_doubles(ledger.account_ledger(t.account_ops(spark, d), _accounts(spark, d)))
 
 
 @query("account_ledger_steps", f"""
-WITH RECURSIVE {S.STEPS} SELECT account, ts, id, op, amount, balance, status FROM steps WHERE n > 0""")
+WITH RECURSIVE {S.STEPS} SELECT account, ts, id, op, amount::DOUBLE AS amount, balance::DOUBLE AS balance, status FROM steps WHERE n > 0""")
 def account_ledger_steps(spark, d):
-    return ledger.account_ledger_steps(t.account_ops(spark, d), _accounts(spark, d))
+    return t.as_doubles(ledger.account_ledger_steps(t.account_ops(spark, d), _accounts(spark, d)))
 
 
 @query("apply_positional_ops", """
@@ -74,7 +74,7 @@ WITH placed AS (SELECT c_custkey, c_acctbal::DECIMAL(18,2) AS b, row_number() OV
   FROM customer),
 paid AS (SELECT c_custkey, i, b + 10 * (i + 1) AS b FROM placed)
 SELECT c_custkey, TRUE AS deposit_done, b - (15 + 10 * i) >= 20 AS withdraw_done,
-  (CASE WHEN b - (15 + 10 * i) >= 20 THEN b - (15 + 10 * i) ELSE b END)::DECIMAL(18,2) AS balance FROM paid""")
+  (CASE WHEN b - (15 + 10 * i) >= 20 THEN b - (15 + 10 * i) ELSE b END)::DOUBLE AS balance FROM paid""")
 def apply_positional_ops(spark, d):
     indexed, _ = scan.dense_index(t.load(spark, d, "customer").select(
         "c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
@@ -83,7 +83,7 @@ def apply_positional_ops(spark, d):
     deposits = accounts.select("idx", (10 * (F.col("idx") + 1)).cast("decimal(18,2)").alias("amount"))
     withdrawals = accounts.select("idx", (15 + 10 * F.col("idx")).cast("decimal(18,2)").alias("amount"))
     paid = ledger.apply_positional_ops(accounts, deposits, "deposit")
-    return ledger.apply_positional_ops(paid, withdrawals, "withdraw").drop("idx", "minimal")
+    return t.as_doubles(ledger.apply_positional_ops(paid, withdrawals, "withdraw").drop("idx", "minimal"))
 
 
 @query("conversation_history", """

@@ -128,7 +128,7 @@ WITH steps AS (SELECT user_id, CASE WHEN day(ts) <= 10 THEN 1 WHEN day(ts) <= 20
 saved AS (SELECT user_id, version, 100 + sum(sum(value::DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY version) AS balance
   FROM steps GROUP BY user_id, version),
 latest AS (SELECT * FROM saved QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY version DESC) = 1)
-SELECT c_custkey AS account, balance::DECIMAL(18,2) AS balance,
+SELECT c_custkey AS account, balance::DOUBLE AS balance,
   (CASE WHEN version IS NOT NULL THEN 20 END)::INTEGER AS minimal, version::INTEGER AS version
 FROM customer LEFT JOIN latest ON user_id = c_custkey""")
 def snapshot_save_restore(spark, d):
@@ -145,7 +145,7 @@ def snapshot_save_restore(spark, d):
             F.lit(t.MINIMAL).alias("minimal"))
         sinks.save_snapshot(changed, path, version)
     keys = t.load(spark, d, "customer").select(F.col("c_custkey").alias("account"))
-    return sinks.restore_snapshot(spark, path, keys, "account")
+    return t.as_doubles(sinks.restore_snapshot(spark, path, keys, "account"))
 
 
 @query("verify_digest", """
@@ -238,8 +238,8 @@ def web_links_only(spark, d):
 WITH saved AS (SELECT user_id, 100 + sum(value::DECIMAL(18,2)) AS balance FROM events
   WHERE event_type = 'signup' GROUP BY user_id)
 SELECT c_custkey AS account,
-  (CASE WHEN balance IS NOT NULL THEN balance WHEN c_acctbal >= 20 THEN c_acctbal END)::DECIMAL(18,2) AS balance,
-  (CASE WHEN balance IS NOT NULL OR c_acctbal >= 20 THEN 20 END)::DECIMAL(18,2) AS minimal,
+  (CASE WHEN balance IS NOT NULL THEN balance WHEN c_acctbal >= 20 THEN c_acctbal END)::DECIMAL(18,2)::DOUBLE AS balance,
+  (CASE WHEN balance IS NOT NULL OR c_acctbal >= 20 THEN 20 END)::DOUBLE AS minimal,
   CASE WHEN balance IS NOT NULL THEN 'restored' WHEN c_acctbal >= 20 THEN 'opened' ELSE 'rejected' END AS status
 FROM customer LEFT JOIN saved ON user_id = c_custkey""")
 def restore_or_init(spark, d):
@@ -251,4 +251,4 @@ def restore_or_init(spark, d):
     sinks.save_snapshot(state, path, 1)
     keys = t.load(spark, d, "customer").select(F.col("c_custkey").alias("account"), "c_acctbal")
     saved = sinks.restore_snapshot(spark, path, keys.select("account"), "account")
-    return ledger.restore_or_init(keys, saved, "account", F.col("c_acctbal"), t.MINIMAL)
+    return t.as_doubles(ledger.restore_or_init(keys, saved, "account", F.col("c_acctbal"), t.MINIMAL))

@@ -16,6 +16,12 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles: the form in which queries report money."""
+    return df.withColumns({name: F.col(name).cast("double") for name, kind in df.dtypes
+                           if kind.startswith("decimal")})
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a table stored in fewer pieces than there are cores.
 
