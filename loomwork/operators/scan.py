@@ -9,6 +9,8 @@ points are literals in the plan), so a retried task gives the same answer.
 from __future__ import annotations
 
 import math
+from collections import Counter
+from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -19,31 +21,69 @@ from loomwork.session import materialize
 ROWS_PER_BLOCK = 100_000  # rows ranked in one task
 MAX_BLOCKS = 20_000
 HOT_ROWS = 1_000_000      # a key with more rows is cut into pieces
-HOT_BROADCAST = 500_000  # keys
+HOT_BROADCAST = 500_000   # keys
+
+MAX_TIED = 32            # values of the first lead that get blocks of their own
 
 _BLK = "_blk"
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+Lead = Column | list[Column]
 
 
-def cut_points(df: DataFrame, lead: Column, blocks: int) -> list[float]:
-    """At most ``blocks - 1`` quantiles of ``lead``, in one aggregate."""
-    if blocks <= 1:
-        return []
+class Cuts(NamedTuple):
+    """Borders of the blocks: on the first lead, and on the second one among ``tied`` values."""
+    first: list[float]
+    tied: list[float]
+    second: list[float]
+
+
+def _leads(lead: Lead) -> list[Column]:
+    return [c.cast("double") for c in (lead if isinstance(lead, list) else [lead])]
+
+
+def _quantiles(df: DataFrame, column: Column, blocks: int) -> list[float]:
     shares = [i / blocks for i in range(1, blocks)]
-    found = df.agg(F.percentile_approx(lead.cast("double"), shares, max(10_000, 10 * blocks))
-                   .alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
+    return df.agg(F.percentile_approx(column, shares, max(10_000, 10 * blocks))).first()[0] or []
 
 
-def with_blocks(df: DataFrame, lead: Column, cuts: list[float], name: str = _BLK) -> DataFrame:
-    """Add the block number: how many cut points are at or below ``lead``."""
-    if not cuts:
-        return df.withColumn(name, F.lit(0))
+def cut_points(df: DataFrame, lead: Lead, blocks: int) -> Cuts | None:
+    """Borders that cut ``df`` into about ``blocks`` equal blocks; None for a single block.
+
+    ``lead`` is a number that never decreases along the order, or two numbers the
+    order goes by.  A value of the first that fills several blocks gets blocks of
+    its own, cut along the second.
+    """
+    if blocks <= 1:
+        return None
+    leads = _leads(lead)
+    found = Counter(_quantiles(df, leads[0], blocks))
+    tied = [v for v, n in found.most_common(MAX_TIED) if n > 1] if len(leads) > 1 else []
+    second = _quantiles(df.where(leads[0].isin(tied)), leads[1], found[tied[0]] + 1) if tied else []
+    first = sorted({*found, *(math.nextafter(v, math.inf) for v in tied)})
+    return Cuts(first, tied, sorted(set(second))) if first else None
+
+
+def _bucket(df: DataFrame, column: Column, cuts: list[float], name: str) -> DataFrame:
+    """Add how many cut points are at or below the column."""
     edges = [float("-inf"), *cuts, float("inf")]
     bucketizer = Bucketizer(splits=edges, inputCol="_lead", outputCol=name, handleInvalid="keep")
-    return (bucketizer.transform(df.withColumn("_lead", lead.cast("double")))
+    return (bucketizer.transform(df.withColumn("_lead", column))
             .withColumn(name, F.col(name).cast("int")).drop("_lead"))
 
 
+def with_blocks(df: DataFrame, lead: Lead, cuts: Cuts | None, name: str = _BLK) -> DataFrame:
+    """Add the block number, which never decreases along the order."""
+    if cuts is None:
+        return df.withColumn(name, F.lit(0))
+    leads = _leads(lead)
+    blocked = _bucket(df, leads[0], cuts.first, name)
+    if not cuts.second:
+        return blocked
+    part = F.when(leads[0].isin(cuts.tied), F.col("_part")).otherwise(0)
+    return (_bucket(blocked, leads[1], cuts.second, "_part")
+            .withColumn(name, F.col(name) * (len(cuts.second) + 1) + part).drop("_part"))
+
+
 def block_count(rows: int, rows_per_block: int) -> int:
     return max(1, min(MAX_BLOCKS, math.ceil(rows / rows_per_block)))
 
@@ -59,7 +99,7 @@ def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str, blocks:
         rank = F.row_number().over(Window.partitionBy(_BLK).orderBy(*order))
         return blocked.withColumn(name, (rank - 1).cast("long")).drop(_BLK)
     earlier = Window.orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per block: MAX_BLOCKS rows at most, so one task and a broadcast are safe.
+    # One row per block, (MAX_TIED + 2) * MAX_BLOCKS at the very most: a broadcast is safe.
     starts = (blocked.groupBy(_BLK).agg(F.count("*").alias("_n"))
               .select(_BLK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")))
     inside = F.row_number().over(Window.partitionBy(_BLK).orderBy(*order))
@@ -68,18 +108,21 @@ def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str, blocks:
             .drop(_BLK, "_rank", "_start"))
 
 
-def dense_index(df: DataFrame, order: list[str], lead: Column | None = None,
+def dense_index(df: DataFrame, order: list[str], lead: Lead | None = None,
                 name: str = "idx", rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, int]:
     """Add 0..n-1 in ``order``; returns the frame and n.
 
-    ``lead`` is a number that never decreases along ``order`` (by default the
-    first order column).  The order must have no ties.
+    ``lead`` is as in ``cut_points``, by default the first two order columns if
+    they are numbers.  The order must have no ties.
     """
-    lead = F.col(order[0]) if lead is None else lead
+    if lead is None:
+        kinds = dict(df.dtypes)
+        numbers = [c for c in order[:2] if kinds[c] in NUMBERS]
+        lead = [F.col(c) for c in (numbers if numbers == order[:2] else order[:1])]
     rows = df.count()
     cuts = cut_points(df, lead, block_count(rows, rows_per_block))
     blocked = with_blocks(df, lead, cuts)
-    return _index_in_blocks(blocked, [F.col(c) for c in order], name, len(cuts) + 1), rows
+    return _index_in_blocks(blocked, [F.col(c) for c in order], name, 1 if cuts is None else 2), rows
 
 
 def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataFrame,
@@ -95,7 +138,7 @@ def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataF
     blocked = with_blocks(df, lead, cuts)
     inside = Window.partitionBy(_BLK).orderBy(*order)
     first = F.min_by(value, F.struct(*order))
-    if not cuts:
+    if cuts is None:
         head = df.agg(first).first()[0]
         return blocked.withColumns({
             name: (F.row_number().over(inside) - 1).cast("long"),
@@ -130,7 +173,7 @@ def hash_index(df: DataFrame, hashed: str, ties: list[str], name: str = "idx",
     return _index_in_blocks(df.withColumn(_BLK, prefix), order, name, 16 ** digits), rows
 
 
-def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
+def split_hot_keys(df: DataFrame, keys: list[str], lead: Lead,
                    limit: int = HOT_ROWS, name: str = _BLK) -> tuple[DataFrame, bool]:
     """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks 1, 2, ... along ``lead``.
 
@@ -155,14 +198,14 @@ def split_hot_keys(df: DataFrame, keys: list[str], lead: Column,
             .drop("_hot"), True)
 
 
-def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
+def running(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
             values: dict[str, Column], limit: int = HOT_ROWS,
             largest: bool = False, before: bool = False) -> DataFrame:
     """Per-key running sums (or the ``largest`` so far), exact for hot keys too.
 
     The current row counts unless ``before``; a sum of nothing is 0, a largest of
-    nothing null.  A hot key is cut along ``lead`` (a number that never decreases
-    in ``order``); each piece is done on its own and the earlier pieces carried.
+    nothing null.  A hot key is cut along ``lead`` (as in ``cut_points``); each
+    piece is done on its own and the earlier pieces carried.
     """
     combine = F.max if largest else F.sum
 
@@ -194,7 +237,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
     return out.drop(_BLK, *[f"_v{i}" for i in range(len(values))])
 
 
-def following(df: DataFrame, keys: list[str], order: list[Column], lead: Column,
+def following(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
               value: str, name: str, limit: int = HOT_ROWS) -> DataFrame:
     """The next row's ``value`` within the key (null on the last row)."""
     blocked, split = split_hot_keys(df, keys, lead, limit)

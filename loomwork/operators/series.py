@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomwork.operators import scan
 
 
-def running_counter(df: DataFrame, key: str, order: list[str], lead: Column,
+def running_counter(df: DataFrame, key: str, order: list[str], lead: scan.Lead,
                     limit: int = scan.HOT_ROWS) -> DataFrame:
     """Add ``calls``, the number of the key's rows so far, and the greeting it returns."""
     counted = scan.running(df, [key], [F.col(c) for c in order], lead, {"calls": F.lit(1)}, limit)

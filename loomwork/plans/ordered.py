@@ -25,7 +25,8 @@ SELECT event_id, user_id, n AS calls, 'Hi user #' || n AS greeting FROM
 (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)""")
 def running_counter(spark, d):
     events = t.load(spark, d, "events").select("event_id", "user_id", t.micros().alias("us"))
-    return series.running_counter(events, "user_id", ["us", "event_id"], F.col("us")).drop("us")
+    return series.running_counter(events, "user_id", ["us", "event_id"],
+                                  [F.col("us"), F.col("event_id")]).drop("us")
 
 
 @query("running_loss_blocks", """
@@ -34,7 +35,7 @@ SELECT user_id, (n - 1) // 10 AS block, round(avg(value), 6) AS mean_loss FROM s
 GROUP BY ALL HAVING count(*) = 10""")
 def running_loss_blocks(spark, d):
     events = t.load(spark, d, "events").select("user_id", "event_id", "value", t.micros().alias("us"))
-    steps = scan.running(events, ["user_id"], [F.col("us"), F.col("event_id")], F.col("us"), {"step": F.lit(1)})
+    steps = scan.running(events, ["user_id"], [F.col("us"), F.col("event_id")], [F.col("us"), F.col("event_id")], {"step": F.lit(1)})
     blocks = series.running_loss_blocks(steps, "user_id", "step", "value", 10)
     return blocks.withColumn("mean_loss", F.round("mean_loss", 6))
 

@@ -122,8 +122,8 @@ def transitions(spark: SparkSession, folder: str) -> DataFrame:
     rows = load(spark, folder, "events").select(
         "user_id", "event_id", micros().alias("us"), state.cast("int").alias("state"),
         (F.col("event_id") % 4).cast("int").alias("action"))
-    chained = scan.following(rows, ["user_id"], [F.col("us"), F.col("event_id")], F.col("us"),
-                             "state", "next_state")
+    order = [F.col("us"), F.col("event_id")]
+    chained = scan.following(rows, ["user_id"], order, order, "state", "next_state")
     return chained.where(F.col("next_state").isNotNull()).select(
         "state", "action",
         (F.col("next_state") == types.index("purchase")).cast("double").alias("reward"),

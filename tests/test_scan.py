@@ -28,11 +28,12 @@ def test_hash_index(spark, skewed, limit):
     assert [r["idx"] for r in out.orderBy("h").collect()] == list(range(1000))
 
 
-@pytest.mark.parametrize("limit", [20, 100, 5000])
-def test_running_and_following(spark, skewed, limit):
+@pytest.mark.parametrize("limit,both", [(20, False), (20, True), (100, True), (5000, True)])
+def test_running_and_following(spark, skewed, limit, both):
     order = [F.col("t"), F.col("id")]
-    summed = scan.running(skewed, ["key"], order, F.col("t"), {"n": F.lit(1), "s": F.col("id")}, limit)
-    after = scan.following(skewed, ["key"], order, F.col("t"), "id", "next", limit)
+    lead = order if both else order[0]
+    summed = scan.running(skewed, ["key"], order, lead, {"n": F.lit(1), "s": F.col("id")}, limit)
+    after = scan.following(skewed, ["key"], order, lead, "id", "next", limit)
     rows = {r["id"]: r for r in summed.collect()}
     nexts = {r["id"]: r["next"] for r in after.collect()}
     assert len(rows) == len(nexts) == 1000
@@ -60,6 +61,18 @@ def test_split_marks_only_hot_keys(spark, skewed):
     assert all(n == 1 for key, n in blocks.items() if key != 7)
 
 
+def test_a_value_that_fills_blocks_is_cut_too(spark):
+    """Half of the rows share the first order column."""
+    df = spark.range(1000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 9).alias("t"),
+                                  (F.col("id") * 7919 % 1000).alias("id")).repartition(3)
+    lead = [F.col("t"), F.col("id")]
+    cuts = scan.cut_points(df, lead, 20)
+    sizes = [r["count"] for r in scan.with_blocks(df, lead, cuts).groupBy("_blk").count().collect()]
+    assert 5 in cuts.tied and max(sizes) < 150
+    out, _ = scan.dense_index(df, ["t", "id"], rows_per_block=50)
+    assert [r["idx"] for r in out.orderBy("t", "id").collect()] == list(range(1000))
+
+
 def test_empty_input(spark, skewed):
     none = skewed.where("id < 0")
     out, rows = scan.dense_index(none, ["id"])
