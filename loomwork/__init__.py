@@ -1 +1,8 @@
 """loomwork: data operators for machine-learning workflows, written as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions for Python workers travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,5 +1,9 @@
 """Splits, series, links, snapshots, streams and training."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +150,20 @@ def test_training_learns(spark):
                                     .alias("text"), (F.col("id") % 2).cast("double").alias("label"))
     epochs = training.train_text_classifier(texts, "id", 1, [1, 5], 1 << 8).collect()
     assert epochs[-1]["accuracy"] == 100 and sum(r["is_best"] for r in epochs) == 1
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A driver elsewhere: its Python workers cannot import loomwork."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as entry\n"
+        "from loomwork.session import build_session\n"
+        "spark = build_session('local[2]', 2)\n"
+        "for key in ('map_rows', 'account_ledger_steps', 'account_stream'):\n"
+        "    assert entry.queries()[key](spark, '/root/testdata/sf0.001').count() > 0\n"
+        "print('done')\n")
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=300, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert ran.stdout.strip().endswith("done"), ran.stderr[-2000:]
