@@ -42,6 +42,7 @@ from loomwork.session import materialize
 SHINGLE = 4
 COORDINATES, MATCHES = 32, 14
 BLOCK = 128           # classes on one side of a tile
+BUCKET = 2_048        # rows of tiles that one call handles
 _TAG = np.int64(~63)  # the low bits of a coordinate's value name the coordinate
 _STEP = 1 << 15
 
@@ -67,11 +68,11 @@ def signatures(docs: DataFrame, key: str, text: str, shingle: int, coordinates:
         factors = factors_of(coordinates)
         for batch in vw.slices(batches):
             sets = vw.shingle_sets(batch.column(1), shingle)
-            keys = [vw.set_key(s) for s in sets]
+            keys = vw.set_keys(sets)
             sigs = [signature(s, factors) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.array(keys[:, 0]), pa.array(keys[:, 1]),
                  pa.array(sigs, pa.list_(pa.int64()))], ["id", "n_shingles", "k1", "k2", "sig"])
 
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
@@ -103,13 +104,16 @@ def tiles(members: DataFrame, group: str, block: int) -> DataFrame:
     compared: with the main ones in tiles ``kind`` 0 and with each other in tiles
     ``kind`` 1.  A tile has about ``block`` rows of either side; ``side`` tells them
     apart (in a tile of one block with itself all rows have the same side).
-    Groups without minor members need no tile.
+    Groups without minor members need no tile.  ``bucket`` collects whole tiles to
+    about ``BUCKET`` rows, so small tiles share the cost of a call.
     """
     sizes = materialize(
         members.groupBy(group).agg(F.count_if("main").alias("n_main"), F.count_if(~F.col("main")).alias("n_minor"))
         .where("n_minor > 0 and n_main + n_minor > 1"), "sizes")
     main_blocks = F.ceil(F.col("n_main") / block).cast("long")
     minor_blocks = F.ceil(F.col("n_minor") / block).cast("long")
+    rows = sizes.agg(F.sum(F.col("n_main") * minor_blocks + F.col("n_minor") * (main_blocks + minor_blocks))).first()[0]
+    buckets = max(1, (rows or 0) // BUCKET)
     own = F.pmod(F.xxhash64("id", F.lit(7)), F.when(F.col("main"), main_blocks).otherwise(minor_blocks))
     placed = members.join(sizes, group).withColumn("own", own)
 
@@ -126,7 +130,21 @@ def tiles(members: DataFrame, group: str, block: int) -> DataFrame:
                    ).otherwise(F.transform(upto(minor_blocks), lambda j: tile(
                        1, F.least(mine, j), F.greatest(mine, j), mine)))
     return (placed.withColumn("tile", F.explode(F.concat(crossed, among)))
-            .select("*", "tile.*").drop("tile", "own", "n_main", "n_minor"))
+            .select("*", "tile.*").drop("tile", "own", "n_main", "n_minor")
+            .withColumn("bucket", F.pmod(F.xxhash64(group, "kind", "low", "high"), F.lit(buckets))))
+
+
+def per_tile(tiled: DataFrame, group: str, columns: list[str], links) -> DataFrame:
+    """(a, b): what ``links(rows, crossed)`` finds in each tile; crossed tiles compare their two sides only."""
+    key = [group, "kind", "low", "high"]
+
+    def work(bucket: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        for (_, kind, low, high), rows in bucket.groupby(key, sort=False):
+            found += links(rows, kind == 0 or low != high)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return tiled.select("bucket", *key, *columns).groupBy("bucket").applyInPandas(work, "a bigint, b bigint")
 
 
 class Forest:
@@ -226,31 +244,17 @@ def families(postings: DataFrame, classes: DataFrame, matches: int, block: int)
         .select("token", F.coalesce("component", "hub").alias("centre")), "open")
     rest = tiles(placed.join(centre, "token").withColumn("main", F.col("family") == F.col("centre")), "token", block)
 
-    def compare(_, rows):
-        return pd.DataFrame(family_links(rows, matches), columns=["a", "b"], dtype="int64")
-
-    more = materialize(rest.join(sigs, "id").select("token", "kind", "low", "high", "id", "family", "main", "sig")
-                       .groupBy("token", "kind", "low", "high").applyInPandas(compare, "a bigint, b bigint")
-                       .distinct(), "bridges")
+    more = materialize(per_tile(rest.join(sigs, "id"), "token", ["id", "family", "main", "sig"],
+                                lambda rows, _: family_links(rows, matches)).distinct(), "bridges")
     found = components(near.select(F.col("id").alias("a"), F.col("hub").alias("b")).union(more))
     return found.join(postings.groupBy("id").agg(F.max("heat").alias("heat")), "id")
 
 
-def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, shingle: int,
-                    num: int, den: int, block: int) -> DataFrame:
-    """(a, b): a spanning forest of the similar pairs of each family (members: id, family, heat)."""
-    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-
-    def hashed(batches):
-        for batch in vw.slices(batches):
-            sets = [vw.as_long(s) for s in vw.shingle_sets(batch.column(1), shingle)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64())), batch.column(2)],
-                ["id", "shingles", "family"])
+def confirmed_links(sets: DataFrame, members: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(a, b): a spanning forest of the similar pairs of each family.
 
-    sets = materialize(
-        texts.join(members.select("id", "family"), "id").select("id", "text", "family").mapInArrow(
-            hashed, "id bigint, shingles array<bigint>, family bigint"), "sets")
+    ``sets`` has id, family and shingles, ``members`` id, family and heat.
+    """
     hubs = materialize(members.groupBy("family").agg(F.max(F.struct("heat", "id"))["id"].alias("id")), "hubs")
     hub_sets = materialize(
         sets.join(hubs, ["family", "id"]).groupBy("family", F.col("id").alias("hub"))
@@ -261,18 +265,26 @@ def confirmed_links(members: DataFrame, docs: DataFrame, key: str, text: str, sh
         (den * common >= num * (F.size("shingles") + F.size("hub_shingles") - common)).alias("main"))
     tested = materialize(tested, "tested")
 
-    def confirm(tile, rows):
-        crossed = tile[1] == 0 or tile[2] != tile[3]
-        found = similar_links(rows["id"].to_numpy(), list(rows["shingles"]), rows["main"].to_numpy(dtype=bool),
-                              num, den, rows["side"].to_numpy() if crossed else None)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    def confirm(rows, crossed):
+        return similar_links(rows["id"].to_numpy(), list(rows["shingles"]), rows["main"].to_numpy(dtype=bool),
+                             num, den, rows["side"].to_numpy() if crossed else None)
 
-    rest = (tiles(tested.drop("hub"), "family", block)
-            .select("family", "kind", "low", "high", "side", "id", "main", "shingles")
-            .groupBy("family", "kind", "low", "high").applyInPandas(confirm, "a bigint, b bigint"))
+    rest = per_tile(tiles(tested.drop("hub"), "family", block), "family", ["side", "id", "main", "shingles"], confirm)
     return tested.where("main").select(F.col("id").alias("a"), F.col("hub").alias("b")).union(rest)
 
 
+def shingle_column(rows: DataFrame, shingle: int) -> DataFrame:
+    """(id, family, shingles) from (id, family, text)."""
+    def hashed(batches):
+        for batch in vw.slices(batches):
+            sets = [vw.as_long(s) for s in vw.shingle_sets(batch.column(2), shingle)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))],
+                ["id", "family", "shingles"])
+
+    return rows.select("id", "family", "text").mapInArrow(hashed, "id bigint, family bigint, shingles array<bigint>")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     num: int = 80, den: int = 100, coordinates: int = COORDINATES, matches: int = MATCHES,
                     block: int = BLOCK) -> DataFrame:
@@ -283,7 +295,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         .agg(F.min(F.struct("id", "sig")).alias("s")).select("k1", "k2", "n_shingles", "s.id", "s.sig"), "classes")
     grouped = families(prefix_postings(classes, coordinates, matches), classes, matches, block)
     members = materialize(grouped.select("id", F.col("component").alias("family"), "heat"), "members")
-    links = materialize(confirmed_links(members, docs, key, text, shingle, num, den, block), "similar")
+    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    sets = materialize(shingle_column(texts.join(members.select("id", "family"), "id"), shingle), "sets")
+    links = materialize(confirmed_links(sets, members, num, den, block), "similar")
     found = components(links).select(F.col("id").alias("class_id"), "component")
     classes = classes.select("k1", "k2", "n_shingles", F.col("id").alias("class_id"))
     named = classes.join(found, "class_id", "left").select(

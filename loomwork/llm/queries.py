@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomwork.llm import minhash_docs, quality
+from loomwork.llm import (
+    bpe, language, line_chunks, minhash_docs, packing, paragraphs, pseudonyms, quality, toxicity, vector_cells)
 from loomwork.plans.registry import Registry
 
+PSEUDONYM_KEY = "loomwork"   # a deployment passes its own secret
+
 REGISTRY = Registry()
 query = REGISTRY.query
 
@@ -15,6 +20,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(key: str, parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``: the folds of the training queries."""
+    return F.crc32(F.col(key).cast("string")) % parts
+
+
+OP1_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings),
+fit AS (SELECT * FROM v WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+  AND len([x FOR x IN e IF x <> 0]) > 0),
+links AS (SELECT a.vec_id AS i, b.vec_id AS j FROM fit a JOIN fit b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS i, vec_id AS r FROM v UNION SELECT l.j, reach.r FROM reach JOIN links l ON l.i = reach.i),
+counts AS (SELECT i, count(*) AS n FROM links GROUP BY i)
+SELECT v.vec_id, CAST(coalesce(any_value(c.n), 0) AS BIGINT) AS n_links, min(r) AS component_id,
+  min(r) = v.vec_id AS kept
+FROM v JOIN reach ON reach.i = v.vec_id LEFT JOIN counts c ON c.i = v.vec_id GROUP BY v.vec_id
+"""
+
+
+@query("op1_embedding_cells", OP1_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_cells.near_vectors(table(spark, folder, "embeddings"))
+
+
 # Word shingles of four, linked at 80 per cent or more; the component by repeated minima over the links.
 OP2_SQL = r"""
 WITH RECURSIVE words AS (
@@ -41,6 +70,50 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op3_language_codes")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(True))
+    model = language.train(docs, ~held_out)
+    found = language.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op4_paragraph_bands")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_units(table(spark, folder, "documents"))
+
+
+@query("op5_toxicity_pairs")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machine = toxicity.train(docs, table(spark, folder, "labels"), remainder("_id", 3) != 1)
+    return toxicity.score(docs, machine).select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
+@query("op6_pii_pseudonyms")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_values")
+
+
+@query("op7_pair_index_bpe")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_line_chunks")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_chunks.dedup_lines(docs, count="lines_removed")
+
+
+@query("op9_cost_packing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"))

@@ -169,8 +169,14 @@ def as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def set_key(values: np.ndarray) -> tuple[int, int]:
-    """128 bits that identify a set of hashes: two differently mixed sums."""
-    one = int(mix(values).sum(dtype=np.uint64)) if len(values) else 0
-    two = int(mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)) if len(values) else 0
-    return one - (1 << 63), two - (1 << 63)
+def set_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """128 bits that identify each set of hashes, as two columns of long: sums of differently mixed members."""
+    out = np.zeros((len(sets), 2), dtype=np.uint64)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    held = np.flatnonzero(sizes)
+    if len(held):
+        members = np.concatenate(sets)
+        starts = np.concatenate([[0], np.cumsum(sizes[held])[:-1]])
+        out[held, 0] = np.add.reduceat(mix(members), starts)
+        out[held, 1] = np.add.reduceat(mix(members ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+    return as_long(out)
