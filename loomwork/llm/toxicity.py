@@ -1,17 +1,17 @@
 """Operator 5, toxicity by a factorization machine over hashed terms.
 
 A text's features are its distinct terms: runs of letters and digits, lower-cased
-in A-Z, hashed to 64 bits (no shared buckets, so a rare word cannot pass for an
-insult).  Which hashed terms become features is learned: terms frequent enough
-among the training texts, those that separate the labels best and those that are
-most common (a group mention may say nothing alone).  The machine adds a linear
+in A-Z, and their first ``STEM`` bytes (so an inflected insult is known by its stem),
+hashed to 64 bits (no shared buckets, so a rare word cannot pass for an insult).  Which hashed terms become features is learned: terms frequent enough
+among the training texts, those that separate the labels and those that are most
+common (a group mention may say nothing alone).  The machine adds a linear
 weight per term and, for every pair of terms, the product of their factor vectors:
 an insult beside a mention may weigh more than both alone.
 
 Training takes at most ``bound`` labelled texts, drawn by the digest of their id;
 equal texts count once, with the mean of their labels.  Each round every task
-improves its own copy of the machine on its share (AdaGrad on the logistic loss)
-and the copies are averaged, weighed by rows.
+improves its own copy of the machine on its share (Adam on the logistic loss) and
+the copies are averaged, weighed by rows.
 
 A null or empty text has no terms and scores the bias.  Labels that are null are
 not used; several labels of one document are averaged.  Repeated rows get equal
@@ -33,13 +33,15 @@ from loomwork.llm import vectorwords as vw
 from loomwork.session import materialize
 
 BOUND = 40_000         # labelled texts used in training
-MIN_TEXTS = 5          # training texts a term must occur in
-TELLING, COMMON = 2_048, 2_048
+STEM = 7               # bytes of a word that make its stem
+MIN_TEXTS = 3          # training texts a term must occur in
+FAR = 4.0              # deviations from the base rate that make a term telling
+TELLING, COMMON = 4_096, 512
 FACTORS = 4
-SHARDS, ROUNDS, STEPS = 4, 6, 200_000    # STEPS: updates of one row, over all rounds and shards
-RATE, SHRINK = 0.15, 2e-3
-CLEAR = 12.0           # deviations from the base rate at which a term's value reaches 1
-FAINT = 0.1            # least value of a term
+SHARDS, ROUNDS, STEPS = 4, 6, 25
+RATE, SHRINK = 0.2, 1e-4
+CLEAR = 6.0            # deviations from the base rate at which a term's value reaches 1
+FAINT = 0.05           # least value of a term
 THRESHOLD = 0.7
 
 # A term ends at any ASCII character that is no letter or digit.
@@ -66,10 +68,13 @@ class Machine(NamedTuple):
 
 
 def _terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every term, first term of every text)."""
+    """(hash of every term, first term of every text): two terms a word, itself and its stem."""
     data, offsets = vw.column_bytes(column)
     found = vw.find_words(data, offsets, _GAP)
-    return vw.as_long(vw.hash_spans(data, found.start, found.end, vw.LOWER)), found.first
+    whole = vw.hash_spans(data, found.start, found.end, vw.LOWER)
+    stems = vw.hash_spans(data, found.start, np.minimum(found.end, found.start + STEM), vw.LOWER)
+    both = np.stack([whole, vw.mix(stems + np.uint64(1))], axis=1).ravel()
+    return vw.as_long(both), 2 * found.first
 
 
 def _features(hashes: np.ndarray, first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,44 +120,42 @@ def _choose(train: DataFrame, rows: int, base: float, min_texts: int, telling: i
         F.count("*").alias("n"), F.sum("label").alias("s")).where(F.col("n") >= min_texts), "terms")
     far = F.abs(F.col("s") - F.col("n") * base) / F.sqrt(F.col("n") * F.lit(base * (1 - base)) + 1e-9)
     scored = counts.withColumn("far", far)
-    best = scored.orderBy(F.desc("far"), "term").limit(telling).toPandas()
+    best = scored.where(F.col("far") >= FAR).orderBy(F.desc("far"), "term").limit(telling).toPandas()
     most = scored.orderBy(F.desc("n"), "term").limit(common).toPandas()
     chosen = pd.concat([best, most]).drop_duplicates("term").sort_values("term", ignore_index=True)
     return chosen.assign(value=np.clip(chosen["far"] / CLEAR, FAINT, 1.0))[["term", "value"]]
 
 
-def _improve(machine: Machine, label: np.ndarray, features: list[np.ndarray], passes: int, rate: float,
-             shrink: float, seed: int) -> Machine:
-    """AdaGrad over the rows in a fixed random order."""
-    linear, factors, bias = machine.linear.copy(), machine.factors.copy(), machine.bias
-    seen = [np.full(linear.shape, 1e-2), np.full(factors.shape, 1e-2), 1e-2]
-    draw = np.random.default_rng(seed)
-    for _ in range(passes):
-        for i in draw.permutation(len(label)):
-            f = features[i]
-            x = machine.values[f]
-            v = factors[f]
-            vx = v * x[:, None]
-            total = vx.sum(axis=0)
-            raw = bias + linear[f] @ x + 0.5 * ((total ** 2).sum() - (vx ** 2).sum())
-            slip = 1 / (1 + np.exp(-np.clip(raw, -60, 60))) - label[i]
-            step = slip * x + shrink * linear[f]
-            seen[0][f] += step ** 2
-            linear[f] -= rate * step / np.sqrt(seen[0][f])
-            step = slip * x[:, None] * (total[None, :] - vx) + shrink * v
-            seen[1][f] += step ** 2
-            factors[f] -= rate * step / np.sqrt(seen[1][f])
-            seen[2] += slip * slip
-            bias -= rate * slip / np.sqrt(seen[2])
-    return machine._replace(linear=linear, factors=factors, bias=float(bias))
-
-
-def _shard_step(shared, round_: int, passes: int):
+def _improve(machine: Machine, label: np.ndarray, texts: np.ndarray, features: np.ndarray, steps: int) -> Machine:
+    """Adam steps on the mean logistic loss of all rows, given as (text, feature) pairs."""
+    rows, width, count = len(label), len(machine.terms), machine.factors.shape[1]
+    x = machine.values[features]
+    now = [machine.linear, machine.factors, np.array(machine.bias)]
+    mean, square = [np.zeros_like(p) for p in now], [np.zeros_like(p) for p in now]
+    for step in range(1, steps + 1):
+        linear, factors, bias = now
+        slip = (machine._replace(linear=linear, factors=factors, bias=float(bias)).scores(texts, features, rows)
+                - label) / rows
+        push = slip[texts] * x
+        slope = np.empty((width, count))
+        for k in range(count):
+            vx = factors[features, k] * x
+            slope[:, k] = np.bincount(features, push * (np.bincount(texts, vx, rows)[texts] - vx), width)
+        slopes = [np.bincount(features, push, width) + SHRINK * linear, slope + SHRINK * factors, slip.sum()]
+        for i, g in enumerate(slopes):
+            mean[i] = 0.9 * mean[i] + 0.1 * g
+            square[i] = 0.99 * square[i] + 0.01 * g * g
+            now[i] = now[i] - RATE * (mean[i] / (1 - 0.9 ** step)) / (np.sqrt(square[i] / (1 - 0.99 ** step)) + 1e-8)
+    return machine._replace(linear=now[0], factors=now[1], bias=float(now[2]))
+
+
+def _shard_step(shared):
     """One round on a shard: its rows to a row with the improved machine."""
     def improve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("k1")
-        features = [np.asarray(f, dtype=np.int64) for f in rows["features"]]
-        new = _improve(shared.value, rows["label"].to_numpy(), features, passes, RATE / (1 + round_), SHRINK, round_)
+        texts = np.repeat(np.arange(len(rows)), [len(f) for f in rows["features"]])
+        features = np.concatenate([np.asarray(f, dtype=np.int64) for f in rows["features"]])
+        new = _improve(shared.value, rows["label"].to_numpy(), texts, features, STEPS)
         return pd.DataFrame({"n": [len(rows)], "bias": [new.bias], "linear": [new.linear.tolist()],
                              "factors": [new.factors.ravel().tolist()]})
     return improve
@@ -187,16 +190,15 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
 
     located = materialize(rows.select("label", "terms", "k1", F.pmod(F.xxhash64("k1"), F.lit(shards)).cast("int").alias("shard"))
                           .mapInArrow(locate, "label double, features array<int>, k1 bigint, shard int"), "located")
-    passes = max(1, min(50, STEPS // (n * rounds)))
     draw = np.random.default_rng(3)
     machine = Machine(terms, values, np.zeros(len(terms)), draw.normal(0, 0.02, (len(terms), FACTORS)),
                       float(np.log(base / (1 - base))))
-    for round_ in range(rounds):
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(machine)
 
         # a row per shard, each the size of the machine
         parts = located.groupBy("shard").applyInPandas(
-            _shard_step(shared, round_, passes), "n bigint, bias double, linear array<double>, factors array<double>").toPandas()
+            _shard_step(shared), "n bigint, bias double, linear array<double>, factors array<double>").toPandas()
         weight = parts["n"].to_numpy() / parts["n"].sum()
         machine = machine._replace(
             bias=float((parts["bias"] * weight).sum()),
