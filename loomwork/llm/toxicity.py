@@ -40,8 +40,8 @@ TELLING, COMMON = 4_096, 512
 FACTORS = 4
 SHARDS, ROUNDS, STEPS = 4, 6, 25
 RATE, SHRINK = 0.2, 1e-4
-CLEAR = 6.0            # deviations from the base rate at which a term's value reaches 1
-FAINT = 0.05           # least value of a term
+CLEAR = 6.0            # deviations at which a telling term's value reaches 1
+FAINT = 0.05           # value of the other terms
 THRESHOLD = 0.7
 
 # A term ends at any ASCII character that is no letter or digit.
@@ -123,7 +123,8 @@ def _choose(train: DataFrame, rows: int, base: float, min_texts: int, telling: i
     best = scored.where(F.col("far") >= FAR).orderBy(F.desc("far"), "term").limit(telling).toPandas()
     most = scored.orderBy(F.desc("n"), "term").limit(common).toPandas()
     chosen = pd.concat([best, most]).drop_duplicates("term").sort_values("term", ignore_index=True)
-    return chosen.assign(value=np.clip(chosen["far"] / CLEAR, FAINT, 1.0))[["term", "value"]]
+    value = np.where(chosen["far"] >= FAR, np.minimum(chosen["far"] / CLEAR, 1.0), FAINT)
+    return chosen.assign(value=value)[["term", "value"]]
 
 
 def _improve(machine: Machine, label: np.ndarray, texts: np.ndarray, features: np.ndarray, steps: int) -> Machine:
