@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.columns import unused
+
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)    # 17 * 4297 days: 1900 to 2099
 
@@ -181,6 +183,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     rebuilt = F.array_join(F.transform(between, lambda part, i: F.concat(
         part, F.coalesce(F.get(new, i), F.lit("")))), "")
     candidate = whole.rlike("[0-9@]")
-    out = docs.withColumn("_values", F.when(candidate, F.size(F.filter(matches, validated))).otherwise(0)) if count else docs
+    values = unused(docs, "_values")   # counted before the text changes, named afterwards
+    out = docs.withColumn(values, F.when(candidate, F.size(F.filter(matches, validated))).otherwise(0)) if count else docs
     out = out.withColumn(text, F.when(candidate & whole.rlike(ANY), rebuilt).otherwise(whole))
-    return out.withColumnRenamed("_values", count) if count else out
+    return out.withColumnRenamed(values, count) if count else out

@@ -149,12 +149,15 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200,
                     smooth: float = 1.0) -> LabelModel:
     """Expectation-maximisation over vote patterns with their document counts.
 
-    Starts from the majority of the votes, so the class called good is the one the
-    rules vote for; add-``smooth`` counts keep every probability above 0.
+    Starts from the votes themselves, a bad one weighing as eight good ones: rules are
+    written to fire on what is wrong, and most text passes most of them.  Add-``smooth``
+    counts, which lean towards rules that vote for the class, keep every probability
+    above 0.
     """
     rules = patterns.shape[1] if patterns.size else 0
     total = max(float(counts.sum()), 1.0)
-    belief = 1 / (1 + np.exp(-2.0 * patterns.sum(axis=1))) if rules else np.zeros(0)
+    start = 1 + 0.25 * (patterns > 0).sum(axis=1) - 2.0 * (patterns < 0).sum(axis=1) if rules else np.zeros(0)
+    belief = 1 / (1 + np.exp(-start))
     model = LabelModel(0.5, np.full((rules, 3), 1 / 3), np.full((rules, 3), 1 / 3))
     for _ in range(rounds):
         tables = []
