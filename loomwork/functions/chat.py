@@ -12,30 +12,37 @@ IMAGE_NOTE = "[图像]"
 USER_NAME, ASSISTANT_NAME = "用户", "助手"
 HTTP_ERROR, CALL_ERROR = "错误: HTTP", "请求错误:"
 
-# Turns of one nested record.  A longer conversation goes on in parts 1, 2, ...
-PART_TURNS = 1_000
+# Turns that are gathered in one task; a longer conversation is put together from such pieces.
+PIECE_TURNS = 1_000
 
 REPLY = "choices ARRAY<STRUCT<message: STRUCT<role: STRING, content: STRING>>>"
 
 
-def part_of(turn: Column, part_turns: int = PART_TURNS) -> Column:
-    """Part of a conversation that a turn belongs to; 0 for all but very long ones."""
-    return F.floor(turn / F.lit(part_turns)).cast("int")
+def piece_of(turn: Column, piece_turns: int | None = None) -> Column:
+    """Piece of a conversation that a turn belongs to; 0 for all but very long ones."""
+    return F.coalesce(F.floor(turn / F.lit(piece_turns or PIECE_TURNS)).cast("long"), F.lit(0))
 
 
-def nest_turns(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """(conv_id, turn, role, text) rows to records (id, part, image, conversations).
+def pieces(turns: DataFrame, piece_turns: int | None = None) -> DataFrame:
+    """(conv_id, piece, turns ARRAY in order): the rows of a very long conversation in several groups."""
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    return turns.groupBy("conv_id", piece_of(F.col("turn"), piece_turns).alias("piece")).agg(ordered.alias("turns"))
+
 
-    A group holds at most ``part_turns`` turns, however long the conversation.
+def nest_turns(turns: DataFrame, piece_turns: int | None = None) -> DataFrame:
+    """(conv_id, turn, role, text) rows to records (id, image, conversations), one per conversation.
+
+    A record holds its whole conversation, so a row is as long as that; turns are
+    gathered and sorted in pieces.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    return (turns.groupBy("conv_id", part_of(F.col("turn"), part_turns).alias("part"))
-            .agg(ordered.alias("_turns"))
-            .select(F.col("conv_id").cast("string").alias("id"), "part",
-                    F.concat(F.lit("images/"), F.col("conv_id"), F.lit(".jpg")).alias("image"),
-                    F.transform("_turns", lambda t: F.struct(
-                        t["role"].alias("from"), t["text"].alias("value")))
-                    .alias("conversations")))
+    whole = pieces(turns, piece_turns).groupBy("conv_id").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", "turns"))),
+                              lambda p: p["turns"])).alias("_turns"))
+    return whole.select(
+        F.col("conv_id").cast("string").alias("id"),
+        F.concat(F.lit("images/"), F.col("conv_id"), F.lit(".jpg")).alias("image"),
+        F.transform("_turns", lambda t: F.struct(t["role"].alias("from"), t["text"].alias("value")))
+        .alias("conversations"))
 
 
 def turn_block(role: Column, text: Column) -> Column:

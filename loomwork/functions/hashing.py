@@ -41,9 +41,10 @@ def coin(*parts) -> Column:
 
 
 def draw_int(limit, *parts) -> Column:
-    """Integer in 0..limit, limit included."""
+    """Integer in 0..limit, limit included, from 60 bits of the digest."""
     top = limit if isinstance(limit, Column) else F.lit(int(limit))
-    return number_in(digest(*parts)) % (top.cast("long") + F.lit(1))
+    drawn = F.conv(F.substring(digest(*parts), 1, 15), 16, 10).cast("long")
+    return drawn % (top.cast("long") + F.lit(1))
 
 
 def draw_between(low: float, high: float, *parts) -> Column:

@@ -9,35 +9,39 @@ from loomwork.functions import chat
 from loomwork.operators import scan
 
 
-def conversation_history(turns: DataFrame, part_turns: int = chat.PART_TURNS) -> DataFrame:
-    """For each assistant turn the earlier turns: (conv_id, turn, part, messages).
+def conversation_history(turns: DataFrame, piece_turns: int | None = None) -> DataFrame:
+    """For each assistant turn all earlier turns: (conv_id, turn, text, messages).
 
-    ``messages`` holds the earlier turns of the same part.  All but very long
-    conversations are one part (part 0), and the list is the whole history.  In
-    a longer one the earlier parts come before it; they are kept once, as the
-    records of ``nest_turns``, and not repeated in every later row.
+    A very long conversation is gathered in pieces.  A turn takes what comes before
+    it in its own piece and the earlier pieces, which are put together once per piece,
+    so no task builds all histories of a conversation.
     """
-    parted = turns.withColumn("part", chat.part_of(F.col("turn"), part_turns))
-    earlier = (Window.partitionBy("conv_id", "part").orderBy("turn")
-               .rowsBetween(Window.unboundedPreceding, -1))
     message = F.struct(F.col("role"), F.col("text").alias("content"))
-    return (parted.withColumn("messages", F.collect_list(message).over(earlier))
-            .where(F.col("role") == "assistant")
-            .select("conv_id", "turn", "part", "text", "messages"))
-
-
-def chat_requests(turns: DataFrame, model: str, part_turns: int = chat.PART_TURNS) -> DataFrame:
-    """(conv_id, turn, part, body): the request that each assistant turn answers.
-
-    As in ``conversation_history``, a request of part 0 is complete; one of a later
-    part is completed by the messages of the earlier parts, which are kept once.
-    """
-    return conversation_history(turns, part_turns).select(
-        "conv_id", "turn", "part", chat.chat_request_json(F.col("messages"), model).alias("body"))
+    inside = (Window.partitionBy("conv_id", "_piece").orderBy("turn")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    placed = turns.withColumn("_piece", chat.piece_of(F.col("turn"), piece_turns))
+    own = placed.withColumn("_own", F.collect_list(message).over(inside)).where(F.col("role") == "assistant")
+    pieces = chat.pieces(turns, piece_turns)
+    before = pieces.select("conv_id", F.col("piece").alias("_before"), "turns")
+    earlier = (pieces.where("piece > 0").select("conv_id", F.col("piece").alias("_piece")).join(before, "conv_id")
+               .where("_before < _piece").groupBy("conv_id", "_piece")
+               .agg(F.array_sort(F.collect_list(F.struct("_before", "turns"))).alias("_lists")))
+    said = F.transform(F.flatten(F.transform("_lists", lambda p: p["turns"])), lambda t: F.struct(
+        t["role"].alias("role"), t["text"].alias("content")))
+    earlier = earlier.select("conv_id", "_piece", said.alias("_earlier"))
+    whole = F.when(F.col("_earlier").isNull(), F.col("_own")).otherwise(F.concat("_earlier", "_own"))
+    return own.join(earlier, ["conv_id", "_piece"], "left").select(
+        "conv_id", "turn", "text", whole.alias("messages"))
+
+
+def chat_requests(turns: DataFrame, model: str, piece_turns: int | None = None) -> DataFrame:
+    """(conv_id, turn, body): the request that each assistant turn answers, with the whole history."""
+    return conversation_history(turns, piece_turns).select(
+        "conv_id", "turn", chat.chat_request_json(F.col("messages"), model).alias("body"))
 
 
 def history_display(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, line): numbered lines of each conversation, numbers from 1."""
-    numbered = scan.running(turns, ["conv_id"], [F.col("turn")], F.col("turn"), {"n": F.lit(1)})
+    numbered = scan.running(turns, ["conv_id"], ["turn"], {"n": F.lit(1)})
     return numbered.select("conv_id", "turn", chat.history_line(
         F.col("n"), F.col("role"), F.col("text")).alias("line"))

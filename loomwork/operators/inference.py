@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork.functions import text as tx
 
@@ -35,7 +36,7 @@ def flat_map_rows(df: DataFrame, function: Callable[[tuple], Iterator[tuple]], s
         if out:
             yield pd.DataFrame(out)
 
-    names = [part.split()[0] for part in schema.split(",")]
+    names = T.StructType.fromDDL(schema).fieldNames()
 
     def named(batches):
         for pdf in run(batches):
@@ -78,22 +79,23 @@ def linear_model(weights: list[list[float]], bias: list[float]) -> Callable:
 def summarize(df: DataFrame, key: str, column: str, most: int = 15) -> DataFrame:
     """(key, words): the document's most frequent words, in the order they first appear.
 
-    The whole text counts; words are counted per document before the shuffle.
+    The whole text counts; words are counted per document before the shuffle.  A
+    document without words has an empty list.
     """
-    words = df.select(key, F.posexplode(tx.lower_words(F.col(column))).alias("pos", "word"))
+    words = df.select(key, F.posexplode_outer(tx.lower_words(F.col(column))).alias("pos", "word"))
     counted = words.groupBy(key, "word").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "first"))
     kept = counted.withColumn("_place", place).where(F.col("_place") <= most)
+    entry = F.when(F.col("word").isNotNull(), F.struct("first", "word"))
     return kept.groupBy(key).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("first", "word"))), lambda e: e["word"]).alias("words"))
+        F.array_sort(F.collect_list(entry)), lambda e: e["word"]).alias("words"))
 
 
-def two_stage_inference(df: DataFrame, key: str, column: str, table: dict[str, str],
-                        least: int = 5, most: int = 15) -> DataFrame:
+def two_stage_inference(df: DataFrame, key: str, column: str, table: dict[str, str], most: int = 15) -> DataFrame:
     """(key, summary, translation): summarise, then translate the summary word by word.
 
-    Documents with fewer than ``least`` words have no summary.
+    Every document gets an answer; that of a document without words is empty.
     """
-    short = summarize(df, key, column, most).where(F.size("words") >= least)
+    short = summarize(df, key, column, most)
     return short.select(key, F.array_join("words", " ").alias("summary"),
                         F.array_join(tx.replace_words(F.col("words"), table), " ").alias("translation"))

@@ -65,7 +65,7 @@ def _listed(ops: DataFrame, seg: Column) -> DataFrame:
 def _segments(ops: DataFrame, per_segment: int) -> tuple[DataFrame, DataFrame | None]:
     """Ordinary accounts in one segment each (seg 0), and long ones in segments of at
     most ``per_segment`` operations (None if there are none)."""
-    blocked, split = scan.split_hot_keys(ops, ["account"], [F.col("ts"), F.col("id")], per_segment)
+    blocked, split = scan.split_hot_keys(ops, ["account"], ["ts", "id"], per_segment)
     if not split:
         return _listed(ops, F.lit(0).cast("long")), None
     place = F.row_number().over(Window.partitionBy("account", "_blk").orderBy("ts", "id")) - 1

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.session import materialize, shared_dir
+from loomwork.session import materialize
 
 DEFAULT_LINKS = 4  # fixed value: the cap of pages found by the crawl itself
 
 
-def broadcast_lookup(items: DataFrame, table: DataFrame, key: str, limit: int = 100_000) -> DataFrame:
+def broadcast_lookup(items: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Value of each item in a shared table, null if it is not there.
 
-    The table goes to every task only when it has at most ``limit`` rows;
-    a larger one is joined by the plan Spark picks from its size.
+    Spark sends the table to every task when its measured bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.
     """
-    small = table.limit(limit + 1).count() <= limit
-    return items.join(F.broadcast(table) if small else table, key, "left")
+    return items.join(table, key, "left")
 
 
 def follow_up_lookup(table: DataFrame, key: str, value: str) -> DataFrame:
@@ -57,12 +56,13 @@ def follow_cap(edges: DataFrame, max_links: int) -> DataFrame:
 
 def crawl_bounded(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = 1,
                   max_links: int = DEFAULT_LINKS, dedup: bool = False) -> DataFrame:
-    """(url, depth, copies): pages a bounded crawl returns, with how often.
+    """(url, depth, copies, html): pages a bounded crawl returns, with how often and their body.
 
-    Pages deeper than ``max_depth`` are returned and not expanded.  The seeds'
+    ``pages`` is (url, html); of several bodies of a page the least counts.  Pages deeper than ``max_depth`` are returned and not expanded.  The seeds'
     links are capped by ``max_links``, those of later pages by the default cap.
     Only known pages count.  With ``dedup`` a page has one row, its least depth.
     """
+    bodies = pages.groupBy("url").agg(F.min("html").alias("html"))
     known = pages.select("url").distinct()
 
     def into_known(max_links: int) -> DataFrame:
@@ -73,17 +73,14 @@ def crawl_bounded(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_dept
     later_edges = seed_edges if max_links == DEFAULT_LINKS else into_known(DEFAULT_LINKS)
     level = (seeds.groupBy("url").agg(F.count("*").alias("copies"))
              .join(known, "url", "left_semi").select("url", F.lit(0).alias("depth"), "copies"))
-    levels = [level]
+    levels = [materialize(level, "level")]
     for depth in range(max_depth + 1):
-        level = expand_links(level, seed_edges if depth == 0 else later_edges)
-        if depth % 3 == 2:  # long crawls: cut the lineage
-            shared_dir(seeds.sparkSession)
-            level = level.checkpoint()
-        levels.append(level)
+        # written, so that later levels and the result do not compute it again
+        levels.append(materialize(expand_links(levels[-1], seed_edges if depth == 0 else later_edges), "level"))
     result = levels[0]
     for more in levels[1:]:
         result = result.unionByName(more)
     if dedup:
         result = result.groupBy("url").agg(F.min("depth").alias("depth"),
                                            F.sum("copies").alias("copies"))
-    return result
+    return result.join(bodies, "url")

@@ -37,7 +37,7 @@ def rebuild_states(entries: DataFrame) -> DataFrame:
 
 
 def magnitude_prune(entries: DataFrame, key: str, share: float = 0.2,
-                    rows_per_block: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+                    rows_per_block: int | None = None) -> DataFrame:
     """Zero the round(share*n) entries (key, pos, value) of smallest magnitude.
 
     Only the threshold is looked for: magnitudes below it go, those above stay,
@@ -48,33 +48,45 @@ def magnitude_prune(entries: DataFrame, key: str, share: float = 0.2,
     wanted = round(share * rows)
     if wanted == 0:
         return entries.withColumn("pruned", F.lit(False))
-    threshold = _kth_smallest(entries.select(magnitude.alias("m")), wanted)
-    below = entries.where(magnitude < threshold).count()
-    ties, _ = scan.dense_index(entries.where(magnitude == threshold).select(key, "pos"),
-                               [key, "pos"], rows_per_block=rows_per_block)
+    threshold, below = _kth_smallest(entries.select(magnitude.alias("m")), wanted, rows)
+    # Compared as the type orders them: NaN is the largest magnitude, null the least.
+    same = magnitude.eqNullSafe(F.lit(threshold))
+    ties, _ = scan.dense_index(entries.where(same).select(key, "pos"), [key, "pos"], rows_per_block=rows_per_block)
     ties = ties.where(F.col("idx") < wanted - below).select(key, "pos", F.lit(True).alias("_tie"))
-    goes = (magnitude < threshold) | F.col("_tie").isNotNull()
+    goes = F.coalesce(_before(magnitude, threshold), F.lit(False)) | F.col("_tie").isNotNull()
     return (entries.join(ties, [key, "pos"], "left").withColumn("pruned", goes)
             .withColumn("value", F.when(goes, F.lit(0.0)).otherwise(F.col("value"))).drop("_tie"))
 
 
-def _kth_smallest(values: DataFrame, k: int) -> float:
-    """Exact k-th smallest of column m (k from 1), without sorting.
+def _before(column: Column, bound: float | None) -> Column:
+    """Whether a value sorts before the bound, null first."""
+    if bound is None:
+        return F.lit(False)
+    return column.isNull() | (column < F.lit(bound))
 
-    Each pass counts 256 equal bins of the current range and goes on in the bin
-    that holds the rank, until that bin is one distinct value.
+
+def _kth_smallest(values: DataFrame, k: int, rows: int) -> tuple[float | None, int]:
+    """The k-th smallest of column m (k from 1, nulls first), and how many values are below it.
+
+    Three passes whatever the values: quantiles bracket the rank, one count gives
+    the number below the bracket, and only what lies inside it is sorted.
     """
-    low, high = values.agg(F.min("m"), F.max("m")).first()
-    before = 0
-    while low < high:
-        inside = values.where((F.col("m") >= low) & (F.col("m") <= high))
-        slot = F.least(F.floor((F.col("m") - F.lit(low)) / F.lit((high - low) / 256)), F.lit(255))
-        bins = (inside.groupBy(slot.alias("s"))
-                .agg(F.count("*").alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi"))
-                .orderBy("s").collect())  # 256 rows at most
-        for row in bins:
-            if before + row["n"] >= k:
-                low, high = row["lo"], row["hi"]
-                break
-            before += row["n"]
-    return low
+    nulls = values.where("m is null").count()
+    if k <= nulls:
+        return None, 0
+    accuracy, rank = 10_000, k - nulls
+    known = max(1, rows - nulls)
+    shares = [min(1.0, max(0.0, (rank / known) + d / accuracy)) for d in (-2, 2)]
+    low, high = values.agg(F.percentile_approx("m", shares, accuracy)).first()[0]
+    low, high = (None if rank <= known * 2 / accuracy else low), (None if shares[1] >= 1.0 else high)
+    inside = values.where("m is not null")
+    below = 0
+    if low is not None:
+        below = inside.where(F.col("m") < F.lit(low)).count()
+        inside = inside.where(F.col("m") >= F.lit(low))
+    inside = inside.where(F.col("m") <= F.lit(high)) if high is not None else inside
+    indexed, found = scan.dense_index(inside, ["m"])
+    if not below < rank <= below + found:      # the quantiles missed: sort everything
+        indexed, below = scan.dense_index(values.where("m is not null"), ["m"])[0], 0
+    threshold = scan.rows_at(indexed, [rank - below - 1])[rank - below - 1]["m"]
+    return threshold, nulls + values.where("m is not null").where(F.col("m") < F.lit(threshold)).count()

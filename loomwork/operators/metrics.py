@@ -27,9 +27,10 @@ def _cells(df: DataFrame, classes: int) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, classes: int) -> DataFrame:
-    """(label, pred, count) with every cell, also the empty ones."""
+    """(label, pred, count) with every cell of the classes, also the empty ones; rows with
+    a label or prediction outside the classes have cells of their own."""
     counted = df.groupBy("label", "pred").agg(F.count("*").alias("count"))
-    return _cells(df, classes).join(counted, ["label", "pred"], "left").na.fill(0, ["count"])
+    return _cells(df, classes).join(counted, ["label", "pred"], "full").na.fill(0, ["count"])
 
 
 def accuracy(df: DataFrame) -> DataFrame:
@@ -48,6 +49,8 @@ def _ratio(top: Column, bottom: Column) -> Column:
 def per_class_prf(df: DataFrame, classes: int) -> DataFrame:
     """(label, precision, recall, f1, support) of every class; 0 where undefined.
 
+    A label outside the classes that occurs is a class too, so no row is left out.
+
     One pass: the (label, pred) counts hold all that is needed.
     """
     cells = df.groupBy("label", "pred").agg(F.count("*").alias("n"))
@@ -57,7 +60,7 @@ def per_class_prf(df: DataFrame, classes: int) -> DataFrame:
         F.struct(F.col("pred").alias("label"), F.lit(0).cast("long").alias("support"),
                  F.col("n").alias("predicted"), F.lit(0).cast("long").alias("hit")))))
     summed = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hit")])
-    full = (_classes(df, classes, "label").join(summed, "label", "left")
+    full = (_classes(df, classes, "label").join(summed, "label", "full")
             .na.fill(0, ["support", "predicted", "hit"]))
     rates = full.select("label", "support",
                         _ratio(F.col("hit"), F.col("predicted")).alias("precision"),
@@ -86,7 +89,9 @@ def classification_report(df: DataFrame, classes: int, names: list[str]) -> Data
     """Rows per class, accuracy, macro average and weighted average, from one pass."""
     titles = F.array(*[F.lit(n) for n in names])
     fields = ("precision", "recall", "f1", "support")
-    row = F.struct(F.get(titles, F.col("label")).alias("name"), *fields)
+    name = F.when(F.col("label") >= 0, F.get(titles, F.col("label")))
+    row = F.struct(F.coalesce(name, F.concat(F.lit("label "), F.coalesce(F.col("label").cast("string"), F.lit("null"))))
+                   .alias("name"), *fields)
     # One row per class, so the list is as long as the report.
     gathered = per_class_prf(df, classes).agg(
         F.collect_list(row).alias("rows"), _means(False).alias("macro"), _means(True).alias("weighted"))
@@ -99,7 +104,7 @@ def classification_report(df: DataFrame, classes: int, names: list[str]) -> Data
         line("macro avg", "macro"), line("weighted avg", "weighted")))))
 
 
-def _score_steps(df: DataFrame, classes: int, limit: int) -> DataFrame:
+def _score_steps(df: DataFrame, classes: int, limit: int | None) -> DataFrame:
     """Per class and distinct score: rows of the class (pos) and others (neg), the
     running counts down to that score, and the class totals."""
     # Read several times below: written once.
@@ -108,13 +113,14 @@ def _score_steps(df: DataFrame, classes: int, limit: int) -> DataFrame:
         .where(F.col("class") < classes).groupBy("class", "score")
         .agg(F.sum((F.col("label") == F.col("class")).cast("long")).alias("pos"),
              F.sum((F.col("label") != F.col("class")).cast("long")).alias("neg")), "scores")
-    summed = scan.running(per_score, ["class"], [F.desc("score")], -F.col("score"),
-                          {"cum_pos": F.col("pos"), "cum_neg": F.col("neg")}, limit)
+    # Ascends as the score descends: NaN counts as the largest score, null as the least.
+    down = [F.col("score").isNull(), ~F.isnan("score"), -F.col("score")]
+    summed = scan.running(per_score, ["class"], down, {"cum_pos": F.col("pos"), "cum_neg": F.col("neg")}, limit)
     totals = per_score.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return summed.join(F.broadcast(totals), "class")  # one row per class
 
 
-def roc_curve_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
+def roc_curve_ovr(df: DataFrame, classes: int, limit: int | None = None) -> DataFrame:
     """(class, threshold, fpr, tpr) at each distinct score, and (0, 0) with a null threshold."""
     steps = _score_steps(df, classes, limit).select(
         F.col("class").cast("int"), F.col("score").alias("threshold"),
@@ -125,7 +131,7 @@ def roc_curve_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> Da
     return starts.unionByName(steps)
 
 
-def auc_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
+def auc_ovr(df: DataFrame, classes: int, limit: int | None = None) -> DataFrame:
     """(class, auc): area under each curve, ties counted half; null for a one-sided class."""
     steps = _score_steps(df, classes, limit)
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0)))
@@ -134,7 +140,7 @@ def auc_ovr(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFram
         F.col("a"), F.col("P").cast("double") * F.col("N").cast("double")).alias("auc"))
 
 
-def macro_auc(df: DataFrame, classes: int, limit: int = scan.HOT_ROWS) -> DataFrame:
+def macro_auc(df: DataFrame, classes: int, limit: int | None = None) -> DataFrame:
     """Unweighted mean over the classes."""
     return auc_ovr(df, classes, limit).agg(F.avg("auc").alias("macro_auc"))
 

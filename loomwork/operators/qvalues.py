@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.splits import best_per_group
-from loomwork.session import materialize, shared_dir
-
-SMALL_SPACE = 100_000  # (state, action, next state) triples
-
+from loomwork.session import materialize
 
 def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
                       discount: float = 0.9) -> DataFrame:
@@ -21,19 +18,15 @@ def q_value_iteration(rows: DataFrame, sweeps: int, weight: float = 0.1,
     """
     moves = materialize(rows.groupBy("state", "action", "next_state").agg(
         F.count("*").alias("n"), F.sum("reward").alias("r")), "moves")
-    if moves.count() <= SMALL_SPACE:
-        moves = moves.coalesce(1)  # the sweeps then need no shuffle
     q = moves.select("state", "action").distinct().withColumn("q", F.lit(0.0))
-    for sweep in range(sweeps):
+    for _ in range(sweeps):
         best = q.groupBy(F.col("state").alias("next_state")).agg(F.max("q").alias("best"))
         gain = F.col("r") + F.lit(discount) * F.col("n") * F.coalesce(F.col("best"), F.lit(0.0))
         target = (moves.join(best, "next_state", "left").groupBy("state", "action")
                   .agg((F.sum(gain) / F.sum("n")).alias("target")))
         q = q.join(target, ["state", "action"]).select(
             "state", "action", (F.lit(1 - weight) * F.col("q") + F.lit(weight) * F.col("target")).alias("q"))
-        if sweep % 3 == 2 and sweep + 1 < sweeps:  # cut the lineage of a long run
-            shared_dir(rows.sparkSession)
-            q = q.checkpoint()
+        q = materialize(q, "sweep")  # each sweep uses the one before twice
     return q
 
 

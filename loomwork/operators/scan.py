@@ -2,90 +2,52 @@
 
 A dense index or a running value needs every row's rank.  Rows are cut into
 blocks that follow the order: each block is ranked on its own, and the totals of
-the earlier blocks are added.  The block of a row depends on the row alone (cut
-points are literals in the plan), so a retried task gives the same answer.
+the earlier blocks are added.  Spark's range exchange cuts the blocks on the whole
+order key in its own type, so strings, dates, nulls (first) and NaN (last) take
+their places and a value that fills a block is cut along the next column.  The cut
+rows are written once: every later step, and a retried task, sees the same blocks.
+
+Order columns are ascending; a descending order is given by a key that ascends.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from typing import NamedTuple
+from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from loomwork.session import materialize
 
 ROWS_PER_BLOCK = 100_000  # rows ranked in one task
-MAX_BLOCKS = 20_000
 HOT_ROWS = 1_000_000      # a key with more rows is cut into pieces
-HOT_BROADCAST = 500_000   # keys
-
-MAX_TIED = 32            # values of the first lead that get blocks of their own
 
 _BLK = "_blk"
-NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
-Lead = Column | list[Column]
-
-
-class Cuts(NamedTuple):
-    """Borders of the blocks: on the first lead, and on the second one among ``tied`` values."""
-    first: list[float]
-    tied: list[float]
-    second: list[float]
-
+_ROW = "_row"
+_IN_BLOCK = (1 << 33) - 1  # places of a block in monotonically_increasing_id
 
-def _leads(lead: Lead) -> list[Column]:
-    return [c.cast("double") for c in (lead if isinstance(lead, list) else [lead])]
+Order = Sequence[str | Column]
 
 
-def _quantiles(df: DataFrame, column: Column, blocks: int) -> list[float]:
-    shares = [i / blocks for i in range(1, blocks)]
-    return df.agg(F.percentile_approx(column, shares, max(10_000, 10 * blocks))).first()[0] or []
+def _columns(order: Order) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def cut_points(df: DataFrame, lead: Lead, blocks: int) -> Cuts | None:
-    """Borders that cut ``df`` into about ``blocks`` equal blocks; None for a single block.
+def block_count(rows: int, rows_per_block: int) -> int:
+    return max(1, math.ceil(rows / rows_per_block))
 
-    ``lead`` is a number that never decreases along the order, or two numbers the
-    order goes by.  A value of the first that fills several blocks gets blocks of
-    its own, cut along the second.
-    """
-    if blocks <= 1:
-        return None
-    leads = _leads(lead)
-    found = Counter(_quantiles(df, leads[0], blocks))
-    tied = [v for v, n in found.most_common(MAX_TIED) if n > 1] if len(leads) > 1 else []
-    second = _quantiles(df.where(leads[0].isin(tied)), leads[1], found[tied[0]] + 1) if tied else []
-    first = sorted({*found, *(math.nextafter(v, math.inf) for v in tied)})
-    return Cuts(first, tied, sorted(set(second))) if first else None
-
-
-def _bucket(df: DataFrame, column: Column, cuts: list[float], name: str) -> DataFrame:
-    """Add how many cut points are at or below the column."""
-    edges = [float("-inf"), *cuts, float("inf")]
-    bucketizer = Bucketizer(splits=edges, inputCol="_lead", outputCol=name, handleInvalid="keep")
-    return (bucketizer.transform(df.withColumn("_lead", column))
-            .withColumn(name, F.col(name).cast("int")).drop("_lead"))
-
-
-def with_blocks(df: DataFrame, lead: Lead, cuts: Cuts | None, name: str = _BLK) -> DataFrame:
-    """Add the block number, which never decreases along the order."""
-    if cuts is None:
-        return df.withColumn(name, F.lit(0))
-    leads = _leads(lead)
-    blocked = _bucket(df, leads[0], cuts.first, name)
-    if not cuts.second:
-        return blocked
-    part = F.when(leads[0].isin(cuts.tied), F.col("_part")).otherwise(0)
-    return (_bucket(blocked, leads[1], cuts.second, "_part")
-            .withColumn(name, F.col(name) * (len(cuts.second) + 1) + part).drop("_part"))
 
-
-def block_count(rows: int, rows_per_block: int) -> int:
-    return max(1, min(MAX_BLOCKS, math.ceil(rows / rows_per_block)))
+def cut(df: DataFrame, order: Order, blocks: int, name: str) -> DataFrame:
+    """``df`` written in ``blocks`` blocks that follow the order, sorted inside, with the
+    block (``_blk``, from 0) and the place in it (``_row``, from 0) of each row."""
+    columns = _columns(order)
+    number = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(blocks, *columns) if blocks > 1 else df.coalesce(1)
+    placed = ranged.sortWithinPartitions(*columns).withColumn(_ROW, number)
+    return (materialize(placed, name)
+            .withColumn(_BLK, F.shiftright(_ROW, 33).cast("int"))
+            .withColumn(_ROW, F.col(_ROW).bitwiseAND(F.lit(_IN_BLOCK))))
 
 
 def rows_at(indexed: DataFrame, ranks: list[int], index: str = "idx") -> dict[int, Row]:
@@ -93,119 +55,89 @@ def rows_at(indexed: DataFrame, ranks: list[int], index: str = "idx") -> dict[in
     return {row[index]: row for row in indexed.where(F.col(index).isin(ranks)).collect()}
 
 
-def _index_in_blocks(blocked: DataFrame, order: list[Column], name: str, blocks: int) -> DataFrame:
-    """Dense 0-based index from a ``_blk`` column that follows ``order``."""
-    if blocks == 1:
-        rank = F.row_number().over(Window.partitionBy(_BLK).orderBy(*order))
-        return blocked.withColumn(name, (rank - 1).cast("long")).drop(_BLK)
+def _starts(blocked: DataFrame, *more: Column) -> DataFrame:
+    """One row per block: its number of rows before (``_start``), and more aggregates."""
     earlier = Window.orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per block, (MAX_TIED + 2) * MAX_BLOCKS at the very most: a broadcast is safe.
-    starts = (blocked.groupBy(_BLK).agg(F.count("*").alias("_n"))
-              .select(_BLK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")))
-    inside = F.row_number().over(Window.partitionBy(_BLK).orderBy(*order))
-    return (blocked.withColumn("_rank", inside).join(F.broadcast(starts), _BLK)
-            .withColumn(name, (F.col("_start") + F.col("_rank") - 1).cast("long"))
-            .drop(_BLK, "_rank", "_start"))
-
+    counted = blocked.groupBy(_BLK).agg(F.count("*").alias("_n"), *more)
+    return counted.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
 
-def dense_index(df: DataFrame, order: list[str], lead: Lead | None = None,
-                name: str = "idx", rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, int]:
-    """Add 0..n-1 in ``order``; returns the frame and n.
 
-    ``lead`` is as in ``cut_points``, by default the first two order columns if
-    they are numbers.  The order must have no ties.
-    """
-    if lead is None:
-        kinds = dict(df.dtypes)
-        numbers = [c for c in order[:2] if kinds[c] in NUMBERS]
-        lead = [F.col(c) for c in (numbers if numbers == order[:2] else order[:1])]
+def dense_index(df: DataFrame, order: Order, name: str = "idx",
+                rows_per_block: int | None = None) -> tuple[DataFrame, int]:
+    """Add 0..n-1 in ``order``; returns the frame and n.  Of equal rows any may come first."""
     rows = df.count()
-    cuts = cut_points(df, lead, block_count(rows, rows_per_block))
-    blocked = with_blocks(df, lead, cuts)
-    return _index_in_blocks(blocked, [F.col(c) for c in order], name, 1 if cuts is None else 2), rows
+    blocked = cut(df, order, block_count(rows, rows_per_block or ROWS_PER_BLOCK), "index")
+    return (blocked.join(_starts(blocked), _BLK)  # a row per block
+            .withColumn(name, F.col("_start") + F.col(_ROW)).drop(_BLK, _ROW, "_start"), rows)
 
 
-def index_with_next(df: DataFrame, order: list[str], value: str, sized_by: DataFrame,
+def index_with_next(df: DataFrame, order: Order, value: str, sized_by: DataFrame,
                     name: str = "idx", next_name: str = "next",
-                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                    rows_per_block: int | None = None) -> DataFrame:
     """Add 0..n-1 in ``order`` and the next row's ``value``; the last row gets the first one's.
 
-    Blocks are cut on ``order[0]`` by the rows of ``sized_by``, a frame that has
-    that column and is cheap to count.  One shuffle serves rank and neighbour.
+    As many blocks are cut as the rows of ``sized_by``, a frame that is cheap to count, ask for.
     """
-    lead = F.col(order[0])
-    cuts = cut_points(sized_by, lead, block_count(sized_by.count(), rows_per_block))
-    blocked = with_blocks(df, lead, cuts)
-    inside = Window.partitionBy(_BLK).orderBy(*order)
-    first = F.min_by(value, F.struct(*order))
-    if cuts is None:
-        head = df.agg(first).first()[0]
-        return blocked.withColumns({
-            name: (F.row_number().over(inside) - 1).cast("long"),
-            next_name: F.coalesce(F.lead(value).over(inside), F.lit(head))}).drop(_BLK)
+    blocked = cut(df, order, block_count(sized_by.count(), rows_per_block or ROWS_PER_BLOCK), "next")
     along = Window.orderBy(_BLK)
-    # One row per block.
-    heads = blocked.groupBy(_BLK).agg(
-        F.count("*").alias("_n"), first.alias("_head"))
-    heads = heads.select(
-        _BLK, F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0)).alias("_start"),
-        F.coalesce(F.lead("_head").over(along), F.first("_head").over(
-            along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_after"))
-    ranked = blocked.withColumns({"_rank": F.row_number().over(inside),
-                                  next_name: F.lead(value).over(inside)})
-    return (ranked.join(heads, _BLK)
-            .withColumn(name, (F.col("_start") + F.col("_rank") - 1).cast("long"))
-            .withColumn(next_name, F.coalesce(next_name, "_after"))
-            .drop(_BLK, "_rank", "_start", "_after"))
-
-
-def hash_index(df: DataFrame, hashed: str, ties: list[str], name: str = "idx",
-               rows_per_block: int = ROWS_PER_BLOCK) -> tuple[DataFrame, int]:
-    """Add 0..n-1 in the order of a hex digest column.
-
-    Digests spread evenly, so their first digits are the blocks.
-    """
-    rows = df.count()
-    digits = math.ceil(math.log(block_count(rows, rows_per_block), 16))
-    prefix = F.substring(hashed, 1, digits) if digits else F.lit("")
-    order = [F.col(hashed), *[F.col(c) for c in ties]]
-    return _index_in_blocks(df.withColumn(_BLK, prefix), order, name, 16 ** digits), rows
-
-
-def split_hot_keys(df: DataFrame, keys: list[str], lead: Lead,
-                   limit: int = HOT_ROWS, name: str = _BLK) -> tuple[DataFrame, bool]:
-    """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks 1, 2, ... along ``lead``.
-
-    Returns the frame and whether any key was split.  The counting pass is a
-    partial aggregate; at most rows/limit keys are hot.
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A struct, so that a null value of the next block is told from a block without a next one.
+    heads = _starts(blocked, F.min_by(F.struct(F.col(value).alias("v")), _ROW).alias("_head"))
+    heads = heads.withColumn("_after", F.coalesce(F.lead("_head").over(along), F.first("_head").over(whole)))
+    inside = Window.partitionBy(_BLK).orderBy(_ROW)
+    return (blocked.withColumn("_later", F.lead(F.struct(F.col(value).alias("v"))).over(inside))
+            .join(heads.drop("_head"), _BLK)
+            .withColumn(name, F.col("_start") + F.col(_ROW))
+            .withColumn(next_name, F.coalesce("_later", "_after")["v"])
+            .drop(_BLK, _ROW, "_later", "_start", "_after"))
+
+
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Null-safe equality of the keys of two aliased frames."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return same
+
+
+def _looked_up(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """The other columns of ``found`` added to the rows with the same keys; a null key matches a null key."""
+    new = [c for c in found.columns if c not in keys]
+    return (df.alias("l").join(found.alias("r"), _same(keys, "l", "r"), "left")
+            .select(*[F.col(f"l.{c}") for c in df.columns], *[F.col(f"r.{c}") for c in new]))
+
+
+def split_hot_keys(df: DataFrame, keys: list[str], order: Order,
+                   limit: int | None = None) -> tuple[DataFrame, bool]:
+    """Block 0 for ordinary keys; keys with more than ``limit`` rows get blocks 1, 2, ... along the order.
+
+    Returns the frame and whether any key was split.  Null is a key like any other.
+    The counting pass is a partial aggregate; at most rows/limit keys are hot.
     """
+    limit = limit or HOT_ROWS
     if not keys:
         rows = df.count()
         if rows <= limit:
-            return df.withColumn(name, F.lit(0)), False
-        blocked = with_blocks(df, lead, cut_points(df, lead, block_count(rows, limit)), name)
-        return blocked.withColumn(name, F.col(name) + 1), True
+            return df.withColumn(_BLK, F.lit(0)), False
+        pieces = cut(df, order, block_count(rows, limit), "pieces")
+        return pieces.withColumn(_BLK, F.col(_BLK) + 1).drop(_ROW), True
     hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "hot")
     found, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if found == 0:
-        return df.withColumn(name, F.lit(0)), False
-    hot = hot.select(*keys).withColumn("_hot", F.lit(True))
-    joined = df.join(F.broadcast(hot) if found <= HOT_BROADCAST else hot, keys, "left")
-    cuts = cut_points(joined.where("_hot"), lead, block_count(rows, limit))
-    blocked = with_blocks(joined, lead, cuts, name)
-    return (blocked.withColumn(name, F.when(F.col("_hot"), F.col(name) + 1).otherwise(0))
-            .drop("_hot"), True)
-
-
-def running(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
-            values: dict[str, Column], limit: int = HOT_ROWS,
-            largest: bool = False, before: bool = False) -> DataFrame:
+        return df.withColumn(_BLK, F.lit(0)), False
+    marked = _looked_up(df, hot.select(*keys, F.lit(True).alias("_hot")), keys)
+    pieces = cut(marked.where("_hot"), [*keys, *order], block_count(rows, limit) + found, "pieces")
+    rest = marked.where(F.col("_hot").isNull()).withColumn(_BLK, F.lit(0))
+    return rest.unionByName(pieces.withColumn(_BLK, F.col(_BLK) + 1).drop(_ROW)).drop("_hot"), True
+
+
+def running(df: DataFrame, keys: list[str], order: Order, values: dict[str, Column],
+            limit: int | None = None, largest: bool = False, before: bool = False) -> DataFrame:
     """Per-key running sums (or the ``largest`` so far), exact for hot keys too.
 
     The current row counts unless ``before``; a sum of nothing is 0, a largest of
-    nothing null.  A hot key is cut along ``lead`` (as in ``cut_points``); each
-    piece is done on its own and the earlier pieces carried.
+    nothing null.  A hot key is cut along the order; each piece is done on its own
+    and the earlier pieces carried.
     """
     combine = F.max if largest else F.sum
 
@@ -214,10 +146,10 @@ def running(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
 
     def joined(a, b):
         return F.greatest(a, b) if largest else a + b
-    blocked, split = split_hot_keys(df, keys, lead, limit)
+    blocked, split = split_hot_keys(df, keys, order, limit)
     for i, value in enumerate(values.values()):
         blocked = blocked.withColumn(f"_v{i}", value)
-    local = (Window.partitionBy(*keys, _BLK).orderBy(*order)
+    local = (Window.partitionBy(*keys, _BLK).orderBy(*_columns(order))
              .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow))
     out = blocked
     for i, name in enumerate(values):
@@ -230,28 +162,25 @@ def running(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
             *[combine(f"_v{i}").alias(f"_t{i}") for i in range(len(values))])
         carried = totals.select(*keys, _BLK, *[
             combine(f"_t{i}").over(earlier).alias(f"_c{i}") for i in range(len(values))])
-        out = out.join(carried, [*keys, _BLK], "left")
+        out = _looked_up(out, carried, [*keys, _BLK])
         for i, name in enumerate(values):
             out = out.withColumn(name, joined(F.col(name), filled(F.col(f"_c{i}"))))
         out = out.drop(*[f"_c{i}" for i in range(len(values))])
     return out.drop(_BLK, *[f"_v{i}" for i in range(len(values))])
 
 
-def following(df: DataFrame, keys: list[str], order: list[Column], lead: Lead,
-              value: str, name: str, limit: int = HOT_ROWS) -> DataFrame:
+def following(df: DataFrame, keys: list[str], order: Order, value: str, name: str,
+              limit: int | None = None) -> DataFrame:
     """The next row's ``value`` within the key (null on the last row)."""
-    blocked, split = split_hot_keys(df, keys, lead, limit)
-    out = blocked.withColumn(
-        name, F.lead(value).over(Window.partitionBy(*keys, _BLK).orderBy(*order)))
-    if split:
-        out = out.withColumn(
-            "_left", F.lead(F.lit(1)).over(Window.partitionBy(*keys, _BLK).orderBy(*order)))
-        heads = blocked.where(F.col(_BLK) > 0).groupBy(*keys, _BLK).agg(
-            F.min_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_head"))
-        heads = heads.select(*keys, _BLK, F.lead("_head").over(
-            Window.partitionBy(*keys).orderBy(_BLK)).alias("_next"))
-        out = (out.join(heads, [*keys, _BLK], "left")
-               .withColumn(name, F.when(F.col("_left").isNull(), F.col("_next.v"))
-                           .otherwise(F.col(name)))
-               .drop("_left", "_next"))
-    return out.drop(_BLK)
+    blocked, split = split_hot_keys(df, keys, order, limit)
+    columns = _columns(order)
+    inside = Window.partitionBy(*keys, _BLK).orderBy(*columns)
+    if not split:
+        return blocked.withColumn(name, F.lead(value).over(inside)).drop(_BLK)
+    out = blocked.withColumn("_later", F.lead(F.struct(F.col(value).alias("v"))).over(inside))
+    heads = blocked.where(F.col(_BLK) > 0).groupBy(*keys, _BLK).agg(
+        F.min_by(F.struct(F.col(value).alias("v")), F.struct(*columns)).alias("_head"))
+    heads = heads.select(*keys, _BLK, F.lead("_head").over(
+        Window.partitionBy(*keys).orderBy(_BLK)).alias("_after"))
+    return (_looked_up(out, heads, [*keys, _BLK])
+            .withColumn(name, F.coalesce("_later", "_after")["v"]).drop(_BLK, "_later", "_after"))

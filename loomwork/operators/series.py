@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from loomwork.operators import scan
 
 
-def running_counter(df: DataFrame, key: str, order: list[str], lead: scan.Lead,
-                    limit: int = scan.HOT_ROWS) -> DataFrame:
+def running_counter(df: DataFrame, key: str, order: list[str], limit: int | None = None) -> DataFrame:
     """Add ``calls``, the number of the key's rows so far, and the greeting it returns."""
-    counted = scan.running(df, [key], [F.col(c) for c in order], lead, {"calls": F.lit(1)}, limit)
+    counted = scan.running(df, [key], order, {"calls": F.lit(1)}, limit)
     return counted.withColumn("calls", F.col("calls").cast("long")).withColumn(
         "greeting", F.concat(F.lit("Hi user #"), F.col("calls").cast("string")))
 
@@ -29,9 +28,9 @@ def epoch_average_loss(df: DataFrame, epoch: Column, loss: str) -> DataFrame:
 
 
 def best_so_far(log: DataFrame, epoch: str, metric: str, start: float,
-                limit: int = scan.ROWS_PER_BLOCK) -> DataFrame:
+                limit: int | None = None) -> DataFrame:
     """Add ``best`` (before the row) and ``is_new_best`` (metric above it; the first wins a tie)."""
-    seen = scan.running(log, [], [F.col(epoch)], F.col(epoch), {"best": F.col(metric)}, limit,
+    seen = scan.running(log, [], [epoch], {"best": F.col(metric)}, limit or scan.ROWS_PER_BLOCK,
                         largest=True, before=True)
     first = F.lit(float(start))
     return (seen.withColumn("best", F.greatest(first, F.coalesce("best", first)))

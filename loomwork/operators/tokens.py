@@ -107,10 +107,11 @@ def sentence_rows(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def next_sentence_pairs(df: DataFrame, key: str, column: str,
-                        rows_per_block: int = TEXTS_PER_BLOCK) -> DataFrame:
+                        rows_per_block: int | None = None) -> DataFrame:
     """(key, pos, idx, pair): each sentence of all texts with the next one; the last with the first."""
     paired = scan.index_with_next(sentence_rows(df, key, column), [key, "pos"], "sentence",
-                                  sized_by=df, next_name="_next", rows_per_block=rows_per_block)
+                                  sized_by=df, next_name="_next",
+                                  rows_per_block=rows_per_block or TEXTS_PER_BLOCK)
     return paired.select(key, "pos", "idx", F.concat_ws(" [SEP] ", "sentence", "_next").alias("pair"))
 
 

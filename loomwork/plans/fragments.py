@@ -12,8 +12,8 @@ VEC = """v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUB
 ENTRIES = """entries AS (SELECT vec_id, label, (k - 1)::INTEGER AS pos, embedding[k]::DOUBLE AS value
   FROM embeddings, range(1, 65) r(k))"""
 
-# (conv_id, part, turn, role, text); a nested record holds 1000 turns at most
-TURNS = """turns AS (SELECT conv_id, (turn // 1000)::INTEGER AS part, turn, role,
+# (conv_id, turn, role, text)
+TURNS = """turns AS (SELECT conv_id, turn, role,
   CASE WHEN role = 'user' THEN '<img>images/' || conv_id || '.jpg</img>' || text ELSE text END AS text
   FROM conversations)"""
 
@@ -123,7 +123,7 @@ def coin(*parts: str) -> str:
 def draw(limit: str, *parts: str) -> str:
     """SQL of the integer draw 0..limit."""
     joined = " || ':' || ".join(f"({p})::VARCHAR" for p in parts)
-    return f"(('0x' || substr(md5({joined}), 1, 8))::BIGINT % (({limit}) + 1))"
+    return f"(('0x' || substr(md5({joined}), 1, 15))::BIGINT % (({limit}) + 1))"
 
 
 def fixed6(values: str) -> str:

@@ -76,9 +76,9 @@ _TABLE = ", ".join(f"('{a}', '{b}')" for a, b in FRENCH.items())
 WITH {S.WORDS}, tally AS (SELECT doc_id, word, count(*) AS n, min(pos) AS first FROM words GROUP BY doc_id, word),
 kept AS (SELECT * FROM tally QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) <= 15),
 french AS (SELECT * FROM (VALUES {_TABLE}) v(word, other))
-SELECT doc_id, string_agg(word, ' ' ORDER BY first) AS summary,
-  string_agg(coalesce(other, word), ' ' ORDER BY first) AS translation
-FROM kept LEFT JOIN french USING (word) GROUP BY doc_id HAVING count(*) >= 5""")
+SELECT doc_id, coalesce(string_agg(word, ' ' ORDER BY first), '') AS summary,
+  coalesce(string_agg(coalesce(other, word), ' ' ORDER BY first), '') AS translation
+FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN french USING (word) GROUP BY doc_id""")
 def two_stage_inference(spark, d):
     return inference.two_stage_inference(t.texts(spark, d), "doc_id", "text", FRENCH)
 

@@ -56,16 +56,19 @@ def expand_links(spark, d):
 @query("crawl_bounded", f"""
 WITH {S.CAPPED}, d0 AS (SELECT url, count(*) AS copies FROM pages GROUP BY url),
 d1 AS (SELECT dst AS url, sum(copies) AS copies FROM d0 JOIN followed ON src = url GROUP BY dst),
-d2 AS (SELECT dst AS url, sum(copies) AS copies FROM d1 JOIN followed ON src = url GROUP BY dst)
-SELECT url, 0::INTEGER AS depth, copies::BIGINT AS copies FROM d0 UNION ALL
-SELECT url, 1, copies::BIGINT FROM d1 UNION ALL SELECT url, 2, copies::BIGINT FROM d2""")
+d2 AS (SELECT dst AS url, sum(copies) AS copies FROM d1 JOIN followed ON src = url GROUP BY dst),
+body AS (SELECT url, md5(min(html)) AS html_md5 FROM pages GROUP BY url),
+returned AS (SELECT url, 0::INTEGER AS depth, copies::BIGINT AS copies FROM d0 UNION ALL
+SELECT url, 1, copies::BIGINT FROM d1 UNION ALL SELECT url, 2, copies::BIGINT FROM d2)
+SELECT url, depth, copies, html_md5 FROM returned JOIN body USING (url)""")
 def crawl_bounded(spark, d):
     pages = t.load(spark, d, "pages")
-    return links.crawl_bounded(pages.select("url"), t.page_edges(spark, d), pages)
+    found = links.crawl_bounded(pages.select("url"), t.page_edges(spark, d), pages)
+    return found.withColumn("html_md5", F.md5("html")).drop("html")
 
 
 @query("crawl_dedup", f"""
-WITH {S.CAPPED}, seeds AS (SELECT url, 1 AS copies FROM pages WHERE url LIKE 'https:%'),
+WITH {S.CAPPED}, seeds AS (SELECT url, 1 AS copies FROM pages),
 d0 AS (SELECT url, count(*) AS copies FROM seeds GROUP BY url),
 d1 AS (SELECT dst AS url, sum(copies) AS copies FROM d0 JOIN followed ON src = url GROUP BY dst),
 d2 AS (SELECT dst AS url, sum(copies) AS copies FROM d1 JOIN followed ON src = url GROUP BY dst),
@@ -75,8 +78,7 @@ SELECT url, 0 AS depth, copies FROM d0 UNION ALL SELECT url, 1, copies FROM d1
 UNION ALL SELECT url, 2, copies FROM d2 UNION ALL SELECT url, 3, copies FROM d3) GROUP BY url""")
 def crawl_dedup(spark, d):
     pages = t.load(spark, d, "pages")
-    secure = pages.where(F.col("url").startswith("https:")).select("url")  # where the crawl starts
-    return links.crawl_bounded(secure, t.page_edges(spark, d), pages, max_depth=2, dedup=True)
+    return links.crawl_bounded(pages.select("url"), t.page_edges(spark, d), pages, max_depth=2, dedup=True).drop("html")
 
 
 @query("relational_matmul", f"""
@@ -100,12 +102,14 @@ def union_batches(spark, d):
 
 
 @query("merge_reducers", f"""
-WITH {S.WORDS}
-SELECT word, count FROM counted""")
+WITH {S.WORDS}, parts AS (SELECT word, doc_id % 3 AS part, count(*) AS count FROM words GROUP BY ALL)
+SELECT word, arg_max(count, part) AS count FROM parts GROUP BY word""")
 def merge_reducers(spark, d):
-    parts = counts.word_count_lower(t.texts(spark, d), "text").withColumn(
-        "bucket", tx.first_letter_bucket(F.col("word"), 3))
-    return counts.merge_reducers(parts, "word", "count", "bucket")
+    # Each third of the documents is a reducer of its own, so most words are shared.
+    texts = t.texts(spark, d).withColumn("part", F.col("doc_id") % 3)
+    words = texts.select("part", F.explode(tx.lower_words(F.col("text"))).alias("word"))
+    parts = words.groupBy("part", "word").agg(F.count("*").alias("count"))
+    return counts.merge_reducers(parts, "word", "count", "part")
 
 
 @query("distinct_keys", """

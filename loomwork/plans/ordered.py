@@ -25,8 +25,7 @@ SELECT event_id, user_id, n AS calls, 'Hi user #' || n AS greeting FROM
 (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)""")
 def running_counter(spark, d):
     events = t.load(spark, d, "events").select("event_id", "user_id", t.micros().alias("us"))
-    return series.running_counter(events, "user_id", ["us", "event_id"],
-                                  [F.col("us"), F.col("event_id")]).drop("us")
+    return series.running_counter(events, "user_id", ["us", "event_id"]).drop("us")
 
 
 @query("running_loss_blocks", """
@@ -35,7 +34,7 @@ SELECT user_id, (n - 1) // 10 AS block, round(avg(value), 6) AS mean_loss FROM s
 GROUP BY ALL HAVING count(*) = 10""")
 def running_loss_blocks(spark, d):
     events = t.load(spark, d, "events").select("user_id", "event_id", "value", t.micros().alias("us"))
-    steps = scan.running(events, ["user_id"], [F.col("us"), F.col("event_id")], [F.col("us"), F.col("event_id")], {"step": F.lit(1)})
+    steps = scan.running(events, ["user_id"], ["us", "event_id"], {"step": F.lit(1)})
     blocks = series.running_loss_blocks(steps, "user_id", "step", "value", 10)
     return blocks.withColumn("mean_loss", F.round("mean_loss", 6))
 
@@ -88,15 +87,14 @@ def apply_positional_ops(spark, d):
 
 
 @query("conversation_history", """
-SELECT a.conv_id, a.turn, (a.turn // 1000)::INTEGER AS part, count(b.turn)::INTEGER AS n,
+SELECT a.conv_id, a.turn, count(b.turn)::INTEGER AS n,
   coalesce(string_agg(b.role || ': ' || b.text, chr(10) ORDER BY b.turn), '') AS prompt
 FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn < a.turn
-  AND b.turn // 1000 = a.turn // 1000
 WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn""")
 def conversation_history(spark, d):
     shown = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return history.conversation_history(t.load(spark, d, "conversations")).select(
-        "conv_id", "turn", "part", F.size("messages").alias("n"), F.array_join(shown, "\n").alias("prompt"))
+        "conv_id", "turn", F.size("messages").alias("n"), F.array_join(shown, "\n").alias("prompt"))
 
 
 @query("next_sentence_pairs", f"WITH {S.PAIRS} SELECT doc_id, pos, idx, pair FROM pairs")
@@ -147,7 +145,7 @@ def shuffled_batches(spark, d):
 
 @query("sample_with_replacement", """
 WITH s AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
-picks AS (SELECT g AS draw, ('0x' || substr(md5(g || ':7'), 1, 8))::BIGINT % (SELECT count(*) FROM documents) AS i
+picks AS (SELECT g AS draw, ('0x' || substr(md5(g || ':7'), 1, 15))::BIGINT % (SELECT count(*) FROM documents) AS i
   FROM range(9) r(g))
 SELECT draw, doc_id, lang FROM picks JOIN s USING (i)""")
 def sample_with_replacement(spark, d):
@@ -194,15 +192,14 @@ def history_display(spark, d):
     return history.history_display(t.load(spark, d, "conversations"))
 
 
-_REQUEST = """requests AS (SELECT a.conv_id, a.turn, (a.turn // 1000)::INTEGER AS part, to_json({'model': 'chat', 'messages':
+_REQUEST = """requests AS (SELECT a.conv_id, a.turn, to_json({'model': 'chat', 'messages':
   list({'role': b.role, 'content': b.text} ORDER BY b.turn) FILTER (b.turn IS NOT NULL), 'temperature': 0.7::DOUBLE,
   'max_tokens': 500, 'stream': false})::VARCHAR AS body
 FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn < a.turn
-  AND b.turn // 1000 = a.turn // 1000
 WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn)"""
 
 
-@query("chat_request_json", f"WITH {_REQUEST} SELECT conv_id, turn, part, body FROM requests")
+@query("chat_request_json", f"WITH {_REQUEST} SELECT conv_id, turn, body FROM requests")
 def chat_request_json(spark, d):
     return history.chat_requests(t.load(spark, d, "conversations"), "chat")
 

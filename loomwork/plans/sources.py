@@ -51,7 +51,7 @@ def _written_records(spark, d):
 
 @query("read_chat_jsonl", f"""
 WITH {S.TURNS}
-SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn) - 1)::INTEGER AS place,
+SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS place,
   role, text FROM turns""")
 def read_chat_jsonl(spark, d):
     return (_written_records(spark, d).select("id", F.posexplode("conversations").alias("place", "t"))
@@ -61,7 +61,7 @@ def read_chat_jsonl(spark, d):
 @query("chat_columns", f"""
 WITH {S.TURNS}
 SELECT conv_id::VARCHAR AS id, 'images/' || conv_id || '.jpg' AS image_path,
-  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS conversations FROM turns GROUP BY conv_id, part""")
+  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS conversations FROM turns GROUP BY conv_id""")
 def chat_columns(spark, d):
     shown = F.array_join(F.transform("conversations", lambda m: F.concat(
         m["from"], F.lit(": "), m["value"])), "\n")
@@ -69,11 +69,17 @@ def chat_columns(spark, d):
 
 
 @query("list_labelled_files", """
-WITH named AS (SELECT url, regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]*)', 1) AS class_name FROM pages)
-SELECT url, class_name, (dense_rank() OVER (ORDER BY class_name) - 1)::INTEGER AS class_idx FROM named""")
+SELECT 'lang=' || lang AS class_name, (dense_rank() OVER (ORDER BY lang) - 1)::INTEGER AS class_idx, count(*) AS texts
+FROM documents WHERE lang IS NOT NULL GROUP BY lang""")
 def list_labelled_files(spark, d):
-    folder = F.regexp_extract("url", "^[a-z]+://[^/]+/([^/?#]*)", 1)
-    return files.label_by_class(t.load(spark, d, "pages"), folder).select("url", "class_name", "class_idx")
+    # A folder per language; how many files Spark writes into each is its own choice.
+    root = new_folder(spark, "labelled")
+    docs = t.load(spark, d, "documents").where(F.col("lang").isNotNull()).select("lang", F.col("doc_id").cast("string"))
+    docs.write.partitionBy("lang").text(root)
+    listed = files.list_labelled_files(spark, root, "part-*")
+    lines = spark.read.text(root).groupBy(F.concat(F.lit("lang="), "lang").alias("class_name")).agg(
+        F.count("*").alias("texts"))
+    return listed.select("class_name", "class_idx").distinct().join(lines, "class_name")
 
 
 @query("rows_from_items", """
@@ -102,7 +108,7 @@ def page_source(spark, d):
 @query("write_chat_jsonl", f"""
 WITH {S.TURNS}
 SELECT conv_id::VARCHAR AS id, 'images/' || conv_id || '.jpg' AS image, count(*)::INTEGER AS turns,
-  md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM turns GROUP BY conv_id, part""")
+  md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM turns GROUP BY conv_id""")
 def write_chat_jsonl(spark, d):
     shown = F.array_join(F.transform("conversations", lambda m: F.concat(
         m["from"], F.lit(": "), m["value"])), "\n")
@@ -114,7 +120,7 @@ def write_chat_jsonl(spark, d):
 WITH {S.TURNS}
 SELECT string_agg('<|im_start|>' || CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END || chr(10) ||
   regexp_replace(text, '<img>.*?</img>', '[图像]', 'g') || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text
-FROM turns GROUP BY conv_id, part""")
+FROM turns GROUP BY conv_id""")
 def write_text_corpus(spark, d):
     path = new_folder(spark, "corpus")
     rendered = chat.render_chatml(F.col("conversations"), chat.replace_image_tag)

@@ -14,8 +14,8 @@ from loomwork.sources import tables as t
 SEED = 11
 
 RENDERED = S.TURNS + """,
-rendered AS (SELECT conv_id, part, string_agg('<|im_start|>' || CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END ||
-  chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text FROM turns GROUP BY conv_id, part)"""
+rendered AS (SELECT conv_id, string_agg('<|im_start|>' || CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END ||
+  chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text FROM turns GROUP BY conv_id)"""
 
 
 def joined(ids):
@@ -40,11 +40,11 @@ def split_sentences(spark, d):
 
 def _rendered(spark, d):
     return t.chat_records(spark, d).select(
-        "id", "part", chat.render_chatml(F.col("conversations")).alias("text"))
+        "id", chat.render_chatml(F.col("conversations")).alias("text"))
 
 
 @query("render_chatml", f"""
-WITH {RENDERED} SELECT conv_id::VARCHAR AS id, part, text FROM rendered""")
+WITH {RENDERED} SELECT conv_id::VARCHAR AS id, text FROM rendered""")
 def render_chatml(spark, d):
     return _rendered(spark, d)
 
@@ -90,7 +90,7 @@ def generated_suffix(spark, d):
 
 
 @query("multipart_messages", f"""
-WITH {S.TURNS}, placed AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn) - 1)::INTEGER AS place FROM turns)
+WITH {S.TURNS}, placed AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS place FROM turns)
 SELECT conv_id::VARCHAR AS id, place, 'user' AS role, 0::INTEGER AS piece, 'image' AS type,
   'images/' || conv_id || '.jpg' AS image, NULL::VARCHAR AS text FROM placed WHERE role = 'user'
 UNION ALL SELECT conv_id::VARCHAR, place, 'user', 1, 'text', NULL, string_split(text, '</img>')[2] FROM placed

@@ -74,10 +74,10 @@ def elementwise_ops(spark, d):
 
 
 @query("broadcast_add", f"""
-WITH {S.VEC} SELECT vec_id, string_agg((round((vec[c + 61] + vec[r + 1]) * 1e6)::BIGINT)::VARCHAR, ',' ORDER BY c, r) AS sums
-FROM v, range(4) x(c), range(8) y(r) GROUP BY vec_id""")
+WITH {S.VEC} SELECT vec_id, string_agg((round((vec[c + 57] + vec[r + 1]) * 1e6)::BIGINT)::VARCHAR, ',' ORDER BY c, r) AS sums
+FROM v, range(8) x(c), range(56) y(r) GROUP BY vec_id""")
 def broadcast_add(spark, d):
-    row, column = F.slice("vec", 1, 8), F.slice("vec", 61, 4)
+    row, column = F.slice("vec", 1, 56), F.slice("vec", 57, 8)
     return t.vectors(spark, d).select("vec_id", m6(A.outer_add(row, column)).alias("sums"))
 
 

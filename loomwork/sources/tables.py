@@ -10,6 +10,7 @@ from loomwork.operators import scan
 
 # Opening state of every account in the ledger queries.
 OPENING, MINIMAL = 100, 20
+FEW_SPLITS = 4
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,11 +26,12 @@ def as_doubles(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a table stored in fewer pieces than there are cores.
 
-    For work that is heavy per row (regular expressions over texts and pages).
-    A table of many row groups is left as it is.
+    For work that is heavy per row (regular expressions over texts and pages).  Only
+    a table of ``FEW_SPLITS`` splits at most is dealt out, a few hundred megabytes;
+    a larger one is read where it lies, whatever the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits <= FEW_SPLITS and splits < cores else df
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,7 +78,7 @@ def chat_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chat_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested chat records (id, part, image, conversations)."""
+    """Nested chat records (id, image, conversations)."""
     return chat.nest_turns(chat_turns(spark, folder))
 
 
@@ -122,8 +124,7 @@ def transitions(spark: SparkSession, folder: str) -> DataFrame:
     rows = load(spark, folder, "events").select(
         "user_id", "event_id", micros().alias("us"), state.cast("int").alias("state"),
         (F.col("event_id") % 4).cast("int").alias("action"))
-    order = [F.col("us"), F.col("event_id")]
-    chained = scan.following(rows, ["user_id"], order, order, "state", "next_state")
+    chained = scan.following(rows, ["user_id"], ["us", "event_id"], "state", "next_state")
     return chained.where(F.col("next_state").isNotNull()).select(
         "state", "action",
         (F.col("next_state") == types.index("purchase")).cast("double").alias("reward"),

@@ -3,10 +3,12 @@
 import os
 import subprocess
 import sys
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from loomwork.functions.hashing import draw_int
 from loomwork.operators import inference, ledger, links, series, splits, training
 from loomwork.session import new_folder
 from loomwork.sources import sinks, tables
@@ -40,11 +42,6 @@ def test_shards_chunks_batches(spark, limit):
     assert batches.orderBy("batch_id", "place").collect() != again.orderBy("batch_id", "place").collect()
 
 
-def test_fewer_rows_than_shards(spark):
-    df = spark.range(3).withColumnRenamed("id", "k")
-    assert splits.contiguous_shards(df, "k", 5).groupBy("shard").count().count() == 3
-
-
 def test_sample_repeats_rows(spark):
     drawn = splits.sample_with_replacement(spark.range(3).withColumnRenamed("id", "k"), "k", 9, 2)
     assert drawn.count() == 9 and drawn.select("k").distinct().count() <= 3
@@ -68,10 +65,11 @@ def test_crawl(spark):
     edges = spark.createDataFrame(
         [("a", 1, "b"), ("a", 2, "b"), ("a", 3, "c"), ("a", 5, "b"), ("a", 6, "d"), ("c", 1, "a"), ("c", 2, "gone")],
         "src string, ordinal int, dst string")
-    pages = spark.createDataFrame([(u,) for u in "abcd"], "url string")
+    pages = spark.createDataFrame([(u, f"<{u}>") for u in "abcd"], "url string, html string")
     seeds = spark.createDataFrame([("a",), ("gone",)], "url string")
     got = {(r["url"], r["depth"]): r["copies"] for r in links.crawl_bounded(seeds, edges, pages).collect()}
     assert got == {("a", 0): 1, ("b", 1): 3, ("c", 1): 1, ("a", 2): 1}
+    assert all(r["html"] == f"<{r['url']}>" for r in links.crawl_bounded(seeds, edges, pages).collect())
     tight = {(r["url"], r["depth"]) for r in links.crawl_bounded(seeds, edges, pages, max_links=1).collect()}
     assert tight == {("a", 0), ("b", 1)}
     once = {r["url"]: r["depth"] for r in links.crawl_bounded(seeds, edges, pages, max_depth=3, dedup=True).collect()}
@@ -81,9 +79,8 @@ def test_crawl(spark):
 def test_lookups(spark):
     items = spark.createDataFrame([(i,) for i in range(4)], "k int")
     table = spark.createDataFrame([(i, f"v{i}") for i in (0, 1, 2)], "k int, v string")
-    for limit in (1, 100):  # joined both ways
-        got = {r["k"]: r["v"] for r in links.broadcast_lookup(items, table, "k", limit).collect()}
-        assert got == {0: "v0", 1: "v1", 2: "v2", 3: None}
+    got = {r["k"]: r["v"] for r in links.broadcast_lookup(items, table, "k").collect()}
+    assert got == {0: "v0", 1: "v1", 2: "v2", 3: None}
     pairs = {r["k"]: r["next_value"] for r in links.follow_up_lookup(table, "k", "v").collect()}
     assert pairs == {0: "v1", 1: "v2", 2: None}
 
@@ -167,3 +164,18 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True,
                          timeout=300, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert ran.stdout.strip().endswith("done"), ran.stderr[-2000:]
+
+
+def test_flat_map_takes_any_schema(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "")], "id long, t string")
+
+    def words(row):
+        for word in row.t.split():
+            yield row.id, {word: 1}, Decimal(len(word))
+    rows = inference.flat_map_rows(df, words, "id long, m map<string,int>, n decimal(18,2)").collect()
+    assert [(r["id"], r["m"], int(r["n"])) for r in rows] == [(1, {"a": 1}, 1), (1, {"b": 1}, 1)]
+
+
+def test_draws_reach_beyond_32_bits(spark):
+    top = spark.range(2000).agg(F.max(draw_int(10 ** 12, F.col("id"), 1))).first()[0]
+    assert 9.9e11 < top <= 10 ** 12

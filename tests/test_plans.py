@@ -17,7 +17,7 @@ def plan(spark, key, sf):
     return df._jdf.queryExecution().explainString(mode)
 
 
-@pytest.mark.parametrize("key", [k for k in entry.queries() if k not in JOBS])
+@pytest.mark.parametrize("key", [k for k in entry.queries() if k not in JOBS and not k.startswith("op") and k != "pipeline"])
 def test_no_pairing_of_all_rows(spark, sf, key):
     text = plan(spark, key, sf)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -104,24 +104,31 @@ def turns(spark):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
 
-def test_long_conversation_in_parts(spark, turns):
-    """With parts of four turns, a part's messages after the earlier parts are the whole history."""
-    parts = {}
-    for p in chat.nest_turns(turns, 4).orderBy("part").collect():
-        parts.setdefault(int(p["id"]), []).append([t["value"] for t in p["conversations"]])
-    assert [len(p) for p in parts[1]] == [4, 4, 1] and [len(p) for p in parts[2]] == [2]
-    rows = history.conversation_history(turns, 4).collect()
+@pytest.mark.parametrize("piece", [1, 4, 1000])
+def test_conversations_are_complete(spark, turns, piece):
+    """Whatever the size of the pieces, a record holds all turns and a history all earlier ones."""
+    records = {int(r["id"]): [t["value"] for t in r["conversations"]] for r in chat.nest_turns(turns, piece).collect()}
+    assert records == {c: [f"c{c}t{i}" for i in range(n)] for c, n in ((1, 9), (2, 2))}
+    rows = history.conversation_history(turns, piece).collect()
     assert len(rows) == 5
     for r in rows:
-        before = [text for part in parts[r["conv_id"]][:r["part"]] for text in part]
-        own = [m["content"] for m in r["messages"]]
-        assert before + own == [f"c{r['conv_id']}t{i}" for i in range(r["turn"])]
-    bodies = {(r["conv_id"], r["turn"]): json.loads(r["body"]) for r in history.chat_requests(turns, "m").collect()}
+        assert [m["content"] for m in r["messages"]] == [f"c{r['conv_id']}t{i}" for i in range(r["turn"])]
+    bodies = {(r["conv_id"], r["turn"]): json.loads(r["body"]) for r in history.chat_requests(turns, "m", piece).collect()}
     assert bodies[1, 3] == {
         "model": "m", "messages": [{"role": ["user", "assistant"][i % 2], "content": f"c1t{i}"} for i in range(3)],
         "temperature": 0.7, "max_tokens": 500, "stream": False}
 
 
+def test_conversation_of_2500_turns(spark):
+    rows = spark.range(2500).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    record, = chat.nest_turns(rows).collect()
+    assert [t["value"] for t in record["conversations"]] == [f"t{i}" for i in range(2500)]
+    late = {r["turn"]: r["messages"] for r in history.conversation_history(rows).where("turn in (999, 1001, 2499)").collect()}
+    assert {k: len(v) for k, v in late.items()} == {999: 999, 1001: 1001, 2499: 2499}
+    assert [m["content"] for m in late[2499]] == [f"t{i}" for i in range(2499)]
+
+
 @pytest.mark.parametrize("page,want", [
     ('<a href="/x">x</a><A HREF=/y>y</A><a>no</a><article href="n">', [(1, "/x"), (2, "/y"), (3, None)]),
     ("<script>'<a href=1>'</script><!-- <a href=2> --><style><a></style><a title='>' href='/q?a=1&amp;b=2'>z",
@@ -181,10 +188,10 @@ def test_shuffled_pairs_keep_their_words(spark):
 
 
 def test_two_stages(spark):
-    df = spark.createDataFrame([(1, "the cat saw the dog and the end"), (2, "too short")], "id long, t string")
-    rows = inference.two_stage_inference(df, "id", "t", {"the": "le", "and": "et"}, least=5, most=5).collect()
-    assert [(r["id"], r["summary"], r["translation"]) for r in rows] == [
-        (1, "the cat saw dog and", "le cat saw dog et")]
+    df = spark.createDataFrame([(1, "the cat saw the dog and the end"), (2, "too short"), (3, ""), (4, None)], "id long, t string")
+    rows = inference.two_stage_inference(df, "id", "t", {"the": "le", "and": "et"}, most=5).collect()
+    assert sorted((r["id"], r["summary"], r["translation"]) for r in rows) == [
+        (1, "the cat saw dog and", "le cat saw dog et"), (2, "too short", "too short"), (3, "", ""), (4, "", "")]
 
 
 def test_delimited_files(spark):
