@@ -100,7 +100,7 @@ def _same(keys: list[str], left: str, right: str) -> Column:
     return same
 
 
-def _looked_up(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+def looked_up(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """The other columns of ``found`` added to the rows with the same keys; a null key matches a null key."""
     new = [c for c in found.columns if c not in keys]
     return (df.alias("l").join(found.alias("r"), _same(keys, "l", "r"), "left")
@@ -125,7 +125,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: Order,
     found, rows = hot.agg(F.count("*"), F.sum("_n")).first()
     if found == 0:
         return df.withColumn(_BLK, F.lit(0)), False
-    marked = _looked_up(df, hot.select(*keys, F.lit(True).alias("_hot")), keys)
+    marked = looked_up(df, hot.select(*keys, F.lit(True).alias("_hot")), keys)
     pieces = cut(marked.where("_hot"), [*keys, *order], block_count(rows, limit) + found, "pieces")
     rest = marked.where(F.col("_hot").isNull()).withColumn(_BLK, F.lit(0))
     return rest.unionByName(pieces.withColumn(_BLK, F.col(_BLK) + 1).drop(_ROW)).drop("_hot"), True
@@ -162,7 +162,7 @@ def running(df: DataFrame, keys: list[str], order: Order, values: dict[str, Colu
             *[combine(f"_v{i}").alias(f"_t{i}") for i in range(len(values))])
         carried = totals.select(*keys, _BLK, *[
             combine(f"_t{i}").over(earlier).alias(f"_c{i}") for i in range(len(values))])
-        out = _looked_up(out, carried, [*keys, _BLK])
+        out = looked_up(out, carried, [*keys, _BLK])
         for i, name in enumerate(values):
             out = out.withColumn(name, joined(F.col(name), filled(F.col(f"_c{i}"))))
         out = out.drop(*[f"_c{i}" for i in range(len(values))])
@@ -182,5 +182,5 @@ def following(df: DataFrame, keys: list[str], order: Order, value: str, name: st
         F.min_by(F.struct(F.col(value).alias("v")), F.struct(*columns)).alias("_head"))
     heads = heads.select(*keys, _BLK, F.lead("_head").over(
         Window.partitionBy(*keys).orderBy(_BLK)).alias("_after"))
-    return (_looked_up(out, heads, [*keys, _BLK])
+    return (looked_up(out, heads, [*keys, _BLK])
             .withColumn(name, F.coalesce("_later", "_after")["v"]).drop(_BLK, "_later", "_after"))

@@ -16,56 +16,81 @@ from loomwork.session import materialize
 
 PAD, UNK, SEP, MASK = 0, 1, 2, 3
 RESERVED = 4
-VOCAB_SIZE = 30_522  # fixed value: entries of the usual English subword vocabulary
+HEAD = 50_000        # most frequent words that every task holds; rarer ones are joined
 IGNORED = -100       # fixed value: label a loss leaves out
 SEPARATOR = "[sep]"
 TEXTS_PER_BLOCK = 1_000  # texts whose sentences are ranked in one task
 
 
-def _frequent(counted: DataFrame, size: int) -> DataFrame:
-    """Fewer rows with the same ``size`` most frequent words: rare words cannot be among them."""
-    rows = counted.count()
-    if rows <= 4 * size:
-        return counted
-    floor = counted.agg(F.percentile_approx("count", 1 - 2 * size / rows, 1_000_000)).first()[0]
-    likely = counted.where(F.col("count") >= floor)
-    return likely if likely.count() >= size else counted
+def build_vocab(df: DataFrame, column: str, size: int | None = None) -> DataFrame:
+    """(word, token_id): all words by falling frequency, ids after the reserved ones.
 
-
-def build_vocab(df: DataFrame, column: str, size: int = VOCAB_SIZE) -> DataFrame:
-    """(word, token_id): the most frequent words, ids after the reserved ones.
-
-    A vocabulary has a fixed size, so it can be broadcast whatever the corpus.
+    With ``size`` only so many entries are kept, the reserved ones included.
     """
     counted = materialize(counts.word_count_lower(df, column), "words")
-    kept = counts.top(_frequent(counted, size), "count", "word", size - RESERVED)
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), F.asc("word")))
-    return kept.select("word", (rank - 1 + RESERVED).cast("int").alias("token_id"))
+    indexed, _ = scan.dense_index(counted.select("word", (-F.col("count")).alias("_rare")), ["_rare", "word"])
+    vocab = indexed.select("word", (F.col("idx") + RESERVED).cast("int").alias("token_id"))
+    return vocab if size is None else vocab.where(F.col("token_id") < size)
 
 
-def vocab_words(vocab: DataFrame) -> list[str]:
-    """The words in id order; VOCAB_SIZE of them at most."""
-    return [row["word"] for row in vocab.orderBy("token_id").collect()]
+def _lists(flat: pa.Array, counts_: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum(counts_)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
-def token_ids(tokens: Column, words: list[str], max_length: int | None = None) -> Column:
-    """ARRAY<INT> of a word array; words outside the vocabulary become UNK.
+def _look_up(head: list[str]):
+    """ARRAY<STRING> to (ids, rare): -1 stands for a word outside ``head``, which goes to ``rare`` in order."""
+    # Place 0 is the separator, place i the i-th word of the head.
+    known = pa.array([SEPARATOR, *head], pa.string())
+    numbers = pa.array([SEP, *range(RESERVED, RESERVED + len(head))], pa.int32())
 
-    The vocabulary goes to every task and Arrow looks up whole batches, so a
-    text is encoded where it is read: nothing is shuffled.
-    """
-    # Place 0 is the separator, place i the vocabulary's word i-1.
-    known = pa.array([SEPARATOR, *words], pa.string())
-    ids = pa.array([SEP, *range(RESERVED, RESERVED + len(words))], pa.int32())
-
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids:array<int>,rare:array<string>>")
     def look_up(batch: pa.Array) -> pa.Array:
-        place = pc.index_in(batch.flatten(), value_set=known)
-        found = pc.fill_null(ids.take(place), UNK)
+        flat = batch.flatten()
+        place = pc.index_in(flat, value_set=known)
+        missing = pc.is_null(place)
         sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
-        return pa.ListArray.from_arrays(pa.array(ends), found)
-    return look_up(tokens if max_length is None else F.slice(tokens, 1, max_length))
+        gone = np.concatenate([[0], np.cumsum(missing.to_numpy(zero_copy_only=False))])
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+        return pa.StructArray.from_arrays(
+            [_lists(pc.fill_null(numbers.take(place), -1), sizes),
+             _lists(flat.filter(missing), gone[ends[1:]] - gone[ends[:-1]])], ["ids", "rare"])
+    return look_up
+
+
+def _filled(ids: Column, found: Column) -> Column:
+    """The ids with each -1 replaced by the next id found for its row."""
+    @F.arrow_udf("array<int>")
+    def fill(ids: pa.Array, found: pa.Array) -> pa.Array:
+        flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
+        flat[flat == -1] = found.flatten().to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        return _lists(pa.array(flat, pa.int32()), sizes)
+    return fill(ids, found)
+
+
+def encode(df: DataFrame, keys: list[str], words: Column, vocab: DataFrame, max_length: int | None = None,
+           name: str = "ids", head: int | None = None) -> DataFrame:
+    """Add ``name``, the ids of a word array (at most ``max_length``); a word outside the vocabulary is UNK.
+
+    The most frequent words go to every task, where Arrow looks up whole batches.  The
+    rest are joined by word: none of them is frequent enough to be a hot key.  ``keys``
+    identify a row.
+    """
+    first = RESERVED + (HEAD if head is None else head)
+    known = [r["word"] for r in vocab.where(F.col("token_id") < first).orderBy("token_id").collect()]
+    cut = words if max_length is None else F.slice(words, 1, max_length)
+    columns = [c for c in df.columns if c != name]
+    marked = materialize(df.withColumn("_found", _look_up(known)(cut)).select(
+        *columns, F.col("_found.ids").alias("_ids"), F.col("_found.rare").alias("_rare")), "marked")
+    spelled = marked.where(F.size("_rare") > 0).select(*keys, F.posexplode("_rare").alias("_pos", "word"))
+    tail = vocab.where(F.col("token_id") >= first)
+    item = F.struct("_pos", F.coalesce("token_id", F.lit(UNK)).alias("id"))
+    found = spelled.join(tail, "word", "left").groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(item)), lambda e: e["id"]).alias("_more"))
+    joined = scan.looked_up(marked, found, keys)
+    more = F.coalesce("_more", F.array().cast("array<int>"))
+    return joined.withColumn(name, _filled(F.col("_ids"), more)).drop("_ids", "_rare", "_more")
 
 
 def pad(ids: Column, length) -> Column:
@@ -79,12 +104,12 @@ def attention_mask(ids: Column, length) -> Column:
                     F.array_repeat(F.lit(0), F.greatest(F.lit(0), length - F.size(ids))))
 
 
-def encode_pad(df: DataFrame, column: str, words: list[str], max_length: int) -> DataFrame:
+def encode_pad(df: DataFrame, keys: list[str], column: str, vocab: DataFrame, max_length: int) -> DataFrame:
     """Add input_ids and mask, both ``max_length`` long."""
     length = F.lit(max_length)
-    return (df.withColumn("_ids", token_ids(tx.lower_words(F.col(column)), words, max_length))
-            .withColumn("input_ids", pad(F.col("_ids"), length))
-            .withColumn("mask", attention_mask(F.col("_ids"), length)).drop("_ids"))
+    return (encode(df, keys, tx.lower_words(F.col(column)), vocab, max_length, "_own")
+            .withColumn("input_ids", pad(F.col("_own"), length))
+            .withColumn("mask", attention_mask(F.col("_own"), length)).drop("_own"))
 
 
 def pad_to_longest(encoded: DataFrame, batch: str, multiple: int = 8) -> DataFrame:
@@ -115,6 +140,20 @@ def next_sentence_pairs(df: DataFrame, key: str, column: str,
     return paired.select(key, "pos", "idx", F.concat_ws(" [SEP] ", "sentence", "_next").alias("pair"))
 
 
+def encoded_pairs(df: DataFrame, key: str, column: str, vocab: DataFrame, max_length: int,
+                  rows_per_block: int | None = None) -> DataFrame:
+    """(key, pos, idx, ids): the ids of each sentence, the separator, and those of the next sentence.
+
+    Every sentence is encoded once; ids are shuffled, not texts.
+    """
+    rows = sentence_rows(df, key, column)
+    own = encode(rows, [key, "pos"], tx.lower_words(F.col("sentence")), vocab, max_length, "_own").drop("sentence")
+    paired = scan.index_with_next(own, [key, "pos"], "_own", sized_by=df, next_name="_next",
+                                  rows_per_block=rows_per_block or TEXTS_PER_BLOCK)
+    both = F.concat("_own", F.array(F.lit(SEP)), "_next")
+    return paired.select(key, "pos", "idx", F.slice(both, 1, max_length).alias("ids"))
+
+
 def _first_separator(ids: Column) -> Column:
     """0-based place of the first separator; -1 without one."""
     return F.array_position(ids, SEP).cast("int") - 1
@@ -140,10 +179,10 @@ def first_segment_labels(df: DataFrame, ids: str = "input_ids") -> DataFrame:
         F.col(ids), lambda t, i: F.when(i < cut, t).otherwise(F.lit(IGNORED)))))
 
 
-def mlm_mask(df: DataFrame, key: str, ids: str, seed: int, share: float = 0.15,
-             vocab_size: int = VOCAB_SIZE, masked: float = 0.8, random: float = 0.1) -> DataFrame:
+def mlm_mask(df: DataFrame, key: str, ids: str, seed: int, vocab_size: int, share: float = 0.15,
+             masked: float = 0.8, random: float = 0.1) -> DataFrame:
     """Pick ``share`` of the ordinary tokens as labels; of those ``masked`` become MASK,
-    ``random`` a random word, and the rest stay."""
+    ``random`` a random one of the ``vocab_size`` words, and the rest stay."""
     # One digest serves four tokens: each compares its own eight digits.
     def digests(size):
         return F.transform(F.sequence(F.lit(0), F.floor(size / 4).cast("int")),
@@ -156,7 +195,7 @@ def mlm_mask(df: DataFrame, key: str, ids: str, seed: int, share: float = 0.15,
 
     def new_id(e, i):
         def changed(h):
-            other = (F.floor(share_of(h, 1) * (vocab_size - RESERVED)) + RESERVED).cast("int")
+            other = (F.floor(share_of(h, 1) * vocab_size) + RESERVED).cast("int")
             return (F.when(share_of(h) < F.lit(masked), F.lit(MASK))
                     .when(share_of(h) < F.lit(masked + random), other).otherwise(e["t"]))
         return F.when(e["on"], let(digest(F.col(key), i, "kind", seed), changed)).otherwise(e["t"])

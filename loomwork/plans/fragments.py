@@ -74,7 +74,7 @@ counted AS (SELECT word, count(*) AS count FROM words GROUP BY word)"""
 # (word, token_id)
 VOCAB = WORDS + """,
 vocab AS (SELECT word, (row_number() OVER (ORDER BY count DESC, word) + 3)::INTEGER AS token_id
-  FROM counted QUALIFY row_number() OVER (ORDER BY count DESC, word) <= 30518)"""
+  FROM counted)"""
 
 # (doc_id, pos, sentence)
 SENTENCES = r"""cleaned AS (SELECT doc_id, trim(regexp_replace(text, '[^a-zA-Z0-9.,?!\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|\n', '', 'g'), ' ') AS t

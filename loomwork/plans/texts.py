@@ -116,7 +116,7 @@ def build_vocab(spark, d):
 
 
 def _vocab(spark, d):
-    return tokens.vocab_words(tokens.build_vocab(_documents(spark, d), "text"))
+    return tokens.build_vocab(_documents(spark, d), "text")
 
 
 ENCODED = S.VOCAB + """,
@@ -134,7 +134,7 @@ WITH {ENCODED} SELECT doc_id, label.quality AS label, array_to_string(input_ids,
 def encode_pad(spark, d):
     labelled = _documents(spark, d).join(
         t.load(spark, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "left")
-    encoded = tokens.encode_pad(labelled, "text", _vocab(spark, d), 512)
+    encoded = tokens.encode_pad(labelled, ["doc_id"], "text", _vocab(spark, d), 512)
     return encoded.select("doc_id", "label", joined("input_ids").alias("input_ids"), joined("mask").alias("mask"))
 
 
@@ -142,7 +142,7 @@ def encode_pad(spark, d):
 WITH {ENCODED} SELECT doc_id, md5(array_to_string(input_ids, ',')) AS ids_md5,
   array_to_string(input_ids, ',') AS labels FROM padded""")
 def copy_labels(spark, d):
-    encoded = tokens.copy_labels(tokens.encode_pad(_documents(spark, d), "text", _vocab(spark, d), 512))
+    encoded = tokens.copy_labels(tokens.encode_pad(_documents(spark, d), ["doc_id"], "text", _vocab(spark, d), 512))
     return encoded.select("doc_id", F.md5(joined("input_ids")).alias("ids_md5"), joined("labels").alias("labels"))
 
 
@@ -155,8 +155,8 @@ SELECT doc_id, batch_id, n, width,
     AS mask_md5 FROM wide""")
 def pad_to_longest(spark, d):
     # Encoded first: the batches then shuffle ids, not texts.
-    ids = tokens.token_ids(tx.lower_words(F.col("text")), _vocab(spark, d))
-    encoded = splits.ordered_batches(_documents(spark, d).select("doc_id", ids.alias("ids")), "doc_id", 8,
+    ids = tokens.encode(_documents(spark, d), ["doc_id"], tx.lower_words(F.col("text")), _vocab(spark, d))
+    encoded = splits.ordered_batches(ids.select("doc_id", "ids"), "doc_id", 8,
                                      rows_per_block=tokens.TEXTS_PER_BLOCK)
     return tokens.pad_to_longest(encoded, "batch_id").select(
         "doc_id", "batch_id", F.size("ids").alias("n"), "width",
@@ -164,9 +164,7 @@ def pad_to_longest(spark, d):
 
 
 def _encoded_pairs(spark, d):
-    pairs = tokens.next_sentence_pairs(_documents(spark, d), "doc_id", "text")
-    ids = tokens.token_ids(tx.lower_words(F.col("pair")), _vocab(spark, d), 512)
-    return pairs.select("idx", ids.alias("ids"))
+    return tokens.encoded_pairs(_documents(spark, d), "doc_id", "text", _vocab(spark, d), 512).select("idx", "ids")
 
 
 # (idx, nsp_label, ids): half of the pairs with the words after the separator shuffled
@@ -193,7 +191,8 @@ WITH {EXAMPLES}, labelled AS (SELECT idx, list_transform(ids, lambda x, i: CASE
   FROM examples)
 SELECT idx, array_to_string(labels, ',') AS labels FROM labelled""")
 def first_segment_labels(spark, d):
-    return tokens.first_segment_labels(_examples(spark, d)).select("idx", joined("labels").alias("labels"))
+    # What stands before the separator is never shuffled.
+    return tokens.first_segment_labels(_encoded_pairs(spark, d), "ids").select("idx", joined("labels").alias("labels"))
 
 
 @query("mlm_mask", f"""
@@ -201,10 +200,12 @@ WITH {S.ENCODED_PAIRS}, each AS (SELECT idx, unnest(ids) AS t, unnest(range(len(
 hashed AS (SELECT *, md5(idx || ':' || (i // 4) || ':11') AS h, md5(idx || ':' || i || ':kind:11') AS k FROM each),
 drawn AS (SELECT idx, i, t, t <> 2 AND ('0x' || substr(h, 8 * (i % 4)::INTEGER + 1, 8))::BIGINT
     / 4294967296.0::DOUBLE < 0.15 AS picked, ('0x' || k[1:8])::BIGINT / 4294967296.0::DOUBLE AS u,
-  4 + floor(('0x' || k[9:16])::BIGINT / 4294967296.0::DOUBLE * 30518)::INTEGER AS other FROM hashed)
+  4 + floor(('0x' || k[9:16])::BIGINT / 4294967296.0::DOUBLE * (SELECT count(*) FROM vocab))::INTEGER AS other FROM hashed)
 SELECT idx, string_agg(CASE WHEN NOT picked THEN t WHEN u < 0.8 THEN 3 WHEN u < 0.9 THEN other ELSE t END::VARCHAR, ','
   ORDER BY i) AS masked_ids, string_agg(CASE WHEN picked THEN t ELSE -100 END::VARCHAR, ',' ORDER BY i) AS mlm_labels
 FROM drawn GROUP BY idx""")
 def mlm_mask(spark, d):
-    masked = tokens.mlm_mask(_encoded_pairs(spark, d), "idx", "ids", SEED)
+    vocab = _vocab(spark, d)
+    pairs = tokens.encoded_pairs(_documents(spark, d), "doc_id", "text", vocab, 512).select("idx", "ids")
+    masked = tokens.mlm_mask(pairs, "idx", "ids", SEED, vocab.count())
     return masked.select("idx", joined("masked_ids").alias("masked_ids"), joined("mlm_labels").alias("mlm_labels"))

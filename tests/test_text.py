@@ -9,7 +9,7 @@ from loomwork.functions import chat, html
 from loomwork.functions import text as tx
 from loomwork.operators import counts, history, inference, tokens
 from loomwork.session import new_folder
-from loomwork.sources import files, sinks
+from loomwork.sources import files, tables, sinks
 
 
 def one(spark, column, **values):
@@ -153,24 +153,37 @@ def test_word_counts(spark):
         ("a", 2), ("b", 2)]
 
 
-def test_tokens(spark):
-    df = spark.createDataFrame([(1, "b a b c"), (2, ""), (3, "zz b [SEP] a")], "id long, t string")
-    words = tokens.vocab_words(tokens.build_vocab(df.where("id = 1"), "t", size=4 + 2))
-    assert words == ["b", "a"]
-    got = {r["id"]: r for r in tokens.encode_pad(df, "t", words, 5).collect()}
-    assert got[1]["input_ids"] == [4, 5, 4, 1, 0] and got[1]["mask"] == [1, 1, 1, 1, 0]
-    assert got[2]["input_ids"] == [0] * 5 and got[2]["mask"] == [0] * 5
-    assert got[3]["input_ids"] == [1, 4, 2, 5, 0]
-    ids = df.withColumn("input_ids", tokens.token_ids(tx.lower_words(F.col("t")), words))
+@pytest.mark.parametrize("head", [0, 1, 50])
+def test_tokens(spark, head):
+    """Whether a word is in the head or joined, it gets the same id."""
+    df = spark.createDataFrame([(1, "b a b c"), (2, ""), (3, "zz b [SEP] a"), (4, None)], "id long, t string")
+    vocab = tokens.build_vocab(df.where("id = 1"), "t", size=4 + 2)
+    assert {r["word"]: r["token_id"] for r in vocab.collect()} == {"b": 4, "a": 5}
+    ids = tokens.encode(df, ["id"], tx.lower_words(F.col("t")), vocab, name="input_ids", head=head)
+    got = {r["id"]: r["input_ids"] for r in ids.collect()}
+    assert got == {1: [4, 5, 4, 1], 2: [], 3: [1, 4, 2, 5], 4: []}
+    cut = tokens.encode(df, ["id"], tx.lower_words(F.col("t")), vocab, 2, head=head).collect()
+    assert {r["id"]: r["ids"] for r in cut} == {1: [4, 5], 2: [], 3: [1, 4], 4: []}
+    padded = {r["id"]: r for r in tokens.encode_pad(df, ["id"], "t", vocab, 5).collect()}
+    assert padded[1]["input_ids"] == [4, 5, 4, 1, 0] and padded[1]["mask"] == [1, 1, 1, 1, 0]
+    assert padded[2]["input_ids"] == [0] * 5 and padded[2]["mask"] == [0] * 5
     labels = {r["id"]: r["labels"] for r in tokens.first_segment_labels(ids).collect()}
     assert labels[3] == [1, 4, -100, -100] and labels[1] == [-100] * 4
     wide = tokens.pad_to_longest(ids.withColumnRenamed("input_ids", "ids").withColumn("b", F.lit(0)), "b")
     assert {r["width"] for r in wide.collect()} == {8}
 
 
+def test_every_word_of_the_corpus_has_an_id(spark, sf):
+    docs = tables.load(spark, sf, "documents").select("doc_id", "text")
+    vocab = tokens.build_vocab(docs, "text")
+    ids = tokens.encode(docs, ["doc_id"], tx.lower_words(F.col("text")), vocab, head=500)
+    assert ids.where(F.array_contains("ids", tokens.UNK) | F.array_contains("ids", -1)).count() == 0
+    assert vocab.agg(F.max("token_id")).first()[0] == vocab.count() + tokens.RESERVED - 1
+
+
 def test_masking_shares(spark):
     df = spark.range(400).select("id", F.array_repeat(F.lit(9), 50).alias("ids"))
-    rows = tokens.mlm_mask(df, "id", "ids", 3).collect()
+    rows = tokens.mlm_mask(df, "id", "ids", 3, 1000).collect()
     pairs = [(m, lab) for r in rows for m, lab in zip(r["masked_ids"], r["mlm_labels"])]
     chosen = [m for m, lab in pairs if lab != -100]
     assert all(m == 9 for m, lab in pairs if lab == -100)
