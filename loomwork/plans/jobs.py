@@ -111,7 +111,7 @@ SELECT account, arg_max(balance, n)::DOUBLE AS balance, count(*) FILTER (status
 def account_stream(spark, d):
     out, checkpoint = jobs.stream_folders(spark, "account-stream")
     jobs.account_stream(t.as_account_ops(_events(spark, d)), out, checkpoint)
-    return t.as_doubles(jobs.latest_states(spark, out, "account"))
+    return t.as_doubles(jobs.account_states(spark, out))
 
 
 @query("counter_stream", "SELECT user_id, count(*) AS calls FROM events GROUP BY user_id")

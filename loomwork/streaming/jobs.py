@@ -7,22 +7,14 @@ replaces its own output.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from decimal import Decimal
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from loomwork.functions.chat import json_request_reply
-from loomwork.operators.ledger import apply_op
-from loomwork.session import new_folder
+from loomwork.operators.ledger import account_ledger
+from loomwork.session import materialize, new_folder
 from loomwork.sources import sinks
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 TRIGGER_BYTES = 256 * 1024 * 1024
 
 
@@ -44,43 +36,63 @@ def run_available(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-class AccountProcessor(StatefulProcessor):
-    """One account: its balance is the state, operations come in time order."""
-
-    def __init__(self, opening: str, minimal: str):
-        self.opening, self.minimal = Decimal(opening), Decimal(minimal)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "account", "balance decimal(18,2), accepted long, rejected long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        balance, accepted, rejected = (self.state.get() if self.state.exists()
-                                       else (self.opening, 0, 0))
-        # One account's operations within one trigger: bounded by the trigger's files.
-        ops = pd.concat(list(rows)).sort_values(["ts", "id"])
-        for op, amount in zip(ops["op"], ops["amount"]):
-            balance, done = apply_op(balance, self.minimal, op == "withdraw", amount)
-            accepted, rejected = accepted + done, rejected + (not done)
-        self.state.update((balance, int(accepted), int(rejected)))
-        yield pd.DataFrame({"account": [key[0]], "balance": [balance],
-                            "accepted": [accepted], "rejected": [rejected]})
-
-    def close(self) -> None:
-        pass
-
-
-def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00", minimal="20.00") -> None:
-    """Apply a stream of operations to accounts; ``out`` gets the changed states of each batch."""
-    # State kept by transformWithState needs this store.
-    ops.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    kind = dict(ops.dtypes)["account"]
-    states = ops.groupBy("account").transformWithStateInPandas(
-        AccountProcessor(opening, minimal),
-        f"account {kind}, balance decimal(18,2), accepted long, rejected long",
-        outputMode="Update", timeMode="None")
-    run_available(states.writeStream.outputMode("update").foreachBatch(
-        lambda batch, n: sinks.save_snapshot(batch, out, n)), checkpoint)
+def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00", minimal="20.00",
+                   delay: int = 0) -> None:
+    """Apply a stream of operations (account, ts, id, op, amount) to accounts in the order of (ts, id).
+
+    Micro-batches only log their operations, so neither the order of the files nor
+    the size of a trigger matters.  When all that is available is logged, the
+    operations up to the greatest ts less ``delay`` are folded and ``out`` gets the
+    changed states; younger ones wait for the next call.  An operation that arrives
+    after its time was folded goes to ``late_operations``.
+    """
+    run_available(ops.writeStream.outputMode("append").foreachBatch(
+        lambda batch, n: sinks.save_snapshot(batch, f"{out}/ops", n)), checkpoint)
+    settle_accounts(ops.sparkSession, out, opening, minimal, delay)
+
+
+def settle_accounts(spark: SparkSession, out: str, opening, minimal, delay: int) -> None:
+    """Fold the logged operations that are due; called again without new ones it changes nothing."""
+    if not sinks.versions(spark, f"{out}/ops"):
+        return
+    logged = spark.read.option("basePath", f"{out}/ops").parquet(f"{out}/ops/version=*")
+    mark, seen = -(1 << 62), -1
+    if sinks.versions(spark, f"{out}/marks"):
+        mark, seen = sinks.latest_records(spark, f"{out}/marks", "name").select("mark", "seen").first()
+    # an operation without a time comes first: due at once, late ever after
+    at = F.coalesce("ts", F.lit(1 - (1 << 62)))
+    newest, last = logged.agg(F.max(at), F.max("version")).first()
+    if last == seen:
+        return
+    due = newest - delay
+    late = logged.where((F.col("version") > seen) & (at <= mark)).drop("version")
+    sinks.save_snapshot(late, f"{out}/late", last)
+    ripe = materialize(logged.where((at > mark) & (at <= due)).drop("version"), "ripe")
+    before = ripe.select("account").distinct()
+    if sinks.versions(spark, f"{out}/states"):
+        before = sinks.restore_snapshot(spark, f"{out}/states", before, "account")
+    else:
+        before = before.select("account", F.lit(None).cast("decimal(18,2)").alias("balance"),
+                               *[F.lit(0).cast("long").alias(c) for c in ("accepted", "rejected")])
+    accounts = before.select("account", F.coalesce("balance", F.lit(opening).cast("decimal(18,2)")).alias("balance"),
+                             F.lit(minimal).cast("decimal(18,2)").alias("minimal"))
+    counts = before.select("account", *[F.coalesce(c, F.lit(0)).alias(f"_{c}") for c in ("accepted", "rejected")])
+    folded = account_ledger(ripe, accounts).join(counts, "account").select(
+        "account", "balance", *[(F.col(c) + F.col(f"_{c}")).alias(c) for c in ("accepted", "rejected")])
+    sinks.save_snapshot(folded, f"{out}/states", last)
+    sinks.compact(spark, f"{out}/states", "account")
+    sinks.save_snapshot(spark.createDataFrame([("accounts", due, last)], "name string, mark long, seen long"),
+                        f"{out}/marks", last)
+
+
+def account_states(spark: SparkSession, out: str) -> DataFrame:
+    """(account, balance, accepted, rejected) after the operations folded so far."""
+    return latest_states(spark, f"{out}/states", "account")
+
+
+def late_operations(spark: SparkSession, out: str) -> DataFrame:
+    """Operations that came after their time was folded."""
+    return spark.read.parquet(f"{out}/late/version=*")
 
 
 def latest_states(spark: SparkSession, out: str, key: str) -> DataFrame:
@@ -91,8 +103,10 @@ def latest_states(spark: SparkSession, out: str, key: str) -> DataFrame:
 def counter_stream(rows: DataFrame, key: str, out: str, checkpoint: str) -> None:
     """Running count per key; ``out`` gets the changed counts of each batch."""
     counted = rows.groupBy(key).agg(F.count("*").alias("calls"))
-    run_available(counted.writeStream.outputMode("update").foreachBatch(
-        lambda batch, n: sinks.save_snapshot(batch, out, n)), checkpoint)
+    def save(batch, n):
+        sinks.save_snapshot(batch, out, n)
+        sinks.compact(batch.sparkSession, out, key)
+    run_available(counted.writeStream.outputMode("update").foreachBatch(save), checkpoint)
 
 
 def request_stream(requests: DataFrame, out: str, checkpoint: str, field: str = "name") -> None:

@@ -94,26 +94,26 @@ def test_snapshots(spark):
     assert got == {1: 11, 2: 20, 3: None}
 
 
-@pytest.mark.parametrize("pieces", [1, 4])
-def test_streams_equal_batches(spark, sf, pieces):
-    """Any cut of the input into time-ordered files gives the batch result."""
+@pytest.mark.parametrize("order", [None, (0, 1, 2, 3), (2, 0, 3, 1)])
+def test_streams_equal_batches(spark, sf, order):
+    """Any cut of the input into files, in any order of arrival, gives the batch result."""
     events = tables.load(spark, sf, "events")
     source = new_folder(spark, "events")
     last = events.agg(F.max("event_id")).first()[0] + 1
-    for piece in range(pieces):  # one file after the other
-        inside = (F.col("event_id") * pieces / last).cast("int") == piece
+    for piece in order or (0,):  # one file after the other
+        inside = (F.col("event_id") * 4 / last).cast("int") == piece if order else F.lit(True)
         events.where(inside).coalesce(1).write.mode("append").parquet(source)
     stream = jobs.read_stream(spark, source, files_per_trigger=1)
     out, checkpoint = jobs.stream_folders(spark, "accounts")
     jobs.account_stream(tables.as_account_ops(stream), out, checkpoint)
-    got = {tuple(r) for r in jobs.latest_states(spark, out, "account").collect()}
+    got = {tuple(r) for r in jobs.account_states(spark, out).collect()}
     ops = tables.account_ops(spark, sf)
     accounts = ops.select("account").distinct().selectExpr("account", "100 AS balance", "20 AS minimal")
     want = {tuple(r) for r in ledger.account_ledger(ops, accounts).collect()}
-    assert got == want
+    assert got == want and jobs.late_operations(spark, out).count() == 0
     # Started again on the same checkpoint there is nothing left to do.
     jobs.account_stream(tables.as_account_ops(stream), out, checkpoint)
-    assert {tuple(r) for r in jobs.latest_states(spark, out, "account").collect()} == want
+    assert {tuple(r) for r in jobs.account_states(spark, out).collect()} == want
 
     out, checkpoint = jobs.stream_folders(spark, "counts")
     jobs.counter_stream(stream, "user_id", out, checkpoint)
@@ -121,6 +121,35 @@ def test_streams_equal_batches(spark, sf, pieces):
     assert counts == {tuple(r) for r in events.groupBy("user_id").count().collect()}
 
 
+def test_operations_wait_for_the_watermark(spark):
+    """With a delay young operations wait, and what comes after its time is kept apart."""
+    source = new_folder(spark, "ops")
+
+    def arrive(*rows):
+        kind = "account long, ts long, id long, op string, amount decimal(18,2)"
+        spark.createDataFrame([(1, ts, i, "deposit", Decimal(a)) for ts, i, a in rows], kind).coalesce(1).write.mode(
+            "append").parquet(source)
+        stream = jobs.read_stream(spark, source, files_per_trigger=1)
+        jobs.account_stream(stream, out, checkpoint, delay=10)
+        return [(int(r["balance"]), r["accepted"]) for r in jobs.account_states(spark, out).collect()]
+    out, checkpoint = jobs.stream_folders(spark, "waiting")
+    assert arrive((5, 1, 1), (20, 2, 10), (None, 9, 2)) == [(103, 2)]
+    assert arrive((12, 3, 100), (30, 4, 1000)) == [(213, 4)]      # 12 is in time, 30 waits
+    assert arrive((15, 5, 7), (50, 6, 1)) == [(1213, 5)]          # 15 is late
+    assert [r["id"] for r in jobs.late_operations(spark, out).collect()] == [5]
+
+
+def test_compacted_snapshots(spark):
+    path = new_folder(spark, "versions")
+    for version in range(7):
+        rows = [(k, version) for k in range(10) if k % 7 >= version]
+        sinks.save_snapshot(spark.createDataFrame(rows, "k int, v int"), path, version)
+        sinks.compact(spark, path, "k", after=3)
+    assert sinks.versions(spark, path, "full") == [2, 5]
+    got = {r["k"]: r["v"] for r in sinks.latest_records(spark, path, "k").collect()}
+    assert got == {k: k % 7 for k in range(10)}
+
+
 def test_batch_score_loads_once_per_task(spark):
     df = spark.range(100, numPartitions=2).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
     load = inference.linear_model([[0.0, 0.0], [1.0, -49.5]], [0.0, 0.0])
