@@ -2,21 +2,65 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators import scan
 
+TILE = 128  # rows and columns of a block
 
-def relational_matmul(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(i, j, v) of A·B from A(i, k, v) and B(k, j, v).
 
-    Products are summed before the second shuffle, so it carries the entries of
-    the result per task, not the products.
+def _tiled(entries: DataFrame, row: str, column: str, tile: int, names: tuple[str, str, str]) -> DataFrame:
+    """One row per tile that has entries: its place, and row, column and value of each entry in it."""
+    whole = entries.where(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col("v").isNotNull())
+    place = [F.floor(F.col(c) / F.lit(tile)).cast("long").alias(n) for c, n in ((row, names[0]), (column, names[1]))]
+    entry = F.struct((F.pmod(F.col(row), F.lit(tile))).cast("int").alias("r"),
+                     (F.pmod(F.col(column), F.lit(tile))).cast("int").alias("c"), F.col("v").cast("double").alias("v"))
+    return whole.groupBy(*place).agg(F.collect_list(entry).alias(names[2]))
+
+
+def _product(x: np.ndarray, has_x: np.ndarray, y: np.ndarray, has_y: np.ndarray) -> np.ndarray:
+    """x·y in which NaN and infinity meet only entries that are there."""
+    fit_x, fit_y = np.isfinite(x), np.isfinite(y)
+    out = np.where(fit_x, x, 0.0) @ np.where(fit_y, y, 0.0)
+    for r, k in np.argwhere(~fit_x):
+        there = has_y[k] > 0
+        out[r, there] += x[r, k] * y[k, there]
+    for k, c in np.argwhere(~fit_y):
+        there = (has_x[:, k] > 0) & fit_x[:, k]
+        out[there, c] += x[there, k] * y[k, c]
+    return out
+
+
+def relational_matmul(a: DataFrame, b: DataFrame, tile: int = TILE) -> DataFrame:
+    """(i, j, v) of A·B from A(i, k, v) and B(k, j, v); an entry without a place or value is none.
+
+    Tiles of A and B meet on their range of k and are multiplied as dense blocks, so
+    an index k that fills a row and a column gives a product per pair of tiles and
+    not one per pair of entries.
     """
-    products = a.select("i", "k", F.col("v").alias("_a")).join(
-        b.select("k", "j", F.col("v").alias("_b")), "k")
-    return products.groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+    pairs = _tiled(a, "i", "k", tile, ("_i", "_k", "_a")).join(_tiled(b, "k", "j", tile, ("_k", "_j", "_b")), "_k")
+
+    def dense(entries) -> tuple[np.ndarray, np.ndarray]:
+        value, there = np.zeros((tile, tile)), np.zeros((tile, tile))
+        r, c = np.array([e["r"] for e in entries]), np.array([e["c"] for e in entries])
+        np.add.at(value, (r, c), np.array([e["v"] for e in entries]))
+        there[r, c] = 1
+        return value, there
+
+    def multiply(batches):
+        for batch in batches:
+            for i, j, left, right in zip(batch["_i"], batch["_j"], batch["_a"], batch["_b"]):
+                (x, has_x), (y, has_y) = dense(left), dense(right)
+                row, column = np.nonzero(has_x @ has_y)
+                value = _product(x, has_x, y, has_y)
+                yield pd.DataFrame({"i": i * tile + row, "j": j * tile + column, "v": value[row, column]})
+
+    products = pairs.select("_i", "_j", "_a", "_b").mapInPandas(multiply, "i bigint, j bigint, v double")
+    summed = products.groupBy("i", "j").agg(F.sum("v").alias("v"))
+    return summed.select(F.col("i").cast(a.schema["i"].dataType), F.col("j").cast(b.schema["j"].dataType), "v")
 
 
 def average_states(entries: DataFrame, integer_keys: Column) -> DataFrame:

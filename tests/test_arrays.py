@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,26 @@ def test_value_sweeps(spark):
     assert got == pytest.approx(q)
     tied = spark.createDataFrame([(0, 2, 1.0), (0, 1, 1.0), (0, 0, 0.5)], "state int, action int, q double")
     assert [(r["state"], r["action"]) for r in qvalues.greedy_action(tied).collect()] == [(0, 1)]
+
+
+@pytest.mark.parametrize("tile", [2, 5, 128])
+def test_matmul_of_tiles(spark, tile):
+    """Sparse factors, a dense k, repeated entries and a null place against NumPy."""
+    draw = np.random.default_rng(1)
+    a = [(i, k, float(draw.normal())) for i in range(9) for k in range(7) if k == 3 or draw.random() < 0.4]
+    b = [(k, j, float(draw.normal())) for k in range(7) for j in range(11) if k == 3 or draw.random() < 0.4]
+    x, y = np.zeros((9, 7)), np.zeros((7, 11))
+    for m, entries in ((x, a), (y, b)):
+        for r, c, v in entries:
+            m[r, c] += v
+    left = spark.createDataFrame([*a, (1, None, 5.0)], "i long, k long, v double")
+    right = spark.createDataFrame(b, "k long, j int, v double")
+    got = {(r["i"], r["j"]): r["v"] for r in matrices.relational_matmul(left, right, tile).collect()}
+    assert len(got) == 99 and all(abs((x @ y)[i, j] - v) < 1e-9 for (i, j), v in got.items())
+
+
+def test_matmul_keeps_nan_to_its_row(spark):
+    left = spark.createDataFrame([(0, 0, float("nan")), (1, 0, 2.0), (0, 1, 3.0), (1, 1, None)], "i int, k int, v double")
+    right = spark.createDataFrame([(0, 0, 5.0), (1, 1, float("inf")), (1, 2, 7.0)], "k int, j int, v double")
+    got = {(r["i"], r["j"]): r["v"] for r in matrices.relational_matmul(left, right).collect()}
+    assert math.isnan(got.pop((0, 0))) and got == {(1, 0): 10.0, (0, 1): math.inf, (0, 2): 21.0}
