@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,15 +50,17 @@ def relational_matmul(a: DataFrame, b: DataFrame, tile: int = TILE) -> DataFrame
         there[r, c] = 1
         return value, there
 
+    # Arrow out: pandas would turn NaN into null.
     def multiply(batches):
         for batch in batches:
-            for i, j, left, right in zip(batch["_i"], batch["_j"], batch["_a"], batch["_b"]):
+            for i, j, left, right in zip(*[c.to_pylist() for c in batch.columns]):
                 (x, has_x), (y, has_y) = dense(left), dense(right)
                 row, column = np.nonzero(has_x @ has_y)
                 value = _product(x, has_x, y, has_y)
-                yield pd.DataFrame({"i": i * tile + row, "j": j * tile + column, "v": value[row, column]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(i * tile + row), pa.array(j * tile + column), pa.array(value[row, column])], ["i", "j", "v"])
 
-    products = pairs.select("_i", "_j", "_a", "_b").mapInPandas(multiply, "i bigint, j bigint, v double")
+    products = pairs.select("_i", "_j", "_a", "_b").mapInArrow(multiply, "i bigint, j bigint, v double")
     summed = products.groupBy("i", "j").agg(F.sum("v").alias("v"))
     return summed.select(F.col("i").cast(a.schema["i"].dataType), F.col("j").cast(b.schema["j"].dataType), "v")
 
