@@ -51,11 +51,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/loomwork/{name}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []  # intermediate tables of this process
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Later steps then see one fixed set of rows, also after an executor is lost.
+    Later steps then see one fixed set of rows, also after an executor is lost.  The
+    table stays until ``release``, as a result may still read it.
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables written so far; results that still read them end."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

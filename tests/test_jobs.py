@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.hashing import draw_int
 from loomwork.operators import inference, ledger, links, series, splits, training
-from loomwork.session import new_folder
+from loomwork.session import materialize, new_folder, release
 from loomwork.sources import sinks, tables
 from loomwork.streaming import jobs
 
@@ -208,3 +208,11 @@ def test_flat_map_takes_any_schema(spark):
 def test_draws_reach_beyond_32_bits(spark):
     top = spark.range(2000).agg(F.max(draw_int(10 ** 12, F.col("id"), 1))).first()[0]
     assert 9.9e11 < top <= 10 ** 12
+
+
+def test_release_removes_intermediate_tables(spark):
+    kept = materialize(spark.range(5), "kept")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+    assert os.path.isdir(path) and kept.count() == 5
+    release(spark)
+    assert not os.path.exists(path)
