@@ -1,5 +1,6 @@
 """Operators 1 and 6 and the pipeline."""
 
+import datetime
 import random
 import re
 
@@ -87,9 +88,9 @@ def test_pseudonyms_keep_format(documents):
     assert replaced(documents, texts)[0] == new and replaced(documents, texts, "other")[0] != new
 
 
-def test_pseudonyms_are_permutations(spark, documents):
+def test_pseudonyms_are_permutations(documents):
     """Different values stay different: all octet pairs of a range, all days of some years, many phone numbers."""
-    days = [r["d"] for r in spark.sql("select cast(explode(sequence(date'1999-01-01', date'2004-12-31')) as string) d").collect()]
+    days = [str(datetime.date(1999, 1, 1) + datetime.timedelta(d)) for d in range(2200)]
     phones = [f"+1 (017) 555-{k:04d}" for k in range(800)]
     hosts = [f"10.0.{a}.{b}" for a in range(20) for b in range(20)]
     for values in (days, phones, hosts):
