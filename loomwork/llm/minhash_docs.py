@@ -41,8 +41,8 @@ from loomwork.session import materialize
 
 SHINGLE = 4
 COORDINATES, MATCHES = 32, 14
-BLOCK = 128           # classes on one side of a tile
-BUCKET = 2_048        # rows of tiles that one call handles
+BLOCK = 512           # classes on one side of a tile
+BUCKET = 4_096        # rows of tiles that one call handles
 _TAG = np.int64(~63)  # the low bits of a coordinate's value name the coordinate
 _STEP = 1 << 15
 
