@@ -106,7 +106,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_line_chunks")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_chunks.dedup_lines(docs, count="lines_removed")
+    return line_chunks.dedup_runs(docs, count="lines_removed")
 
 
 @query("op9_cost_packing")

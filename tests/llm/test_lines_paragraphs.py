@@ -162,3 +162,69 @@ def test_empty_tables(documents):
     none = documents(["a"]).limit(0)
     assert line_chunks.dedup_lines(none).collect() == []
     assert paragraphs.repeated_units(none).collect() == [] and paragraphs.dedup_paragraphs(none).collect() == []
+
+
+def repeated_lines(texts):
+    """Brute force: the lines of every run of two or more that stands at an earlier place, blank lines not counted."""
+    lines = {i: t.split("\n") for i, t in texts.items() if t}
+    full = {i: [k for k, x in enumerate(v) if x.strip()] for i, v in lines.items()}
+    spots = [(i, n) for i in sorted(full) for n in range(len(full[i]))]
+    gone = {i: set() for i in lines}
+
+    def stretch(i, n, m):
+        return lines[i][full[i][n]:full[i][m] + 1]
+
+    for at, (i, n) in enumerate(spots):
+        for j, m in spots[:at]:
+            size = 1
+            while (n + size < len(full[i]) and m + size < len(full[j])
+                   and stretch(i, n, n + size) == stretch(j, m, m + size)):
+                size += 1
+            if size > 1:
+                gone[i].update(range(full[i][n], full[i][n + size - 1] + 1))
+    return lines, gone
+
+
+def test_runs_against_brute_force(documents, clashing):
+    """Every repeated run goes whole, whatever surrounds it, and nothing else does."""
+    draw = random.Random(5)
+    pool = [f"shared line {k} of the pool" for k in range(20)]
+    texts = {}
+    for i in range(70):
+        start = draw.randrange(15)
+        own = [f"own {i} {k}" for k in range(draw.randrange(4))]
+        blank = [""] if draw.randrange(3) == 0 else []
+        texts[i] = "\n".join(own + pool[start:start + draw.randrange(4)] + blank + pool[:draw.randrange(3)] + own[:1])
+    texts |= {70: None, 71: "", 72: "one line", 73: "one line", 74: "x\nx\nx\nx", 75: texts[3] + "\n"}
+    lines, gone = repeated_lines(texts)
+    docs = clashing(documents(list(texts.items())))
+    found = line_chunks.dedup_runs(docs, count="lines_removed")
+    assert found.columns == [*docs.columns, "lines_removed"] and sum(map(len, gone.values())) > 50
+    for r in found.collect():
+        i = r["doc_id"]
+        if not texts[i]:
+            assert r["text"] == texts[i] and r["lines_removed"] == 0
+            continue
+        want = [x for k, x in enumerate(lines[i]) if k not in gone[i]]
+        assert [x for x in r["text"].split("\n") if x] == [x for x in want if x], i
+        assert r["lines_removed"] == len(gone[i]) and r["id"] == "own id"
+
+
+def test_short_passages_between_other_lines(documents):
+    """op8: passages of two to ten lines and over 50 words, between different lines, go whole."""
+    draw = random.Random(6)
+    texts, plain = {}, {}
+    for n in range(40):
+        passage = [prose(draw, 26) for _ in range(2 + n % 9)]
+        for i in (n, 100 + n):
+            before, after = [prose(draw, 8) for _ in range(1 + n % 3)], [prose(draw, 8)]
+            texts[i], plain[i] = "\n".join(before + passage + after), "\n".join(before + after)
+    rows = {r["doc_id"]: r["text"] for r in line_chunks.dedup_runs(documents(list(texts.items()))).collect()}
+    assert rows == {i: texts[i] if i < 100 else plain[i] for i in texts}
+
+
+def test_runs_of_rows_that_share_an_id(documents):
+    docs = documents([(1, "a 1\nb 2\nc 3\nd 4"), (2, "q\nb 2\nc 3"), (2, "r\ns\nt"), (None, "a 1\nb 2")])
+    assert sorted(r["text"] for r in line_chunks.dedup_runs(docs).collect()) == [
+        "a 1\nb 2", "a 1\nb 2\nc 3\nd 4", "q", "r\ns\nt"]
+    assert line_chunks.dedup_runs(docs.limit(0)).collect() == []
