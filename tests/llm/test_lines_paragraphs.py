@@ -228,3 +228,29 @@ def test_runs_of_rows_that_share_an_id(documents):
     assert sorted(r["text"] for r in line_chunks.dedup_runs(docs).collect()) == [
         "a 1\nb 2", "a 1\nb 2\nc 3\nd 4", "q", "r\ns\nt"]
     assert line_chunks.dedup_runs(docs.limit(0)).collect() == []
+
+
+def test_short_lines_are_units(documents):
+    """op4: repeated lines below 30 words, also below a shingle, are rows and go from the text."""
+    draw = random.Random(17)
+    texts = {}
+    for n in range(1, 30):
+        line = prose(draw, n)
+        texts[n], texts[100 + n] = prose(draw, 7) + "\n" + line, line.upper() + "\n" + prose(draw, 3)
+    docs = documents(list(texts.items()))
+    rows = [r for r in paragraphs.repeated_units(docs).collect() if r["kind"] == "line"]
+    assert {(r["doc_id"], r["first_word"], r["n_words"], r["kept_doc_id"], r["kept_first_word"]) for r in rows} == {
+        (100 + n, 0, n, n, 7) for n in range(1, 30)}
+    cut = {r["doc_id"]: r["text"] for r in paragraphs.dedup_paragraphs(docs).collect()}
+    assert all(cut[100 + n].split() == texts[100 + n].split()[n:] for n in range(1, 30))
+
+
+def test_flat_shingles_equal_sets():
+    draw = np.random.default_rng(3)
+    counts = draw.integers(1, 12, 200)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    words = draw.integers(0, 4, first[-1]).astype(np.uint64)
+    held, starts = paragraphs.flat_shingles(words, first, 5)
+    want = vw.shingles(words, first, 5)
+    assert all(np.array_equal(np.unique(x), y) for x, y in zip(np.split(held, starts[1:]), want))
+    assert np.array_equal(paragraphs.flat_keys(held, starts).T, vw.set_keys(want))
