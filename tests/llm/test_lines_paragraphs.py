@@ -254,3 +254,36 @@ def test_flat_shingles_equal_sets():
     want = vw.shingles(words, first, 5)
     assert all(np.array_equal(np.unique(x), y) for x, y in zip(np.split(held, starts[1:]), want))
     assert np.array_equal(paragraphs.flat_keys(held, starts).T, vw.set_keys(want))
+
+
+def test_passages_are_returned_whole(documents):
+    """op4: every word of a planted passage, inside lines or over several, and no word around it."""
+    draw = random.Random(19)
+    texts, want = {}, {}
+    for n in range(24):
+        passage = prose(draw, (51, 60, 100, 200)[n % 4]).split()
+        for k in range(9, len(passage), 10 if n % 3 == 0 else 10 ** 6):
+            passage[k] += "\n"
+        copy = list(passage)
+        if len(copy) >= 100 and n % 2:       # one word changed, added or missing
+            copy[60:61] = [["other"], ["two", copy[60]], []][n // 4 % 3]
+        before, after = draw.randrange(1, 60), draw.choice([0, 7, 60])
+        texts[n] = " ".join([prose(draw, 3), *passage, prose(draw, after)])
+        texts[100 + n] = " ".join([prose(draw, before), *copy, prose(draw, after)])
+        want[100 + n] = (before, len(copy))
+    rows = paragraphs.repeated_units(documents(list(texts.items()))).collect()
+    found = {(r["doc_id"], r["first_word"], r["n_words"], r["kept_doc_id"], r["kept_first_word"])
+             for r in rows if r["kind"] == "passage"}
+    assert found == {(i, first, n, i - 100, 3) for i, (first, n) in want.items()}
+
+
+def test_anchors_do_not_depend_on_what_surrounds_them():
+    """Any 51 words share a window with a copy elsewhere, at the very end of a text too."""
+    draw = random.Random(23)
+    for _ in range(300):
+        passage = prose(draw, 51)
+        held = []
+        for text in (prose(draw, 40) + " " + passage, prose(draw, 9) + " " + passage + " " + prose(draw, 30)):
+            found = paragraphs.Units(pa.array([text]), 10 ** 9, 20, 32)
+            held.append({tuple(text.split()[k:k + 20]) for k in found.place})
+        assert held[0] & held[1]
