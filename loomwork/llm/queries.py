@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.llm import (
-    bpe, language, line_chunks, minhash_docs, packing, paragraphs, pseudonyms, quality, toxicity, vector_cells)
+    bpe, collocations, language, licences, line_chunks, minhash_docs, packing, paragraphs, pseudonyms, quality, toxicity, vector_cells,
+    whitening)
 from loomwork.plans.registry import Registry
 
 PSEUDONYM_KEY = "loomwork"   # a deployment passes its own secret
@@ -117,3 +118,46 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"))
+
+
+# Whole phrases counted per language; the lowest-scoring cut counts; longer phrases of half the count cover shorter ones.
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM words, (VALUES (1), (2), (3)) t(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS p1, array_to_string(w[c + 1:], ' ') AS p2
+  FROM cand, (VALUES (1), (2)) t(c) WHERE c < k),
+scores AS (SELECT cuts.*, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p1 JOIN f y ON y.lang = cuts.lang AND y.phrase = p2),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+covered AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+  FROM cand WHERE k = 3),
+outside AS (SELECT lang, phrase, max(a) AS most FROM covered GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN outside o ON o.lang = lowest.lang AND o.phrase = lowest.phrase AND k = 2
+  WHERE o.most IS NULL OR 100 * o.most < 50 * a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, folder, "embeddings"))
+
+
+@query("op13_licence_scan")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
