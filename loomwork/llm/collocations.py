@@ -38,11 +38,13 @@ from loomwork.session import materialize
 
 LONGEST, LEAST, SHARE, BEST = 3, 10, 50, 2000
 UNKNOWN = "und"
-PART_BYTES = 32_000_000          # text bytes of a hash partition: some 16 million sequences
-MERGED = 1 << 21                 # keys gathered before they enter a summary
+PART_BYTES = 16_000_000          # text bytes of a hash partition: some 8 million sequences
+MERGED = 1 << 20                 # keys gathered before they enter a summary
+SLICE_BYTES = 2_000_000          # text bytes that a task counts at once
 BITS_PER_KEY = 16
 FIELD_BITS = 1 << 29             # all marks together take 64 MB at most, then chance hits grow and the result stays
 SALT = 64
+BLOCK = 1 << 18
 
 # Where a text falls into pieces, and what stands between the words of a piece.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -203,7 +205,7 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def summaries(rows: DataFrame, parts: int, longest: int) -> DataFrame:
     """(part, keys, counts, mass) of every slice: sorted 32-bit keys, the counts above 1 behind those of count 1."""
     def count(batches):
-        for piece in vw.slices(batches):
+        for piece in vw.slices(batches, limit=SLICE_BYTES):
             found = Sequences(piece.column(0), piece.column(1), longest)
             hashes, counts = _counted(found.hash)
             part, keys = _dealt(hashes, parts)
@@ -234,11 +236,11 @@ def survivors(found: DataFrame, parts: int, least: int) -> dict[int, bytes]:
         summary, keys, counts, part = None, [], [], None
         gathered = 0
         for batch in batches:
-            for number, key, count, whole in zip(*(c.to_pylist() for c in batch.columns)):
-                if summary is None:
-                    part, summary = number, Summary(whole // least + 1)
-                many = np.frombuffer(count, dtype=np.uint32).astype(np.int64)
-                keys.append(np.frombuffer(key, dtype=np.uint32))
+            if summary is None and batch.num_rows:
+                part, summary = batch.column(0)[0].as_py(), Summary(batch.column(3)[0].as_py() // least + 1)
+            for key, count in zip(batch.column(1), batch.column(2)):      # one by one: no second copy of the batch
+                many = np.frombuffer(count.as_py(), dtype=np.uint32).astype(np.int64)
+                keys.append(np.frombuffer(key.as_py(), dtype=np.uint32))
                 counts.append(np.concatenate([np.ones(len(keys[-1]) - len(many), dtype=np.int64), many]))
                 gathered += len(keys[-1])
                 if gathered >= MERGED:
@@ -262,9 +264,10 @@ def exact_counts(rows: DataFrame, fields: dict[int, bytes], parts: int, longest:
 
     def count(batches):
         marked = Fields(*shared.value)
-        for piece in vw.slices(batches):
+        for piece in vw.slices(batches, limit=SLICE_BYTES):
             found = Sequences(piece.column(0), piece.column(1), longest)
-            chosen = np.flatnonzero(marked.hold(*_dealt(found.hash, parts)))
+            chosen = np.concatenate([a + np.flatnonzero(marked.hold(*_dealt(found.hash[a:a + BLOCK], parts)))
+                                     for a in range(0, len(found.hash), BLOCK)] or [np.zeros(0, dtype=np.int64)])
             chosen = chosen[np.argsort(found.hash[chosen], kind="stable")]
             begin = _runs(found.hash[chosen])
             begin = _told_apart(found, chosen, begin)
