@@ -38,13 +38,13 @@ from loomwork.session import materialize
 
 LONGEST, LEAST, SHARE, BEST = 3, 10, 50, 2000
 UNKNOWN = "und"
-PART_BYTES = 16_000_000          # text bytes of a hash partition: some 8 million sequences
-MERGED = 1 << 20                 # keys gathered before they enter a summary
+PART_BYTES = 8_000_000           # text bytes of a hash partition: some 4 million sequences
+MERGED = 1 << 19                 # keys gathered before they enter a summary
 SLICE_BYTES = 2_000_000          # text bytes that a task counts at once
 BITS_PER_KEY = 16
 FIELD_BITS = 1 << 29             # all marks together take 64 MB at most, then chance hits grow and the result stays
 SALT = 64
-BLOCK = 1 << 18
+BLOCK, ROWS = 1 << 18, 1 << 15   # sequences looked up, and phrases written out, at once
 
 # Where a text falls into pieces, and what stands between the words of a piece.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -202,10 +202,10 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
                        F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"))
 
 
-def summaries(rows: DataFrame, parts: int, longest: int) -> DataFrame:
+def summaries(rows: DataFrame, parts: int, longest: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(part, keys, counts, mass) of every slice: sorted 32-bit keys, the counts above 1 behind those of count 1."""
     def count(batches):
-        for piece in vw.slices(batches, limit=SLICE_BYTES):
+        for piece in vw.slices(batches, limit=slice_bytes):
             found = Sequences(piece.column(0), piece.column(1), longest)
             hashes, counts = _counted(found.hash)
             part, keys = _dealt(hashes, parts)
@@ -258,13 +258,14 @@ def survivors(found: DataFrame, parts: int, least: int) -> dict[int, bytes]:
     return {r["part"]: bytes(r["field"]) for r in fields.collect()}
 
 
-def exact_counts(rows: DataFrame, fields: dict[int, bytes], parts: int, longest: int, least: int) -> DataFrame:
+def exact_counts(rows: DataFrame, fields: dict[int, bytes], parts: int, longest: int, least: int,
+                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(lang, phrase, f) of every sequence with f >= least; the empty phrase counts the words of the language."""
     shared = rows.sparkSession.sparkContext.broadcast((fields, parts))
 
     def count(batches):
         marked = Fields(*shared.value)
-        for piece in vw.slices(batches, limit=SLICE_BYTES):
+        for piece in vw.slices(batches, limit=slice_bytes):
             found = Sequences(piece.column(0), piece.column(1), longest)
             chosen = np.concatenate([a + np.flatnonzero(marked.hold(*_dealt(found.hash[a:a + BLOCK], parts)))
                                      for a in range(0, len(found.hash), BLOCK)] or [np.zeros(0, dtype=np.int64)])
@@ -273,13 +274,16 @@ def exact_counts(rows: DataFrame, fields: dict[int, bytes], parts: int, longest:
             begin = _told_apart(found, chosen, begin)
             counts = np.diff(np.append(begin, len(chosen)))
             first = chosen[begin]
-            names = found.lang[found.at[first]]
-            words = np.bincount(found.lang, minlength=len(found.langs)) if len(found.lang) else []
-            langs = [found.langs[i] for i, n in enumerate(words) if n]
+            names = pa.array(found.langs, pa.string())
+            for a in range(0, len(first), ROWS):
+                some = first[a:a + ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(found.lang[found.at[some]])), found.phrases(some),
+                     pa.array(counts[a:a + ROWS].astype(np.int64))], ["lang", "phrase", "f"])
+            held = np.bincount(found.lang, minlength=len(found.langs)).astype(np.int64)
+            here = pa.array(np.flatnonzero(held))
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(found.langs, pa.string()).take(pa.array(names)), pa.array(langs, pa.string())]),
-                 pa.concat_arrays([found.phrases(first), pa.array([""] * len(langs), pa.string())]),
-                 pa.array(np.concatenate([counts, [n for n in words if n]]).astype(np.int64))],
+                [names.take(here), pa.array([""] * len(here), pa.string()), pa.array(held[held > 0])],
                 ["lang", "phrase", "f"])
 
     counted = rows.mapInArrow(count, "lang string, phrase string, f long")
@@ -342,15 +346,22 @@ def scored(counts: DataFrame, longest: int, least: int, share: int) -> DataFrame
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST,
-                 share: int = SHARE, best: int = BEST) -> DataFrame:
-    """The ``best`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
+                 share: int = SHARE, best: int = BEST, part_bytes: int | None = None,
+                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The ``best`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
+
+    The first pass writes a row per slice and hash partition.  Executors with more
+    memory take larger slices and partitions (``slice_bytes``, ``part_bytes``: some 12 bytes of
+    memory per byte of slice, 4 per byte of partition), which keeps those rows few on
+    corpora of many terabytes.
+    """
     rows = _texts(docs, text, lang)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, math.ceil(size / PART_BYTES), min(cores, size // 1_000_000))
-    found = materialize(summaries(rows, parts, longest), "summaries")
+    parts = max(1, math.ceil(size / (part_bytes or PART_BYTES)), min(cores, size // 1_000_000))
+    found = materialize(summaries(rows, parts, longest, slice_bytes), "summaries")
     fields = survivors(found, parts, least)
-    counts = materialize(exact_counts(rows, fields, parts, longest, least), "phrases")
+    counts = materialize(exact_counts(rows, fields, parts, longest, least, slice_bytes), "phrases")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALT))).orderBy(*order)
     top = (scored(counts, longest, least, share)
