@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions import text as tx
@@ -16,7 +16,7 @@ from loomwork.session import materialize
 
 PAD, UNK, SEP, MASK = 0, 1, 2, 3
 RESERVED = 4
-HEAD = 50_000        # most frequent words that every task holds; rarer ones are joined
+HEAD = 1 << 20       # most frequent words that every task holds, some 15 MB; rarer ones are joined
 IGNORED = -100       # fixed value: label a loss leaves out
 SEPARATOR = "[sep]"
 TEXTS_PER_BLOCK = 1_000  # texts whose sentences are ranked in one task
@@ -38,22 +38,49 @@ def _lists(flat: pa.Array, counts_: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
-def _look_up(head: list[str]):
-    """ARRAY<STRING> to (ids, rare): -1 stands for a word outside ``head``, which goes to ``rare`` in order."""
-    # Place 0 is the separator, place i the i-th word of the head.
-    known = pa.array([SEPARATOR, *head], pa.string())
-    numbers = pa.array([SEP, *range(RESERVED, RESERVED + len(head))], pa.int32())
+def _shared_words(spark: SparkSession, words: DataFrame):
+    """The words of a bounded frame as a broadcast that every task reads in place: a column in Arrow's format."""
+    table = words.toArrow().combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
 
+
+def _places(shared, flat: pa.Array) -> pa.Array:
+    """The place of each word: 0 for the separator, i for the i-th shared word, null for any other."""
+    words = pa.ipc.open_stream(shared.value).read_all().column(0).combine_chunks().cast(pa.string())
+    known = pa.concat_arrays([pa.array([SEPARATOR], pa.string()), words])
+    return pc.index_in(flat, value_set=known)
+
+
+def _ids(place: pa.Array, unknown: int) -> np.ndarray:
+    """Place 0 is the separator, place i the i-th word after the reserved ids."""
+    numbers = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype("int32")
+    return np.where(numbers > 0, numbers + np.int32(RESERVED - 1), np.where(numbers == 0, SEP, unknown)).astype("int32")
+
+
+def _look_up_all(shared):
+    """ARRAY<STRING> to ids, UNK for a word that is not shared."""
+    @F.arrow_udf("array<int>")
+    def look_up(batch: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        return _lists(pa.array(_ids(_places(shared, batch.flatten()), UNK), pa.int32()), sizes)
+    return look_up
+
+
+def _look_up(shared):
+    """ARRAY<STRING> to (ids, rare): -1 stands for a word that is not shared, which goes to ``rare`` in order."""
     @F.arrow_udf("struct<ids:array<int>,rare:array<string>>")
     def look_up(batch: pa.Array) -> pa.Array:
         flat = batch.flatten()
-        place = pc.index_in(flat, value_set=known)
+        place = _places(shared, flat)
         missing = pc.is_null(place)
         sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
         gone = np.concatenate([[0], np.cumsum(missing.to_numpy(zero_copy_only=False))])
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
         return pa.StructArray.from_arrays(
-            [_lists(pc.fill_null(numbers.take(place), -1), sizes),
+            [_lists(pa.array(_ids(place, -1), pa.int32()), sizes),
              _lists(flat.filter(missing), gone[ends[1:]] - gone[ends[:-1]])], ["ids", "rare"])
     return look_up
 
@@ -73,15 +100,19 @@ def encode(df: DataFrame, keys: list[str], words: Column, vocab: DataFrame, max_
            name: str = "ids", head: int | None = None) -> DataFrame:
     """Add ``name``, the ids of a word array (at most ``max_length``); a word outside the vocabulary is UNK.
 
-    The most frequent words go to every task, where Arrow looks up whole batches.  The
-    rest are joined by word: none of them is frequent enough to be a hot key.  ``keys``
-    identify a row.
+    The ``head`` most frequent words go to every task, where Arrow looks up whole
+    batches.  A vocabulary that has no more is looked up in one pass, without a shuffle.
+    The rest of a larger one is joined by word: none of them is frequent enough to be
+    a hot key.  ``keys`` identify a row.
     """
-    first = RESERVED + (HEAD if head is None else head)
-    known = [r["word"] for r in vocab.where(F.col("token_id") < first).orderBy("token_id").collect()]
+    limit = HEAD if head is None else head
+    first = RESERVED + limit
+    shared = _shared_words(df.sparkSession, vocab.where(F.col("token_id") < first).orderBy("token_id").select("word"))
     cut = words if max_length is None else F.slice(words, 1, max_length)
     columns = [c for c in df.columns if c != name]
-    marked = materialize(df.withColumn("_found", _look_up(known)(cut)).select(
+    if vocab.where(F.col("token_id") >= first).isEmpty():
+        return df.select(*columns, _look_up_all(shared)(cut).alias(name))
+    marked = materialize(df.withColumn("_found", _look_up(shared)(cut)).select(
         *columns, F.col("_found.ids").alias("_ids"), F.col("_found.rare").alias("_rare")), "marked")
     spelled = marked.where(F.size("_rare") > 0).select(*keys, F.posexplode("_rare").alias("_pos", "word"))
     tail = vocab.where(F.col("token_id") >= first)
