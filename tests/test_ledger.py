@@ -3,6 +3,7 @@
 import random
 from decimal import Decimal as D
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,55 @@ def test_restore_or_init(spark):
     got = {r["k"]: (r["balance"], r["status"]) for r in
            ledger.restore_or_init(keys, saved, "k", F.col("opening"), 20).collect()}
     assert got == {"old": (60, "restored"), "new": (100, "opened"), "poor": (None, "rejected")}
+
+
+def headroom(ops, h):
+    for takes, cents in ops:
+        if cents >= 0 and (not takes or h >= cents):
+            h += -cents if takes else cents
+    return h
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_segment_map(seed):
+    """The map of a segment gives what folding from every entry gives, within its bounds."""
+    draw = random.Random(seed)
+    ops = [(draw.random() < 0.6, draw.randint(-5, 90)) for _ in range(400)]
+    takes, cents = np.array([t for t, _ in ops]), np.array([c for _, c in ops])
+    for run, (lo, hi) in ((256, (0, 500)), (3, (17, 300)), (64, (5, 5)), (1000, (0, 10 ** 12))):
+        starts, values = ledger.segment_map(takes, cents, lo, hi, run)
+        assert starts[0] == lo and (np.diff(starts) > 0).all()
+        for h in {lo, hi, *range(lo, min(hi, 600) + 1), *(int(s) - 1 for s in starts[1:]), *map(int, starts)}:
+            piece = np.searchsorted(starts, h, side="right") - 1
+            assert values[piece] + h - starts[piece] == headroom(ops, h)
+
+
+def job_count(spark, work):
+    spark.sparkContext.setJobGroup("ledger-jobs", "")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("ledger-jobs"))
+    work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("ledger-jobs")) - before
+
+
+def test_jobs_do_not_follow_the_data(spark):
+    """An account that always scrapes its minimum takes as many jobs as a rich one, whatever its segments."""
+    draw = random.Random(8)
+    poor = [("hot", i, i, draw.choice(["deposit", "withdraw", "withdraw"]), D(draw.randint(1, 3000)) / 100)
+            for i in range(600)]
+    rich = [("hot", i, i, "deposit", D(1)) for i in range(600)]
+    accounts = [("hot", D(100), D(20))]
+    counts = []
+    for ops, per_segment in ((rich, 200), (poor, 200), (poor, 5)):
+        o, a = spark.createDataFrame(ops, OPS).repartition(3), spark.createDataFrame(accounts, ACCOUNTS)
+        counts.append(job_count(spark, lambda: ledger.account_ledger(o, a, per_segment).collect()))
+        assert run(spark, ops, accounts, per_segment) == plain(ops, accounts)
+    assert max(counts) - min(counts) <= 4 and max(counts) < 60
+
+
+def test_known_entries_need_no_map(spark, monkeypatch):
+    """With money enough both bounds meet, so no segment is mapped."""
+    monkeypatch.setattr(ledger, "segment_map", None)
+    ops = [("hot", i, i, "withdraw" if i % 3 else "deposit", D(1)) for i in range(300)]
+    accounts = [("hot", D(9999), D(20))]
+    assert run(spark, ops, accounts, 10) == plain(ops, accounts)
