@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomwork.operators import scan
 
 TILE = 128  # rows and columns of a block
+RADIX_BITS = 16
 
 
 def _tiled(entries: DataFrame, row: str, column: str, tile: int, names: tuple[str, str, str]) -> DataFrame:
@@ -94,7 +95,7 @@ def magnitude_prune(entries: DataFrame, key: str, share: float = 0.2,
     wanted = round(share * rows)
     if wanted == 0:
         return entries.withColumn("pruned", F.lit(False))
-    threshold, below = _kth_smallest(entries.select(magnitude.alias("m")), wanted, rows)
+    threshold, below = _kth_smallest(entries.select(magnitude.cast("double").alias("m")), wanted)
     # Compared as the type orders them: NaN is the largest magnitude, null the least.
     same = magnitude.eqNullSafe(F.lit(threshold))
     ties, _ = scan.dense_index(entries.where(same).select(key, "pos"), [key, "pos"], rows_per_block=rows_per_block)
@@ -111,28 +112,48 @@ def _before(column: Column, bound: float | None) -> Column:
     return column.isNull() | (column < F.lit(bound))
 
 
-def _kth_smallest(values: DataFrame, k: int, rows: int) -> tuple[float | None, int]:
-    """The k-th smallest of column m (k from 1, nulls first), and how many values are below it.
+def _digit_counts(values: DataFrame, prefix: int, shift: int) -> dict[int, int]:
+    """How many magnitudes with the bits of ``prefix`` above have each value of the 16 bits from ``shift`` on.
 
-    Three passes whatever the values: quantiles bracket the rank, one count gives
-    the number below the bracket, and only what lies inside it is sorted.
+    A null counts as digit -1 of the first pass.  A task gives a row per digit it has.
     """
-    nulls = values.where("m is null").count()
-    if k <= nulls:
-        return None, 0
-    accuracy, rank = 10_000, k - nulls
-    known = max(1, rows - nulls)
-    shares = [min(1.0, max(0.0, (rank / known) + d / accuracy)) for d in (-2, 2)]
-    low, high = values.agg(F.percentile_approx("m", shares, accuracy)).first()[0]
-    low, high = (None if rank <= known * 2 / accuracy else low), (None if shares[1] >= 1.0 else high)
-    inside = values.where("m is not null")
-    below = 0
-    if low is not None:
-        below = inside.where(F.col("m") < F.lit(low)).count()
-        inside = inside.where(F.col("m") >= F.lit(low))
-    inside = inside.where(F.col("m") <= F.lit(high)) if high is not None else inside
-    indexed, found = scan.dense_index(inside, ["m"])
-    if not below < rank <= below + found:      # the quantiles missed: sort everything
-        indexed, below = scan.dense_index(values.where("m is not null"), ["m"])[0], 0
-    threshold = scan.rows_at(indexed, [rank - below - 1])[rank - below - 1]["m"]
-    return threshold, nulls + values.where("m is not null").where(F.col("m") < F.lit(threshold)).count()
+    digits = 1 << RADIX_BITS
+
+    def count(batches):
+        found, nulls = np.zeros(digits, dtype=np.int64), 0
+        for batch in batches:
+            column = batch.column(0)
+            nulls += column.null_count
+            m = column.drop_null().to_numpy(zero_copy_only=False)
+            bits = np.where(np.isnan(m), np.nan, np.abs(m)).view(np.int64)   # ordered as the magnitudes are, NaN last
+            inside = bits[(bits >> (shift + RADIX_BITS)) == prefix] if shift < 64 - RADIX_BITS else bits
+            found += np.bincount((inside >> shift) & (digits - 1), minlength=digits)
+        held = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(held, -1), pa.int64()), pa.array(np.append(found[held], nulls), pa.int64())], ["d", "n"])
+
+    rows = values.mapInArrow(count, "d long, n long").groupBy("d").agg(F.sum("n").alias("n")).collect()
+    return {r["d"]: r["n"] for r in rows}
+
+
+def _kth_smallest(values: DataFrame, k: int) -> tuple[float | None, int]:
+    """The k-th smallest magnitude of column m (k from 1, nulls first), and how many values are below it.
+
+    Radix selection: histograms of the double's bits, 16 at a time from the top, say in
+    four passes which digits the value has.  Nothing is sorted or shuffled but the
+    histograms, so it does not matter how many magnitudes are equal.
+    """
+    prefix, below = 0, 0
+    for shift in range(64 - RADIX_BITS, -1, -RADIX_BITS):
+        counts = _digit_counts(values, prefix, shift)
+        nulls = counts.pop(-1, 0)
+        if shift == 64 - RADIX_BITS:
+            if k <= nulls:
+                return None, 0
+            below = nulls
+        for digit in sorted(counts):
+            if below + counts[digit] >= k:
+                prefix = prefix << RADIX_BITS | digit
+                break
+            below += counts[digit]
+    return float(np.int64(prefix).view(np.float64)), below

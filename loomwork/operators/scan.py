@@ -43,7 +43,7 @@ def cut(df: DataFrame, order: Order, blocks: int, name: str) -> DataFrame:
     block (``_blk``, from 0) and the place in it (``_row``, from 0) of each row."""
     columns = _columns(order)
     number = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(blocks, *columns) if blocks > 1 else df.coalesce(1)
+    ranged = df.repartitionByRange(blocks, *columns) if blocks > 1 else df.repartition(1)
     placed = ranged.sortWithinPartitions(*columns).withColumn(_ROW, number)
     return (materialize(placed, name)
             .withColumn(_BLK, F.shiftright(_ROW, 33).cast("int"))

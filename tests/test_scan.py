@@ -136,3 +136,25 @@ def test_empty_input(skewed):
     none = skewed.where("id < 0")
     out, rows = scan.dense_index(none, ["id"])
     assert rows == 0 and out.count() == 0
+
+
+@pytest.mark.parametrize("values", [
+    [0.0] * 50 + [-0.0] * 10 + [1.0, -2.0, 5e-324], [None, None, 3.0, float("nan"), float("-inf"), 1e308, -1e-300, 0.1],
+    [float(i % 7 - 3) for i in range(80)], [None] * 4, [float("nan")] * 3 + [1.0]])
+def test_radix_selection(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "m double").repartition(3)
+    rank = [(0, 0) if v is None else (2, 0) if math.isnan(v) else (1, abs(v)) for v in values]
+    ordered = sorted(rank)
+    for k in range(1, len(values) + 1, max(1, len(values) // 9)):
+        found, below = matrices._kth_smallest(df, k)
+        got = (0, 0) if found is None else (2, 0) if math.isnan(found) else (1, found)
+        assert got == ordered[k - 1] and below == sum(r < got for r in rank)
+
+
+def test_pruning_equal_magnitudes(spark):
+    """Of many equal magnitudes the first by key and place go, and no sort gathers them."""
+    rows = [(f"k{i % 3}", i, 0.0 if i % 10 else 1.0 + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "key string, pos int, value double").repartition(4)
+    out = matrices.magnitude_prune(df, "key", 0.5, rows_per_block=30).collect()
+    zeros = sorted((k, p) for k, p, v in rows if v == 0)
+    assert {(r["key"], r["pos"]) for r in out if r["pruned"]} == set(zeros[:200])
