@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 _written: list[str] = []  # intermediate tables of this process
+_scopes: dict[int, list[str]] = {}  # by thread: those of its innermost ``only_kept``
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -63,11 +67,43 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     _written.append(path)
+    if threading.get_ident() in _scopes:
+        _scopes[threading.get_ident()].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def only_kept(spark: SparkSession, *keep: str) -> Iterator[None]:
+    """Tables that are materialized inside go at its end, but those named in ``keep``.
+
+    What is read afterwards must come from those alone.
+    """
+    thread = threading.get_ident()
+    outer, own = _scopes.get(thread), []
+    _scopes[thread] = own
+    try:
+        yield
+    finally:
+        if outer is None:
+            del _scopes[thread]
+        else:
+            _scopes[thread] = outer
+    kept = [path for path in own if path.rsplit("/", 1)[1].rsplit("-", 1)[0] in keep]
+    gone = [path for path in own if path not in kept]
+    _remove(spark, gone)
+    for path in gone:
+        _written.remove(path)
+    if outer is not None:
+        outer.extend(kept)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables written so far; results that still read them end."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, _written)
+    _written.clear()

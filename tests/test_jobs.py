@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.hashing import draw_int
 from loomwork.operators import inference, ledger, links, series, splits, training
-from loomwork.session import materialize, new_folder, release
+from loomwork.session import materialize, new_folder, only_kept, release
 from loomwork.sources import sinks, tables
 from loomwork.streaming import jobs
 
@@ -216,3 +216,14 @@ def test_release_removes_intermediate_tables(spark):
     assert os.path.isdir(path) and kept.count() == 5
     release(spark)
     assert not os.path.exists(path)
+
+
+def test_only_kept_tables_stay(spark):
+    def folder(df):
+        return df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+    with only_kept(spark, "result"):
+        step = folder(materialize(spark.range(5), "step"))
+        result = materialize(spark.range(6), "result")
+    assert not os.path.exists(step) and result.count() == 6
+    release(spark)
+    assert not os.path.exists(folder(result))
