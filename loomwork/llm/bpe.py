@@ -154,13 +154,13 @@ class Encoder:
 def encode_decode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text",
                   content: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256); with ``content`` also ids (array) and decoded (string)."""
-    shared = docs.sparkSession.sparkContext.broadcast(pc_text.read_vocabulary(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(pc_text.read_vocabulary(vocabulary)))
     fields = {key: "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
     if content:
         fields |= {"ids": "array<bigint>", "decoded": "string"}
 
     def work(batches):
-        encoder = Encoder(shared.value)
+        encoder = Encoder(pc_text.Vocabulary(*shared.value))
         for batch in vw.slices(batches):
             found = encoder.encode(pc.fill_null(batch.column(1), "").to_pylist())
             columns = [batch.column(0), pa.array([len(i) // 4 for i, _ in found], pa.int64()),

@@ -216,10 +216,10 @@ def _calibrate(model: Model, sample: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score, ambiguous) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def work(batches):
-        model = shared.value
+        model = Model(*shared.value)
         for batch in vw.slices(batches):
             column = batch.column(1)
             data, offsets = vw.column_bytes(column)

@@ -156,11 +156,11 @@ COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
 def pack(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
          end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    shared = docs.sparkSession.sparkContext.broadcast(pc_text.read_vocabulary(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(pc_text.read_vocabulary(vocabulary)))
     names = [key, *COLUMNS]
 
     def work(batches):
-        encoder = ByteEncoder(shared.value)
+        encoder = ByteEncoder(pc_text.Vocabulary(*shared.value))
         packer = _Packer(TaskContext.get().partitionId() << 36, capacity, window)
         end = np.array([end_id], dtype="<u4")
 

@@ -1,7 +1,7 @@
 """Byte-pair vocabularies of the tokenizers file format, and how their texts fall into pieces.
 
-A vocabulary file is read on the driver and travels as a broadcast, so executors
-need no file.  Special tokens are found in the raw text first, as the tokenizers
+A vocabulary file is read on the driver and travels as a broadcast of plain values, so executors
+need neither the file nor this package.  Special tokens are found in the raw text first, as the tokenizers
 library does; the stretches between them are normalised and cut by the pattern.
 """
 

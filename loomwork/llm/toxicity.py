@@ -156,7 +156,7 @@ def _shard_step(shared):
         rows = rows.sort_values("k1")
         texts = np.repeat(np.arange(len(rows)), [len(f) for f in rows["features"]])
         features = np.concatenate([np.asarray(f, dtype=np.int64) for f in rows["features"]])
-        new = _improve(shared.value, rows["label"].to_numpy(), texts, features, STEPS)
+        new = _improve(Machine(*shared.value), rows["label"].to_numpy(), texts, features, STEPS)
         return pd.DataFrame({"n": [len(rows)], "bias": [new.bias], "linear": [new.linear.tolist()],
                              "factors": [new.factors.ravel().tolist()]})
     return improve
@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
     machine = Machine(terms, values, np.zeros(len(terms)), draw.normal(0, 0.02, (len(terms), FACTORS)),
                       float(np.log(base / (1 - base))))
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(machine)
+        shared = spark.sparkContext.broadcast(tuple(machine))
 
         # a row per shard, each the size of the machine
         parts = located.groupBy("shard").applyInPandas(
@@ -213,10 +213,10 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
 def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text",
           threshold: float = THRESHOLD) -> DataFrame:
     """(key, score, predicted) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(machine))
 
     def work(batches):
-        machine = shared.value
+        machine = Machine(*shared.value)
         for batch in vw.slices(batches):
             hashes, first = _terms(batch.column(1))
             texts, features = _features(hashes, first, machine.terms)
@@ -232,10 +232,10 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
 
 def acceptable(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, whose text scores below the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(machine))
 
     def work(batches):
-        machine = shared.value
+        machine = Machine(*shared.value)
         for batch in vw.slices(batches, text):
             hashes, first = _terms(batch.column(batch.schema.get_field_index(text)))
             texts, features = _features(hashes, first, machine.terms)

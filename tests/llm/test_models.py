@@ -1,5 +1,8 @@
 """Operators 3 and 5: language and toxicity on held-out texts."""
 
+import os
+import subprocess
+import sys
 import random
 
 import numpy as np
@@ -107,3 +110,21 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean(clean) < 0.02
     score = [np.mean([r["score"] for r in rows if labels[r["doc_id"]] == y]) for y in (0, 1)]
     assert score[1] > score[0] + 0.3
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A driver elsewhere: what the tasks get must not name classes of a package they cannot import."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as entry\n"
+        "from loomwork.session import build_session\n"
+        "spark = build_session('local[2]', 2)\n"
+        "for key in ('op3_language_codes', 'op5_toxicity_pairs', 'op7_pair_index_bpe', 'op9_cost_packing',\n"
+        "            'op10_quality_rules', 'op13_licence_scan'):\n"
+        "    assert entry.queries()[key](spark, '/root/testdata/sf0.001').count() > 0\n"
+        "print('done')\n")
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=600, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert ran.stdout.strip().endswith("done"), ran.stderr[-2000:]
