@@ -98,6 +98,52 @@ def test_pseudonyms_are_permutations(documents):
         assert len(set(new)) == len(values)
 
 
+@pytest.mark.parametrize("layouts", [
+    ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"],
+    ["378282246310005", "3782 822463 10005", "3782-822463-10005"],
+    ["+1 555-123-4567", "+15551234567", "+1 (555) 123-4567", "+1.555.123.4567"],
+    ["+49 30 1234567", "+49301234567", "+49-30-123-4567"],
+    ["5551234567", "555-123-4567", "555.123.4567", "(555) 123-4567"],
+    ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"],
+])
+def test_layouts_of_a_value_share_a_pseudonym(documents, layouts):
+    new, n = replaced(documents, layouts)
+    assert n == [1] * len(layouts) and len({re.sub(r"[^0-9A-Z]", "", v) for v in new}) == 1
+    assert all(re.sub("[0-9]", "9", a) == re.sub("[0-9]", "9", b) or "WEST" in a for a, b in zip(layouts, new))
+    assert new != layouts and not set(new) & set(layouts)
+
+
+def test_dates_of_a_day_share_a_pseudonym(documents):
+    layouts = {"1999-12-31": "%Y-%m-%d", "1999/12/31": "%Y/%m/%d", "1999.12.31": "%Y.%m.%d", "31.12.1999": "%d.%m.%Y",
+               "12/31/1999": "%m/%d/%Y", "31/12/1999": "%d/%m/%Y"}
+    new, n = replaced(documents, list(layouts))
+    days = {datetime.datetime.strptime(v, f) for v, f in zip(new, layouts.values())}
+    assert len(days) == 1 and days != {datetime.datetime(1999, 12, 31)} and n == [1] * len(layouts)
+    wrong = ["30.02.1999", "02/30/1999", "1999/02/30"]
+    assert replaced(documents, wrong) == (wrong, [0, 0, 0])
+
+
+def test_accounts_socials_and_mailboxes(documents):
+    texts = ["to DE89 3704 0044 0532 0130 00.", "to DE88 3704 0044 0532 0130 00.", f"AB12 {CARD}", "078-05-1120",
+             "000-12-3456 123-00-4567 123-45-0000", "иван@почта.рф", "иван.петров7@example.com", "李雷@例子.公司"]
+    new, n = replaced(documents, texts)
+    assert n == [1, 0, 1, 1, 0, 1, 1, 1]
+    account = re.fullmatch(r"to (DE\d\d(?: \d{4}){4} \d\d)\.", new[0])[1].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1 and new[0] != texts[0]
+    assert new[1] == texts[1] and new[4] == texts[4]
+    assert brute.luhn(re.fullmatch(r"AB12 (\d{16})", new[2])[1]) and new[2] != texts[2]
+    assert re.fullmatch(r"\d{3}-\d\d-\d{4}", new[3]) and not re.search("^000|-00-|0000$", new[3]) and new[3] != texts[3]
+    assert re.fullmatch("[а-я]{4}@почта[.]рф", new[5]) and new[5] != texts[5]
+    assert re.fullmatch(r"[а-я]{4}\.[а-я]{6}\d@example\.com", new[6]) and new[6] != texts[6]
+    assert re.fullmatch("[\u4e00-\u9fa5]{2}@例子[.]公司", new[7]) and new[7] != texts[7]
+
+
+def test_social_numbers_are_permuted(documents):
+    values = [f"{a:03d}-{b:02d}-{c:04d}" for a in (1, 500, 999) for b in (1, 50, 99) for c in range(1, 9999, 97)]
+    new, _ = replaced(documents, values)
+    assert len(set(new)) == len(values) and not [v for v in new if re.search("^000|-00-|0000$", v)]
+
+
 def test_pseudonyms_long_text_and_columns(documents, clashing):
     long_ = ("word " * 50_000) + CARD + (" word" * 50_000)
     docs = clashing(documents([long_]))
