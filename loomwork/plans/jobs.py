@@ -87,7 +87,7 @@ def two_stage_inference(spark, d):
 def train_text_classifier(spark, d):
     labelled = t.load(spark, d, "documents").join(t.load(spark, d, "labels"), "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"))
-    return training.train_text_classifier(labelled, "doc_id", 5, [2, 5, 10])
+    return training.train_text_classifier(labelled, "doc_id", 5, epochs=3)
 
 
 @query("train_vector_classifier")
@@ -97,7 +97,7 @@ def train_vector_classifier(spark, d):
 
 @query("parameter_averaging_rounds")
 def parameter_averaging_rounds(spark, d):
-    return training.parameter_averaging_rounds(t.vectors(spark, d), "vec_id", CLASSES, DIM, 4, 5)
+    return training.parameter_averaging_rounds(t.vectors(spark, d), "vec_id", CLASSES, DIM, 4, 10, every=5)
 
 
 def _events(spark, d):

@@ -33,6 +33,14 @@ def save_snapshot(state: DataFrame, path: str, version: int) -> None:
     state.write.mode("overwrite").parquet(f"{path}/version={int(version)}")
 
 
+def drop_versions(spark: SparkSession, path: str, last: int) -> None:
+    """Remove the versions up to ``last``; whoever reads them must be done."""
+    for version in versions(spark, path):
+        if version <= last:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _since(spark: SparkSession, path: str) -> DataFrame:
     """The last full state and the versions after it."""
     full = versions(spark, path, "full")[-1:]

@@ -44,7 +44,8 @@ def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00",
     the size of a trigger matters.  When all that is available is logged, the
     operations up to the greatest ts less ``delay`` are folded and ``out`` gets the
     changed states; younger ones wait for the next call.  An operation that arrives
-    after its time was folded goes to ``late_operations``.
+    after its time was folded goes to ``late_operations``.  A call reads the new
+    operations and the waiting ones only, and removes what it has folded from the log.
     """
     run_available(ops.writeStream.outputMode("append").foreachBatch(
         lambda batch, n: sinks.save_snapshot(batch, f"{out}/ops", n)), checkpoint)
@@ -53,21 +54,24 @@ def account_stream(ops: DataFrame, out: str, checkpoint: str, opening="100.00",
 
 def settle_accounts(spark: SparkSession, out: str, opening, minimal, delay: int) -> None:
     """Fold the logged operations that are due; called again without new ones it changes nothing."""
-    if not sinks.versions(spark, f"{out}/ops"):
-        return
-    logged = spark.read.option("basePath", f"{out}/ops").parquet(f"{out}/ops/version=*")
     mark, seen = -(1 << 62), -1
     if sinks.versions(spark, f"{out}/marks"):
         mark, seen = sinks.latest_records(spark, f"{out}/marks", "name").select("mark", "seen").first()
+    new = [v for v in sinks.versions(spark, f"{out}/ops") if v > seen]
+    if not new:
+        return
+    last = new[-1]
+    logged = spark.read.parquet(*[f"{out}/ops/version={v}" for v in new])
     # an operation without a time comes first: due at once, late ever after
     at = F.coalesce("ts", F.lit(1 - (1 << 62)))
-    newest, last = logged.agg(F.max(at), F.max("version")).first()
-    if last == seen:
-        return
-    due = newest - delay
-    late = logged.where((F.col("version") > seen) & (at <= mark)).drop("version")
-    sinks.save_snapshot(late, f"{out}/late", last)
-    ripe = materialize(logged.where((at > mark) & (at <= due)).drop("version"), "ripe")
+    sinks.save_snapshot(logged.where(at <= mark), f"{out}/late", last)
+    in_time = logged.where(at > mark)
+    if seen >= 0:
+        in_time = in_time.unionByName(spark.read.schema(logged.schema).parquet(f"{out}/waiting/version={seen}"))
+    newest = in_time.agg(F.max(at)).first()[0]
+    due = mark if newest is None else max(mark, newest - delay)
+    sinks.save_snapshot(in_time.where(at > due), f"{out}/waiting", last)
+    ripe = materialize(in_time.where(at <= due), "ripe")
     before = ripe.select("account").distinct()
     if sinks.versions(spark, f"{out}/states"):
         before = sinks.restore_snapshot(spark, f"{out}/states", before, "account")
@@ -83,6 +87,8 @@ def settle_accounts(spark: SparkSession, out: str, opening, minimal, delay: int)
     sinks.compact(spark, f"{out}/states", "account")
     sinks.save_snapshot(spark.createDataFrame([("accounts", due, last)], "name string, mark long, seen long"),
                         f"{out}/marks", last)
+    sinks.drop_versions(spark, f"{out}/ops", last)
+    sinks.drop_versions(spark, f"{out}/waiting", last - 1)
 
 
 def account_states(spark: SparkSession, out: str) -> DataFrame:

@@ -5,6 +5,7 @@ import subprocess
 import sys
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,10 +175,73 @@ def test_training_learns(spark):
     assert all(r["accuracy"] == 100 and r["macro_auc"] == 1 for r in result)
     texts = spark.range(200).select("id", F.when(F.col("id") % 2 == 0, "good day sun").otherwise("bad night rain")
                                     .alias("text"), (F.col("id") % 2).cast("double").alias("label"))
-    epochs = training.train_text_classifier(texts, "id", 1, [1, 5], 1 << 8).collect()
+    epochs = training.train_text_classifier(texts, "id", 1, 2, features=1 << 8).collect()
     assert epochs[-1]["accuracy"] == 100 and sum(r["is_best"] for r in epochs) == 1
 
 
+def test_epochs_go_on_from_the_last_weights(spark):
+    """Two epochs of three steps are one of six; the saved weights are the best epoch's."""
+    texts = spark.range(300).select(
+        "id", F.concat_ws(" ", F.when(F.col("id") % 3 == 0, "sun").otherwise("rain"), F.lit("the"),
+                          (F.col("id") % 7).cast("string")).alias("text"),
+        ((F.col("id") % 3 == 0) != (F.col("id") % 10 == 0)).cast("double").alias("label"))
+    texts = texts.unionByName(spark.createDataFrame([(900, None, 1.0), (901, "", 0.0), (902, "sun", None)],
+                                                    "id long, text string, label double"))
+    paths = [new_folder(spark, "weights") for _ in range(2)]
+    two = training.train_text_classifier(texts, "id", 1, 2, 3, 1 << 6, save=paths[0]).collect()
+    one, = training.train_text_classifier(texts, "id", 1, 1, 6, 1 << 6, save=paths[1]).collect()
+    assert [r["epoch"] for r in two] == [1, 2] and two[1]["accuracy"] == one["accuracy"]
+    best = [r["epoch"] for r in two if r["is_best"]]
+    first, last = (training.load_text_classifier(spark, p) for p in paths)
+    assert first[0] == pytest.approx(last[0])
+    assert np.allclose(first[1], last[1]) == (best == [2])
+
+
+@pytest.mark.parametrize("every", [1, 2, 5])
+def test_averaging_every_few_rounds(spark, every):
+    """The same steps in numpy: shards in key order, mean taken over every so many rounds and at the end."""
+    draw = np.random.default_rng(every)
+    x, y = draw.normal(size=(103, 3)), draw.integers(0, 2, 103)
+    x[:, 0] += 2 * y
+    rows = [(i, x[i].tolist(), int(y[i])) for i in range(103)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
+    got = training.parameter_averaging_rounds(df, "id", 2, 3, 4, 5, size=8, every=every).collect()
+
+    def step(w, a, b):
+        a, z = np.hstack([a, np.ones((len(a), 1))]), np.zeros((len(a), 2))
+        z = np.exp(a @ w.T)
+        return w - 0.5 * (z / z.sum(axis=1, keepdims=True) - np.eye(2)[b]).T @ a / len(a)
+    cuts = [(0, 25), (25, 50), (50, 75), (75, 103)]
+    own, want = [np.zeros((2, 4))] * 4, []
+    for number in range(1, 6):
+        for k, (low, high) in enumerate(cuts):
+            for start in range(low, high, 8):
+                stop = min(start + 8, high)
+                own[k] = step(own[k], x[start:stop], y[start:stop])
+        mean = sum(own) / 4
+        averaged = number % every == 0 or number == 5
+        own = [mean] * 4 if averaged else own
+        right = (np.hstack([x, np.ones((103, 1))]) @ mean.T).argmax(axis=1) == y
+        want.append((number, averaged, pytest.approx(100 * right.mean(), abs=0.01)))
+    assert [tuple(r) for r in got] == want
+
+
+def test_the_log_of_a_stream_stays_short(spark):
+    """What is folded leaves the log; what waits is read again until it is due."""
+    out = new_folder(spark, "short")
+    kind = "account long, ts long, id long, op string, amount decimal(18,2)"
+    for version, rows in enumerate([[(1, 5), (2, 50)], [], [(3, 60), (4, 41)], [(5, 200)]]):
+        batch = [(1, ts, i, "deposit", Decimal(1)) for i, ts in rows]
+        sinks.save_snapshot(spark.createDataFrame(batch, kind), f"{out}/ops", version)
+        jobs.settle_accounts(spark, out, "100.00", "20.00", 10)
+        assert sinks.versions(spark, f"{out}/ops") == []
+        assert sinks.versions(spark, f"{out}/waiting") == [version]
+    state, = jobs.account_states(spark, out).collect()
+    assert (int(state["balance"]), state["accepted"]) == (104, 4) and jobs.late_operations(spark, out).count() == 0
+    jobs.settle_accounts(spark, out, "100.00", "20.00", 0)
+    assert jobs.account_states(spark, out).first()["accepted"] == 4
+
+
 def test_workers_need_no_copy_of_the_package(tmp_path):
     """A driver elsewhere: its Python workers cannot import loomwork."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
