@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -45,15 +48,35 @@ def flat_map_rows(df: DataFrame, function: Callable[[tuple], Iterator[tuple]], s
     return df.mapInPandas(named, schema)
 
 
+MODELS = "_loomwork_models"     # where a worker process keeps what it has loaded
+KEPT_MODELS = 2
+
+
+def _loaded(token: str, load: Callable[[], Callable]) -> Callable:
+    """The model of a job, loaded once per worker process; the last few stay.
+
+    Functions reach a worker by value, with globals of their own in every task, so the
+    models are kept in a module that the process makes for them.
+    """
+    models = sys.modules.setdefault(MODELS, ModuleType(MODELS)).__dict__.setdefault("by_token", {})
+    if token not in models:
+        while len(models) >= KEPT_MODELS:
+            del models[next(iter(models))]
+        models[token] = load()
+    return models[token]
+
+
 def batch_score(df: DataFrame, key: str, features: str,
                 load: Callable[[], Callable[[np.ndarray], np.ndarray]],
                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, keep..., pred, confidence): ``load`` builds the model once per task, which then scores batches.
+    """(key, keep..., pred, confidence): ``load`` builds the model once per worker process, which then scores batches.
 
     The model maps an (n, d) matrix to (n, classes) logits.
     """
+    token = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model = _loaded(token, load)
         for batch in batches:
             if batch.empty:
                 continue

@@ -151,7 +151,26 @@ def test_compacted_snapshots(spark):
     assert got == {k: k % 7 for k in range(10)}
 
 
-def test_batch_score_loads_once_per_task(spark):
+def test_batch_score_loads_once_per_worker(spark, tmp_path):
+    """Many tasks, few worker processes: each process loads once, and again for another job's model."""
+    df = spark.range(4000, numPartitions=40).select("id", F.array(F.col("id").cast("double")).alias("v"))
+
+    def scored(sign, folder):
+        folder.mkdir()
+
+        def load():
+            import os
+            import tempfile
+            os.close(tempfile.mkstemp(prefix=f"{os.getpid()}-", dir=folder)[0])
+            return lambda x: np.hstack([sign * x, -sign * x])
+        rows = inference.batch_score(df, "id", "v", load).where("id > 0").groupBy("pred").count().collect()
+        loads = [f.name.split("-")[0] for f in folder.iterdir()]
+        assert len(loads) == len(set(loads)) < 40
+        return [tuple(r) for r in rows]
+    assert scored(1, tmp_path / "up") == [(0, 3999)] and scored(-1, tmp_path / "down") == [(1, 3999)]
+
+
+def test_batch_score(spark):
     df = spark.range(100, numPartitions=2).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
     load = inference.linear_model([[0.0, 0.0], [1.0, -49.5]], [0.0, 0.0])
     got = {r["id"]: (r["pred"], r["confidence"]) for r in inference.batch_score(df, "id", "v", load).collect()}
