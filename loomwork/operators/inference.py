@@ -9,7 +9,7 @@ from types import ModuleType
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,21 @@ def flat_map_rows(df: DataFrame, function: Callable[[tuple], Iterator[tuple]], s
     return df.mapInPandas(named, schema)
 
 
+def lateral_rows(df: DataFrame, function: Callable[..., Iterator[tuple]], arguments: list[str | Column],
+                 schema: str) -> DataFrame:
+    """All columns of ``df`` beside the rows (of ``schema``) that a user function gives for its arguments.
+
+    A table function joined laterally: only the arguments travel to Python, in Arrow
+    batches, and a row for which nothing comes has no row.
+    """
+    class Rows:
+        def eval(self, *values):
+            yield from function(*values)
+
+    table = F.udtf(Rows, returnType=schema, useArrow=True)
+    return df.lateralJoin(table(*[(F.col(a) if isinstance(a, str) else a).outer() for a in arguments]))
+
+
 MODELS = "_loomwork_models"     # where a worker process keeps what it has loaded
 KEPT_MODELS = 2
 

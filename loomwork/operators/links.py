@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.functions import html
 from loomwork.session import materialize
 
 DEFAULT_LINKS = 4  # fixed value: the cap of pages found by the crawl itself
@@ -54,20 +57,56 @@ def follow_cap(edges: DataFrame, max_links: int) -> DataFrame:
             .drop("_last"))
 
 
+def page_links(pages: DataFrame, max_links: int | None = None) -> DataFrame:
+    """(src, ordinal, href, dst) from pages (url, html): every link with its absolute address, relative ones resolved.
+
+    With ``max_links`` only those a crawler follows.  Pages are not shuffled: the cap and
+    the addresses come from the page's own row.
+    """
+    anchors = html.anchors(F.col("html"))
+    linked = F.filter(anchors, lambda a: a["href"].isNotNull()) if max_links is None else html.followed(anchors, max_links)
+    found = pages.select(F.col("url").alias("src"), html.base_address(F.col("html"), F.col("url")).alias("_base"),
+                         linked.alias("_links"))
+    return found.select("src", "_base", F.inline("_links")).select(
+        "src", "ordinal", "href", html.resolve(F.col("_base"), F.col("href")).alias("dst"))
+
+
 def crawl_bounded(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = 1,
                   max_links: int = DEFAULT_LINKS, dedup: bool = False) -> DataFrame:
-    """(url, depth, copies, html): pages a bounded crawl returns, with how often and their body.
+    """(url, depth, copies, html): pages a bounded crawl returns along ``edges`` (src, ordinal, dst), with how often and their body.
 
     ``pages`` is (url, html); of several bodies of a page the least counts.  Pages deeper than ``max_depth`` are returned and not expanded.  The seeds'
     links are capped by ``max_links``, those of later pages by the default cap.
     Only known pages count.  With ``dedup`` a page has one row, its least depth.
     """
+    return _crawl(seeds, lambda cap: follow_cap(edges, cap), pages, max_depth, max_links, dedup)
+
+
+def crawl_pages(seeds: DataFrame, pages: DataFrame, max_depth: int = 1,
+                max_links: int = DEFAULT_LINKS, dedup: bool = False) -> DataFrame:
+    """As ``crawl_bounded``, along the links in the pages themselves.
+
+    An address is known without its fragment; links that are not of the web are not followed.
+    """
+    def bare(name: str) -> Column:
+        return F.regexp_replace(name, "(?s)#.*", "")
+    plain = pages.withColumn("url", bare("url"))
+
+    def followed(cap: int) -> DataFrame:
+        found = page_links(pages, cap).where(html.is_web_link(F.col("dst")))
+        return found.select(bare("src").alias("src"), bare("dst").alias("dst"))
+    return _crawl(seeds.withColumn("url", bare("url")), followed, plain, max_depth, max_links, dedup)
+
+
+def _crawl(seeds: DataFrame, followed: Callable[[int], DataFrame], pages: DataFrame, max_depth: int,
+           max_links: int, dedup: bool) -> DataFrame:
+    """The crawl along the links that ``followed`` gives under a cap."""
     bodies = pages.groupBy("url").agg(F.min("html").alias("html"))
     known = pages.select("url").distinct()
 
     def into_known(max_links: int) -> DataFrame:
         """Followed edges whose target is a known page, written once for all levels."""
-        capped = follow_cap(edges, max_links).select("src", "dst")
+        capped = followed(max_links).select("src", "dst")
         return materialize(capped.join(known, capped["dst"] == known["url"], "left_semi"), "edges")
     seed_edges = into_known(max_links)
     later_edges = seed_edges if max_links == DEFAULT_LINKS else into_known(DEFAULT_LINKS)

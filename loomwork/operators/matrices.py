@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,16 +12,49 @@ from pyspark.sql import functions as F
 from loomwork.operators import scan
 
 TILE = 128  # rows and columns of a block
+ENTRY = [("at", "<i4"), ("v", "<f8")]  # an entry in the bytes of a tile: its place, row by row, and its value
+PACKED_ROWS = 1_000_000  # entries a task packs at a time
+HELD_TILES = 256         # tiles of the result a task adds up at a time, some 40 MB
 RADIX_BITS = 16
 
 
-def _tiled(entries: DataFrame, row: str, column: str, tile: int, names: tuple[str, str, str]) -> DataFrame:
-    """One row per tile that has entries: its place, and row, column and value of each entry in it."""
-    whole = entries.where(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col("v").isNotNull())
-    place = [F.floor(F.col(c) / F.lit(tile)).cast("long").alias(n) for c, n in ((row, names[0]), (column, names[1]))]
-    entry = F.struct((F.pmod(F.col(row), F.lit(tile))).cast("int").alias("r"),
-                     (F.pmod(F.col(column), F.lit(tile))).cast("int").alias("c"), F.col("v").cast("double").alias("v"))
-    return whole.groupBy(*place).agg(F.collect_list(entry).alias(names[2]))
+def _packed(entries: DataFrame, row: str, column: str, tile: int, names: tuple[str, str, str]) -> DataFrame:
+    """One row per tile that has entries: its place, and a list of byte strings that hold its entries.
+
+    Tasks sum and pack what they hold of a tile before the shuffle.
+    """
+    whole = entries.where(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col("v").isNotNull()).select(
+        F.col(row).cast("bigint").alias("r"), F.col(column).cast("bigint").alias("c"), F.col("v").cast("double").alias("v"))
+    kind = np.dtype(ENTRY)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        r, c, v = (np.concatenate([b.column(n).to_numpy(zero_copy_only=False) for b in held]) for n in range(3))
+        up, along = r // tile, c // tile
+        at = (r - up * tile) * tile + (c - along * tile)
+        order = np.lexsort((at, along, up))
+        up, along, at, v = up[order], along[order], at[order], v[order]
+        new_tile = np.append(True, (up[1:] != up[:-1]) | (along[1:] != along[:-1]))
+        first = np.flatnonzero(new_tile | np.append(True, at[1:] != at[:-1]))
+        out = np.empty(len(first), kind)
+        out["at"], out["v"] = at[first], np.add.reduceat(v, first)
+        begin = np.flatnonzero(new_tile[first])
+        ends = np.append(begin, len(first)).astype(np.int32) * kind.itemsize
+        data = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(out.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(up[first][begin]), pa.array(along[first][begin]), data], list(names))
+
+    def pack(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= PACKED_ROWS:
+                yield packed(held)
+                held, rows = [], 0
+        if rows:
+            yield packed(held)
+
+    parts = whole.mapInArrow(pack, f"{names[0]} bigint, {names[1]} bigint, {names[2]} binary")
+    return parts.groupBy(*names[:2]).agg(F.collect_list(names[2]).alias(names[2]))
 
 
 def _product(x: np.ndarray, has_x: np.ndarray, y: np.ndarray, has_y: np.ndarray) -> np.ndarray:
@@ -40,26 +75,39 @@ def relational_matmul(a: DataFrame, b: DataFrame, tile: int = TILE) -> DataFrame
 
     Tiles of A and B meet on their range of k and are multiplied as dense blocks, so
     an index k that fills a row and a column gives a product per pair of tiles and
-    not one per pair of entries.
+    not one per pair of entries.  A tile travels as bytes; a task adds up the products
+    of the same place of the result before they are shuffled.
     """
-    pairs = _tiled(a, "i", "k", tile, ("_i", "_k", "_a")).join(_tiled(b, "k", "j", tile, ("_k", "_j", "_b")), "_k")
-
-    def dense(entries) -> tuple[np.ndarray, np.ndarray]:
-        value, there = np.zeros((tile, tile)), np.zeros((tile, tile))
-        r, c = np.array([e["r"] for e in entries]), np.array([e["c"] for e in entries])
-        np.add.at(value, (r, c), np.array([e["v"] for e in entries]))
-        there[r, c] = 1
-        return value, there
+    pairs = _packed(a, "i", "k", tile, ("_i", "_k", "_a")).join(_packed(b, "k", "j", tile, ("_k", "_j", "_b")), "_k")
+    kind = np.dtype(ENTRY)
+
+    def dense(parts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        entries = np.frombuffer(b"".join(parts.as_py()), kind)
+        value, there = np.zeros(tile * tile), np.zeros(tile * tile, np.float32)
+        np.add.at(value, entries["at"], entries["v"])
+        there[entries["at"]] = 1
+        return value.reshape(tile, tile), there.reshape(tile, tile)
+
+    def rows(sums: dict) -> Iterator[pa.RecordBatch]:
+        for (i, j), (value, there) in sums.items():
+            row, column = np.nonzero(there)
+            # Arrow out: pandas would turn NaN into null.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i * tile + row), pa.array(j * tile + column), pa.array(value[row, column])], ["i", "j", "v"])
 
-    # Arrow out: pandas would turn NaN into null.
     def multiply(batches):
+        sums: dict = {}
         for batch in batches:
-            for i, j, left, right in zip(*[c.to_pylist() for c in batch.columns]):
+            for i, j, left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                         batch.column(2), batch.column(3)):
                 (x, has_x), (y, has_y) = dense(left), dense(right)
-                row, column = np.nonzero(has_x @ has_y)
-                value = _product(x, has_x, y, has_y)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(i * tile + row), pa.array(j * tile + column), pa.array(value[row, column])], ["i", "j", "v"])
+                if (i, j) not in sums and len(sums) >= HELD_TILES:
+                    yield from rows(sums)
+                    sums = {}
+                value, there = sums.setdefault((i, j), (np.zeros((tile, tile)), np.zeros((tile, tile), bool)))
+                value += _product(x, has_x, y, has_y)
+                there |= has_x @ has_y > 0
+        yield from rows(sums)
 
     products = pairs.select("_i", "_j", "_a", "_b").mapInArrow(multiply, "i bigint, j bigint, v double")
     summed = products.groupBy("i", "j").agg(F.sum("v").alias("v"))

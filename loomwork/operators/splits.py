@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.hashing import digest, draw_int
 from loomwork.operators import scan
+from loomwork.session import materialize
 
 _H = "_digest"
 
@@ -92,11 +93,25 @@ def chunk_partitions(df: DataFrame, key: str, chunks: int,
 
 def sample_with_replacement(df: DataFrame, key: str, draws: int, seed: int,
                             rows_per_block: int | None = None) -> DataFrame:
-    """``draws`` rows chosen by repeatable draws; a row may come up more than once."""
-    indexed, rows = scan.dense_index(df, [key], "_idx", rows_per_block)
-    picks = df.sparkSession.range(draws).select(
+    """``draws`` rows chosen by repeatable draws; a row may come up more than once.
+
+    Only keys are ranked.  Rows with a drawn key are then fetched and ranked among
+    themselves, which tells the rows of a repeated key apart.
+    """
+    keys, rows = scan.dense_index(df.select(key), [key], "_idx", rows_per_block)
+    picks = df.sparkSession.range(draws if rows else 0).select(
         F.col("id").alias("draw"), draw_int(rows - 1, F.col("id"), seed).alias("_idx"))
-    return indexed.join(picks, "_idx").drop("_idx")
+    drawn = materialize(keys.join(picks, "_idx"), "drawn")
+    wanted = drawn.select(key).distinct().withColumn("_drawn", F.lit(True))
+
+    def fetched(rows: DataFrame) -> DataFrame:
+        return scan.looked_up(rows, wanted, [key]).where("_drawn").drop("_drawn")
+    found, _ = scan.dense_index(fetched(df), [key], "_at", rows_per_block)
+    first = fetched(keys).groupBy(key).agg(F.min("_idx").alias("_first"))
+    low = found.groupBy(key).agg(F.min("_at").alias("_low"))
+    places = scan.looked_up(scan.looked_up(drawn, first, [key]), low, [key]).select(
+        "draw", (F.col("_low") + F.col("_idx") - F.col("_first")).alias("_at"))
+    return found.join(places, "_at").drop("_at")
 
 
 def sort_top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:

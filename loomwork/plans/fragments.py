@@ -53,6 +53,26 @@ anchors AS (SELECT page_id, url, ordinal,
             regexp_extract(tag, '\shref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3, 'i'), '&amp;', '&') END AS href
   FROM listed)"""
 
+# (src, ordinal, href, dst): absolute addresses of the links and of a folder above each, as RFC 3986 resolves them
+RESOLVED = ANCHORS + r""",
+links AS (SELECT url AS src, ordinal, href FROM anchors WHERE href IS NOT NULL
+  UNION ALL SELECT url, -ordinal, '..' || href || '/./?n=' || ordinal FROM anchors WHERE href IS NOT NULL),
+cut AS (SELECT src, ordinal, href,
+  regexp_extract(href, '^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$', ['s', 'a', 'p', 'q', 'f'], 's') AS r,
+  regexp_extract(src, '^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$', ['s', 'a', 'p', 'q', 'f'], 's') AS b
+  FROM links),
+joined AS (SELECT *, CASE WHEN r.s <> '' OR r.a <> '' OR r.p[1] = '/' THEN r.p WHEN r.p = '' THEN b.p
+  ELSE regexp_extract(CASE WHEN b.p = '' THEN '/' ELSE b.p END, '^(.*/)?', 0, 's') || r.p END AS path FROM cut),
+walked AS (SELECT *, string_split(path[2:], '/') AS seg, list_reduce(
+  list_transform(string_split(path[2:], '/'), lambda x: [x]),
+  lambda acc, x: CASE WHEN x[1] = '.' THEN acc WHEN x[1] = '..' THEN acc[:-2] ELSE acc || x END, []::VARCHAR[]) AS kept
+  FROM joined),
+resolved AS (SELECT src, ordinal, href, CASE WHEN r.s <> '' THEN r.s ELSE b.s END ||
+  CASE WHEN r.s <> '' OR r.a <> '' THEN r.a ELSE b.a END ||
+  CASE WHEN r.p <> '' AND path LIKE '/%' AND contains(path, '/.') THEN
+    '/' || array_to_string(CASE WHEN seg[-1] IN ('.', '..') THEN kept || [''] ELSE kept END, '/') ELSE path END ||
+  CASE WHEN r.s || r.a || r.p || r.q = '' THEN b.q ELSE r.q END || r.f AS dst FROM walked)"""
+
 # (src, ordinal, dst)
 EDGES = ANCHORS + """,
 edges AS (SELECT a.url AS src, a.ordinal, t.url AS dst FROM anchors a

@@ -24,9 +24,9 @@ def _text_shape(batch: pd.DataFrame) -> pd.DataFrame:
                          "longest": words.map(lambda w: max(map(len, w), default=0)).astype("int64")})
 
 
-def _lines(row):
-    for number, line in enumerate(row.text.split("\n")):
-        yield row.doc_id, number, len(line)
+def _lines(text):
+    for number, line in enumerate(text.split("\n") if text is not None else ()):
+        yield number, len(line)
 
 
 @query("map_rows", r"""
@@ -41,8 +41,7 @@ def map_rows(spark, d):
 SELECT doc_id, unnest(range(len(l))) AS line, unnest(list_transform(l, lambda x: length(x)))::BIGINT AS n_chars
 FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)""")
 def flat_map_rows(spark, d):
-    return inference.flat_map_rows(t.texts(spark, d), _lines,
-                                   "doc_id long, line long, n_chars long")
+    return inference.lateral_rows(t.texts(spark, d), _lines, ["text"], "line long, n_chars long").drop("text")
 
 
 def _centroids(spark, d):

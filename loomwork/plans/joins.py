@@ -45,6 +45,17 @@ def extract_links(spark, d):
         "page_id", F.inline(html.followed(F.col("anchors"), links.DEFAULT_LINKS)))
 
 
+@query("resolve_relative", f"WITH {S.RESOLVED} SELECT src, ordinal, href, dst FROM resolved")
+def resolve_relative(spark, d):
+    # The table's links all begin with a slash: a second form of each leads out of a folder.
+    found = links.page_links(t.spread(t.load(spark, d, "pages").select("url", "html")))
+    above = F.concat(F.lit(".."), F.col("href"), F.lit("/./?n="), F.col("ordinal"))
+    forms = F.array(F.struct("ordinal", "href", "dst"),
+                    F.struct((-F.col("ordinal")).alias("ordinal"), above.alias("href"),
+                             html.resolve(F.col("src"), above).alias("dst")))
+    return found.select("src", F.inline(forms))
+
+
 @query("expand_links", f"""
 WITH {S.EDGES} SELECT dst AS url, 1::INTEGER AS depth, count(*) AS copies FROM edges GROUP BY dst""")
 def expand_links(spark, d):

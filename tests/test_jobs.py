@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomwork.functions import html
 from loomwork.functions.hashing import draw_int
 from loomwork.operators import inference, ledger, links, series, splits, training
 from loomwork.session import materialize, new_folder, only_kept, release
@@ -77,6 +78,40 @@ def test_crawl(spark):
     assert once == {"a": 0, "b": 1, "c": 1}
 
 
+def test_links_resolve_as_the_standard_says(spark):
+    """The examples of RFC 3986, section 5.4, and white space."""
+    wanted = {
+        "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g",
+        "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s",
+        "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/",
+        "./": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g",
+        "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.",
+        "..g": "http://a/b/c/..g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h",
+        "mailto:a@b": "mailto:a@b", " /x\n": "http://a/x"}
+    df = spark.createDataFrame(list(wanted.items()), "href string, wanted string")
+    got = df.select("href", html.resolve(F.lit("http://a/b/c/d;p?q"), F.col("href")).alias("url")).collect()
+    assert {r["href"]: r["url"] for r in got} == wanted
+    edge = spark.createDataFrame([("http://a", "g"), ("http://a", "?y"), (None, "g"), ("http://a", None)], "b string, h string")
+    assert [r[0] for r in edge.select(html.resolve(F.col("b"), F.col("h"))).collect()] == ["http://a/g", "http://a?y", None, None]
+
+
+def test_crawl_follows_the_links_of_pages(spark):
+    """Relative links, a base, fragments, foreign schemes, a cap, a page held twice and one without a body."""
+    pages = spark.createDataFrame([
+        ("http://h/a/one", '<a href="two#x">2</a><a href="/b/three?q=1">3</a><a href="mailto:x@h">m</a><a name="n">'),
+        ("http://h/a/two", '<base href="../b/"><a href="three?q=1">3</a><a href="two">none</a>'),
+        ("http://h/b/three?q=1", '<a href="../a/one#top">1</a>'), ("http://h/b/three?q=1", "<p>"),
+        ("http://h/none", None)], "url string, html string")
+    seeds = spark.createDataFrame([("http://h/a/one#here",), ("http://h/none",)], "url string")
+    got = {(r["url"][9:], r["depth"]): r["copies"] for r in links.crawl_pages(seeds, pages).collect()}
+    assert got == {("a/one", 0): 1, ("none", 0): 1, ("a/two", 1): 1, ("b/three?q=1", 1): 1,
+                   ("b/three?q=1", 2): 1, ("a/one", 2): 1}
+    capped = {(r["url"][9:], r["depth"]) for r in links.crawl_pages(seeds, pages, max_links=0, max_depth=0).collect()}
+    assert capped == {("a/one", 0), ("none", 0), ("a/two", 1)}
+    once = links.crawl_pages(seeds, pages, dedup=True).collect()
+    assert len(once) == 4 and links.crawl_pages(seeds, pages.limit(0)).collect() == []
+
+
 def test_lookups(spark):
     items = spark.createDataFrame([(i,) for i in range(4)], "k int")
     table = spark.createDataFrame([(i, f"v{i}") for i in (0, 1, 2)], "k int, v string")
@@ -184,6 +219,29 @@ def test_flat_map_of_nothing(spark):
     assert sorted(r["w"] for r in got) == ["a", "b"]
 
 
+def test_lateral_rows(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "id long, t string")
+
+    def words(key, text):
+        for word in (text or "").split():
+            yield word, {word: key}, Decimal(len(word))
+    rows = inference.lateral_rows(df, words, ["id", F.col("t")], "w string, m map<string,bigint>, n decimal(18,2)").collect()
+    assert [(r["id"], r["t"], r["w"], r["m"], int(r["n"])) for r in rows] == [
+        (1, "a b", "a", {"a": 1}, 1), (1, "a b", "b", {"b": 1}, 1)]
+    assert inference.lateral_rows(df.limit(0), words, ["id", "t"], "w string, m map<string,bigint>, n decimal(18,2)").collect() == []
+
+
+def test_draws_of_repeated_and_null_keys(spark):
+    """Every row can come up, rows that share a key or have none included."""
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (1, "d"), (1, "e"), (2, "f")], "k long, v string")
+    for limit in (None, 2):
+        drawn = splits.sample_with_replacement(df, "k", 200, 3, limit).collect()
+        assert sorted(r["draw"] for r in drawn) == list(range(200))
+        assert {r["v"] for r in drawn} == set("abcdef")
+        assert {(r["k"], r["v"]) for r in drawn} <= {(r["k"], r["v"]) for r in df.collect()}
+    assert splits.sample_with_replacement(df.limit(0), "k", 9, 3).collect() == []
+
+
 def test_training_learns(spark):
     df = spark.range(300).select(
         "id", (F.col("id") % 2).cast("int").alias("label"),
