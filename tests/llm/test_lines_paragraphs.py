@@ -287,3 +287,22 @@ def test_anchors_do_not_depend_on_what_surrounds_them():
             found = paragraphs.Units(pa.array([text]), 10 ** 9, 20, 32)
             held.append({tuple(text.split()[k:k + 20]) for k in found.place})
         assert held[0] & held[1]
+
+
+def test_chains_put_together_give_the_same_spans(documents, monkeypatch):
+    """A passage at several distances from its other place, with an edit and far repeats: as with a chain per run."""
+    rng = np.random.default_rng(4)
+
+    def words(n):
+        return [f"w{k}" for k in rng.integers(0, 10_000, n)]
+    shared, other = words(300), words(120)
+    edited = [*shared[:150], "edit", *shared[150:]]
+    docs = documents([(1, " ".join([*words(40), *shared, *words(400), *other])),
+                      (2, " ".join([*edited, *words(10), *shared[:90], *words(700), *shared, *other])),
+                      (3, " ".join([*other, *words(5), *other, *words(30), *shared[100:200]]))])
+
+    def found():
+        return sorted(tuple(r) for r in paragraphs.repeated_units(docs).collect())
+    together = found()
+    monkeypatch.setattr(paragraphs, "_gathered", lambda pair, low, high, around: np.arange(len(pair)))
+    assert together == found() and len(together) >= 5
