@@ -1,12 +1,17 @@
 """Operator 8, line dedup by runs of lines, or by content-defined chunks of lines.
 
-``dedup_runs`` removes every repeated run of two or more lines whole.  Each line and
-the next one that is not blank make a pair, at every offset, known by a 128-bit
-cryptographic digest of its bytes (blank lines between included).  A pair stays where
-it occurs first (smallest id, then place); elsewhere both lines go.  A run that
-stands elsewhere is the union of its pairs, so all of it goes and no line beyond it,
-and of every line one copy stays.  Blank lines do not count as lines of a run.
-Single lines stay.  Rows that share an id lose a pair only where they hold it.
+``dedup_runs`` removes every repeated run of two or more lines whole.  Texts are cut
+into content-defined chunks (below).  A chunk with two lines or more that occurs again
+goes where it is not the first (smallest id, then place).  So that no run is lost to the
+borders, matches go on line by line: each line and the next one that is not blank
+make a pair (blank lines between included), compared at every offset of the
+chunks' first places and across all borders.  A pair stays where it occurs first;
+elsewhere both lines go.  A run that stands elsewhere is the union of its pairs, so
+all of it goes and no line beyond it, and of every line one copy stays; where the
+borders are makes no difference.  Blank lines do not count as lines of a run.  Single
+lines stay.  Rows that share an id lose a stretch only where they hold it.
+Chunks and pairs whose 128-bit digest repeats are candidates; their bytes are fetched
+from the texts and compared, and only what equals the first place goes.
 
 ``dedup_lines`` compares chunks only, which is coarser: a text is cut into lines and every line hashed.  A rolling hash over the last
 ``span`` line hashes decides where a chunk ends (when it falls into one of
@@ -32,7 +37,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm import vectorwords as vw
@@ -197,57 +202,117 @@ class Pairs:
         start = np.unique(np.concatenate([offsets[:-1][filled], newline]))
         self.start = start[start < len(data)]
         self.end = np.append(self.start[1:], len(data))[:len(self.start)]
-        bare = self.end - (data[self.end - 1] == 0x0A)
+        self.bare = self.end - (data[self.end - 1] == 0x0A)
         text = np.searchsorted(offsets, self.start, side="right") - 1
         self.first = np.searchsorted(text, np.arange(len(offsets)))
         letters = np.concatenate([[0], np.cumsum(~vw.IS_SPACE[data])])
         full = np.flatnonzero(letters[self.end] > letters[self.start])
         a, b = full[:-1], full[1:]
         same = text[a] == text[b]
-        self.upper, self.lower = a[same], b[same]
-        self.text = text[self.upper]
-        self.place = self.upper - self.first[self.text]
-        self.from_byte, self.to_byte = self.start[self.upper], bare[self.lower]
+        self.upper, self.lower, self.text = a[same], b[same], text
         self.raw = memoryview(np.ascontiguousarray(data))
 
-    def digests(self, which: np.ndarray) -> np.ndarray:
-        """128 bits of each pair as two columns of long."""
+    def bytes(self, first: int, last: int) -> memoryview:
+        """A stretch of lines without the line end of the last."""
+        return self.raw[self.start[first]:self.bare[last]]
+
+    def digests(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """128 bits of each stretch of lines as two columns of long."""
         raw = self.raw
-        found = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(
-            self.from_byte[which].tolist(), self.to_byte[which].tolist())])
+        found = b"".join([digest(raw[a:b]) for a, b in zip(self.start[first].tolist(), self.bare[last].tolist())])
         return np.frombuffer(found, dtype="<i8").reshape(-1, 2)
 
 
-def pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, place, k1, k2) of every pair of lines."""
+def digest(raw: memoryview) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+INNER = pa.struct([("place", pa.int64()), ("last", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
+SPOT = ["place", "last", "k1", "k2"]
+
+
+def stretches(docs: DataFrame, key: str, text: str, span: int, every: int, most: int) -> DataFrame:
+    """(id, place, last, k1, k2, inner): content-defined chunks and the pairs of lines that cross a border.
+
+    A chunk reaches from its first to its last line that is not blank; ``inner`` are the
+    pairs within, by lines after ``place``.  A pair across a border has no inner ones.
+    """
     def work(batches):
         for batch in vw.slices(batches):
-            found = Pairs(*vw.column_bytes(batch.column(1)))
-            keys = found.digests(np.arange(len(found.text)))
+            data, offsets = vw.column_bytes(batch.column(1))
+            found, cut = Pairs(data, offsets), Chunks(data, offsets, span, every, most)
+            chunk = np.repeat(np.arange(len(cut.lines)), cut.lines)
+            own = chunk[found.upper]
+            within = own == chunk[found.lower]
+            keys = found.digests(found.upper, found.lower)
+            own, a, b, inner = own[within], found.upper[within], found.lower[within], keys[within]
+            begins = np.flatnonzero(np.diff(own, prepend=-1))
+            ends = np.append(begins[1:], len(own))[:len(begins)]
+            first = np.concatenate([a[begins], found.upper[~within]])
+            last = np.concatenate([b[ends - 1], found.lower[~within]])
+            keys = np.concatenate([found.digests(a[begins], b[ends - 1]), keys[~within]])
+            base = np.repeat(a[begins], ends - begins)
+            lists = np.concatenate([[0], ends, np.full(len(first) - len(begins), len(own))])
+            items = pa.StructArray.from_arrays(
+                [pa.array(x, pa.int64()) for x in (a - base, b - base, inner[:, 0], inner[:, 1])], fields=list(INNER))
+            text_of = found.text[first]
+            columns = [x - found.first[text_of] for x in (first, last)] + [keys[:, 0], keys[:, 1]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(found.text)), pa.array(found.place, pa.int64()),
-                 pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["id", "place", "k1", "k2"])
+                [batch.column(0).take(pa.array(text_of)), *[pa.array(x, pa.int64()) for x in columns],
+                 pa.ListArray.from_arrays(pa.array(lists, pa.int32()), items)], ["id", *SPOT, "inner"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.where("id is not null").mapInArrow(work, "id bigint, place bigint, k1 bigint, k2 bigint")
+    return rows.where("id is not null").mapInArrow(
+        work, "id bigint, place bigint, last bigint, k1 bigint, k2 bigint, "
+              "inner array<struct<place: bigint, last: bigint, k1: bigint, k2: bigint>>")
 
 
-def _without_pairs(column: pa.Array, gone: list[list[dict] | None]) -> tuple[pa.Array, np.ndarray]:
-    """The texts without the lines of the given pairs, and the lines that went."""
+def candidates(docs: DataFrame, key: str, text: str, span: int, every: int, most: int) -> DataFrame:
+    """(id, place, last, k1, k2): chunks whose digest repeats, and pairs whose digest repeats elsewhere.
+
+    Of the pairs within chunks only those of a chunk's first place take part, as
+    they go with the whole chunk at the others.
+    """
+    place, same = F.struct("id", "place"), ["k1", "k2"]
+    found = materialize(stretches(docs, key, text, span, every, most), "stretches")
+    chunk = found.where(F.size("inner") > 0)
+    whole = materialize(chunk.groupBy(*same).agg(
+        F.count("*").alias("n"), F.min(place).alias("first"), F.min_by("inner", place).alias("inner")), "chunks")
+    within = whole.select("first", F.explode("inner").alias("e")).select(
+        F.col("first.id").alias("id"), *[(F.col("first.place") + F.col(f"e.{c}")).alias(c) for c in ("place", "last")],
+        "e.k1", "e.k2")
+    pairs = found.where(F.size("inner") == 0).select("id", *SPOT).unionByName(within)
+    again = materialize(pairs.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").select(*same), "repeated")
+    copies = chunk.select("id", *SPOT).join(whole.where("n > 1").select(*same), same)
+    return pairs.join(again, same).unionByName(copies).select("id", *SPOT)
+
+
+def _held(found: Pairs, row: int, spots: list[dict]) -> list[tuple[dict, memoryview]]:
+    """The stretches that a row has at the given places; rows that share an id may hold other lines there."""
+    begin, size = int(found.first[row]), int(found.first[row + 1] - found.first[row])
+    out = []
+    for s in spots:
+        if s["last"] < size:
+            raw = found.bytes(begin + s["place"], begin + s["last"])
+            if np.frombuffer(digest(raw), "<i8").tolist() == [s["k1"], s["k2"]]:
+                out.append((s, raw))
+    return out
+
+
+def _without_stretches(column: pa.Array, ids: list[int | None],
+                       gone: list[list[dict] | None]) -> tuple[pa.Array, np.ndarray]:
+    """The texts without the given stretches, and the lines that went."""
     found = Pairs(*vw.column_bytes(column))
     texts, lost = column.to_pylist(), np.zeros(len(gone), dtype=np.int64)
-    begins = np.searchsorted(found.text, np.arange(len(gone) + 1))
     for i, spots in enumerate(gone):
         if not spots:
             continue
-        wanted = {(s["place"], s["k1"], s["k2"]) for s in spots}
-        own = np.arange(begins[i], begins[i + 1])
-        own = own[np.isin(found.place[own], [s["place"] for s in spots])]
         first, last = int(found.first[i]), int(found.first[i + 1])
         out = np.zeros(last - first, dtype=bool)
-        for at, (k1, k2) in zip(own.tolist(), found.digests(own).tolist()):
-            if (int(found.place[at]), k1, k2) in wanted:     # rows that share an id may hold other lines there
-                out[found.upper[at] - first:found.lower[at] - first + 1] = True
+        for s, raw in _held(found, i, spots):
+            own = (ids[i], s["place"])
+            if s["texts"] is None or any(t["bytes"] == raw and (t["id"], t["place"]) != own for t in s["texts"]):
+                out[s["place"]:s["last"] + 1] = True
         rest = b"".join([found.raw[found.start[k]:found.end[k]] for k in (first + np.flatnonzero(~out)).tolist()])
         if out[-1:].any() and rest.endswith(b"\n"):
             rest = rest[:-1]       # the line end before a removed tail
@@ -256,28 +321,53 @@ def _without_pairs(column: pa.Array, gone: list[list[dict] | None]) -> tuple[pa.
     return pa.array(texts, pa.string()), lost
 
 
-def dedup_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
+def dedup_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = None, span: int = SPAN,
+               every: int = EVERY, most: int = MOST) -> DataFrame:
     """All columns of ``docs``, the text without repeated runs of lines; ``count`` names a column for the lines removed."""
     names = docs.columns
     at = names.index(text)
-    id_, mark = unused(docs, "_id"), unused(docs, "_gone")
-    spots = materialize(pairs(docs, key, text), "pairs")
-    place, same = F.struct("id", "place"), ["k1", "k2"]
-    firsts = materialize(spots.groupBy(*same).agg(F.count("*").alias("n"), F.min(place).alias("first"))
-                         .where("n > 1").drop("n"), "repeated")
-    gone = spots.join(firsts, same).where(place != F.col("first")).groupBy(F.col("id").alias(id_)).agg(
-        F.collect_set(F.struct("place", *same)).alias(mark))
-    marked = docs.withColumn(id_, F.col(key).cast("bigint")).join(gone, id_, "left").select(*names, mark)
+    id_, mark = unused(docs, "_id"), unused(docs, "_spots")
+    own = docs.withColumn(id_, F.col(key).cast("bigint"))
+    spots = materialize(candidates(docs, key, text, span, every, most), "candidates")
+
+    def marked(by_id: DataFrame, entry: Column) -> DataFrame:
+        # both joins have the same left side, so texts are shuffled once
+        lists = by_id.groupBy(F.col("id").alias(id_)).agg(F.collect_set(entry).alias(mark))
+        return own.join(lists, id_, "left").select(*names, id_, mark)
+
+    def contents(batches):
+        for batch in vw.slices(batches, text):
+            lists, ids = batch.column(len(names) + 1).to_pylist(), batch.column(len(names)).to_pylist()
+            if not any(lists):
+                continue
+            found = Pairs(*vw.column_bytes(batch.column(at)))
+            rows = [(ids[i], *[s[c] for c in SPOT], bytes(raw))
+                    for i, held in enumerate(lists) if held for s, raw in _held(found, i, held)]
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [[]] * 6, kinds)], ["id", *SPOT, "bytes"])
+
+    same = ["k1", "k2"]
+    held = marked(spots, F.struct(*SPOT)).mapInArrow(
+        contents, "id bigint, place bigint, last bigint, k1 bigint, k2 bigint, bytes binary")
+    # one row per digest with its byte strings and where each stands first: in general one
+    texts = held.groupBy(*same, "bytes").agg(F.min(F.struct("id", "place")).alias("first")).groupBy(*same).agg(
+        F.collect_list(F.struct("first.id", "first.place", "bytes")).alias("texts"))
+    alone = F.size("texts") == 1
+    confirmed = texts.select(*same, F.when(alone, F.struct(F.col("texts")[0]["id"], F.col("texts")[0]["place"])).alias(
+        "first"), F.when(~alone, F.col("texts")).alias("texts"))
+    gone = spots.join(confirmed, same).where(
+        F.col("first").isNull() | (F.struct("id", "place") != F.col("first")))
     fields = [f"`{n}` {t}" for n, t in docs.dtypes] + ([f"`{count}` bigint"] if count else [])
 
     def work(batches):
         for batch in vw.slices(batches, text):
             columns = [*batch.columns[:len(names)]]
-            lists = batch.column(len(names)).to_pylist()
+            lists = batch.column(len(names) + 1).to_pylist()
             lost = np.zeros(batch.num_rows, dtype=np.int64)
             if any(lists):
-                columns[at], lost = _without_pairs(columns[at], lists)
+                columns[at], lost = _without_stretches(columns[at], batch.column(len(names)).to_pylist(), lists)
             extra = [pa.array(lost, pa.int64())] if count else []
             yield pa.RecordBatch.from_arrays(columns + extra, names + ([count] if count else []))
 
-    return marked.mapInArrow(work, ", ".join(fields))
+    return marked(gone, F.struct(*SPOT, "texts")).mapInArrow(work, ", ".join(fields))

@@ -1,6 +1,7 @@
 """Operators 8 and 4: repeated chunks of lines and repeated paragraphs."""
 
 import random
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -230,6 +231,38 @@ def test_runs_of_rows_that_share_an_id(documents):
     assert line_chunks.dedup_runs(docs.limit(0)).collect() == []
 
 
+def test_runs_are_compared_byte_by_byte(documents, monkeypatch):
+    """With one digest for everything only equal bytes go."""
+    class Same:
+        def __init__(self, raw, digest_size):
+            self.size = digest_size
+
+        def digest(self):
+            return bytes(self.size)
+
+    monkeypatch.setattr(line_chunks, "hashlib", types.SimpleNamespace(blake2b=Same))
+    docs = documents(["a 1\nb 2", "c 3\nd 4", "a 1\nb 2", "c 3\nd 4", "e 5\nf 6"])
+    assert {r["doc_id"]: r["text"] for r in line_chunks.dedup_runs(docs).collect()} == {
+        0: "a 1\nb 2", 1: "c 3\nd 4", 2: "", 3: "", 4: "e 5\nf 6"}
+
+
+@pytest.mark.parametrize("every,most", [(1, 64), (4, 3), (10 ** 9, 10 ** 9)])
+def test_borders_of_chunks_lose_no_run(documents, every, most):
+    """op8: chunks of two lines, of three and of whole texts leave the same."""
+    draw = random.Random(8)
+    pool = [f"line {k} of the pool" if k % 5 else "" for k in range(40)]
+    texts = {}
+    for i in range(50):
+        start = draw.randrange(30)
+        texts[i] = "\n".join([f"own {i}"] * draw.randrange(3) + pool[start:start + draw.randrange(12)] + pool[:draw.randrange(9)])
+    lines, gone = repeated_lines(texts)
+    rows = {r["doc_id"]: r for r in line_chunks.dedup_runs(
+        documents(list(texts.items())), count="n", every=every, most=most).collect()}
+    for i in filter(texts.get, texts):
+        want = [x for k, x in enumerate(lines[i]) if k not in gone[i]]
+        assert [x for x in rows[i]["text"].split("\n") if x] == [x for x in want if x] and rows[i]["n"] == len(gone[i])
+
+
 def test_short_lines_are_units(documents):
     """op4: repeated lines below 30 words, also below a shingle, are rows and go from the text."""
     draw = random.Random(17)
