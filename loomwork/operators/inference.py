@@ -9,11 +9,14 @@ from types import ModuleType
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.functions import text as tx
+from loomwork.session import materialize
 
 
 def map_rows(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -114,12 +117,34 @@ def linear_model(weights: list[list[float]], bias: list[float]) -> Callable:
     return load
 
 
-def summarize(df: DataFrame, key: str, column: str, most: int = 15) -> DataFrame:
-    """(key, words): the document's most frequent words, in the order they first appear.
+def _most_frequent(lists: pa.Array, most: int) -> pa.Array:
+    """The ``most`` most frequent entries of each list, in the order they first appear; ties by that order."""
+    flat = lists.flatten()
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    coded = flat.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    tagged = np.repeat(np.arange(len(size)), size) * max(1, len(coded.dictionary)) + codes
+    _, first, n = np.unique(tagged, return_index=True, return_counts=True)
+    row = np.searchsorted(np.cumsum(size), first, side="right")
+    order = np.lexsort((first, -n, row))
+    place = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+    kept = np.sort(first[order[place < most]])
+    ends = np.searchsorted(kept, np.cumsum(size))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), flat.take(pa.array(kept)))
+
+
+def _summarize_rows(df: DataFrame, key: str, column: str, most: int) -> DataFrame:
+    """(key, words) of every row for itself, where it lies."""
+    def work(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _most_frequent(batch.column(1), most)], [key, "words"])
 
-    The whole text counts; words are counted per document before the shuffle.  A
-    document without words has an empty list.
-    """
+    words = F.coalesce(tx.lower_words(F.col(column)), F.array().cast("array<string>"))
+    return df.select(key, words.alias("words")).mapInArrow(work, f"`{key}` {dict(df.dtypes)[key]}, words array<string>")
+
+
+def _summarize_keys(df: DataFrame, key: str, column: str, most: int) -> DataFrame:
+    """(key, words) of all rows of a key together; words are counted per key before the shuffle."""
     words = df.select(key, F.posexplode_outer(tx.lower_words(F.col(column))).alias("pos", "word"))
     counted = words.groupBy(key, "word").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "first"))
@@ -129,6 +154,23 @@ def summarize(df: DataFrame, key: str, column: str, most: int = 15) -> DataFrame
         F.array_sort(F.collect_list(entry)), lambda e: e["word"]).alias("words"))
 
 
+def summarize(df: DataFrame, key: str, column: str, most: int = 15) -> DataFrame:
+    """(key, words): the document's most frequent words, in the order they first appear.
+
+    The whole text counts.  A document in one row is summarised where it lies; only
+    those whose key repeats are shuffled, as words and counts.  A document without
+    words has an empty list.
+    """
+    several = materialize(df.groupBy(key).agg(F.count("*").alias("_rows")).where("_rows > 1").select(
+        F.col(key).alias("_several")), "several")
+    rows = _summarize_rows(df, key, column, most)
+    if several.isEmpty():
+        return rows
+    same = F.col(key).eqNullSafe(F.col("_several"))
+    return rows.join(several, same, "left_anti").unionByName(
+        _summarize_keys(df.join(several, same, "left_semi"), key, column, most))
+
+
 def two_stage_inference(df: DataFrame, key: str, column: str, table: dict[str, str], most: int = 15) -> DataFrame:
     """(key, summary, translation): summarise, then translate the summary word by word.
 

@@ -1,6 +1,8 @@
 """Text and chat expressions on literals."""
 
+import collections
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,6 +209,30 @@ def test_two_stages(spark):
         (1, "the cat saw dog and", "le cat saw dog et"), (2, "too short", "too short"), (3, "", ""), (4, "", "")]
 
 
+def test_summaries_of_single_rows_move_no_words(spark):
+    """Documents of one row are summarised without a shuffle, those of several rows as a whole."""
+    draw = random.Random(3)
+    texts = {i: [draw.choice(["The", "the", "cat", "Übung", "a,b", "x\ty"]) + draw.choice(["", str(draw.randrange(9))])
+                 for _ in range(draw.randrange(60))] for i in range(80)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, t string")
+    short = inference.summarize(df, "id", "t", 4)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    assert "Exchange" not in short._jdf.queryExecution().explainString(mode)
+
+    def top(words):
+        n = collections.Counter(words)
+        first = {w: words.index(w) for w in n}
+        return sorted(sorted(n, key=lambda w: (-n[w], first[w]))[:4], key=first.get)
+    want = {i: top(" ".join(t).lower().split()) for i, t in texts.items()}
+    assert {r["id"]: r["words"] for r in short.collect()} == want
+    more = df.unionByName(spark.createDataFrame(
+        [(0, None), (None, "b b c"), (None, "c d c c"), (101, "solo x solo"), (102, "p p q"), (102, "q q r r r r")],
+        "id long, t string"))
+    found = {r["id"]: r["words"] for r in inference.summarize(more, "id", "t", 4).where("id is null or id > 0").collect()}
+    del want[0]
+    assert found == want | {None: ["b", "c", "d"], 101: ["solo", "x"], 102: ["p", "q", "r"]}
+
+
 def test_delimited_files(spark):
     rows = [(1, 'tab\there "quoted"\nnew line', 1.0), (2, None, 0.0), (3, " spaces , kept ", None)]
     path = new_folder(spark, "t")
