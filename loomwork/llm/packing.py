@@ -20,6 +20,7 @@ text columns are used, so further columns cannot clash.
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
 from typing import NamedTuple
 
@@ -53,7 +54,8 @@ class ByteEncoder(dict):
         core = tiktoken.Encoding("pieces", pat_str=pc_text.BYTE_LEVEL_PATTERN, mergeable_ranks=ranks,
                                  special_tokens={})._core_bpe
         self.ranks, self.encode_piece = ranks, core.encode_single_piece
-        self.cutter = pc_text.Cutter(vocabulary.special, pc_text.BYTE_LEVEL_PATTERN)
+        self.cutter = pc_text.Cutter(
+            vocabulary.special, pc_text.BYTE_LEVEL_PATTERN, ascii_pattern=pc_text.BYTE_LEVEL_ASCII)
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= _KNOWN:
@@ -61,7 +63,7 @@ class ByteEncoder(dict):
         raw = piece.encode()
         whole = self.ranks.get(raw)
         ids = self.encode_piece(raw) if whole is None else [whole]
-        out = self[piece] = np.array(ids, dtype="<u4").tobytes()
+        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
     def encode(self, text: str) -> np.ndarray:

@@ -41,6 +41,19 @@ def test_pair_index_equals_library(spark, sf, documents, clashing):
         assert r["decoded_sha256"] == hashlib.sha256(shown.encode()).hexdigest()
 
 
+def test_ascii_pattern_cuts_alike():
+    """op9: texts of ASCII take the faster engine and fall into the same pieces."""
+    cutter = pieces.Cutter({}, pieces.BYTE_LEVEL_PATTERN, ascii_pattern=pieces.BYTE_LEVEL_ASCII)
+    slow = pieces.Cutter({}, pieces.BYTE_LEVEL_PATTERN)
+    draw = random.Random(9)
+    parts = [chr(c) for c in range(128)] + ["'s", "'re", "'ll", " '", "  ", "\n ", "word", "12", "'S", "\r\n"]
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randrange(30)))
+        assert cutter.pieces(text) == slow.pieces(text)
+        assert cutter.find_ascii.__self__ is not slow.find.__self__ and slow.find_ascii is slow.find
+    assert cutter.pieces("é 1") == ["é", " 1"]
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "_KNOWN", 5)
     encoder = bpe.Encoder(pieces.read_vocabulary(WORDS))
