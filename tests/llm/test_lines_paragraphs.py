@@ -1,6 +1,8 @@
 """Operators 8 and 4: repeated chunks of lines and repeated paragraphs."""
 
 import random
+import re
+import time
 import types
 
 import numpy as np
@@ -339,3 +341,42 @@ def test_chains_put_together_give_the_same_spans(documents, monkeypatch):
     together = found()
     monkeypatch.setattr(paragraphs, "_gathered", lambda pair, low, high, around: np.arange(len(pair)))
     assert together == found() and len(together) >= 5
+
+
+def test_disk_of_the_search_is_free_before_passages_are_compared(spark, documents):
+    """op4: no shuffle file of the search is left when the result is about to be read, and no table but two."""
+    store = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+", store.getAllFiles().mkString(" ")))
+    draw = random.Random(29)
+    passages = [prose(draw, 70) for _ in range(12)]
+    docs = documents([f"{prose(draw, 5)}\n{passages[n % 12]} {prose(draw, 9)}" for n in range(36)])
+    before = shuffles()
+    rows = paragraphs.repeated_units(docs)
+    upto = time.time() + 30
+    while shuffles() - before and time.time() < upto:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    read = {re.sub("-[0-9a-f]{32}$", "", f.rsplit("/", 2)[1]) for f in rows.inputFiles()}
+    assert read == {"gone", "stretches"}
+    assert sum(r["kind"] == "passage" for r in rows.collect()) == 24
+
+
+def test_only_documents_asked_for_are_shuffled(spark):
+    """All that are asked for, hardly any other; a null or a repeated id among them changes nothing."""
+    docs = spark.range(-5000, 5000).selectExpr("id doc", "string(id) text")
+    wanted = spark.createDataFrame([(n,) for n in [-5000, -64, 0, 63, 64, 64, 4999, 7_000, None]], "doc bigint")
+    found = {r["doc"] for r in paragraphs._asked_for(docs, wanted).collect()}
+    assert {-5000, -64, 0, 63, 64, 4999} <= found and len(found) < 12
+    assert paragraphs._asked_for(docs.union(docs), wanted).count() == 2 * len(found)
+    assert paragraphs._asked_for(docs, wanted.limit(0)).count() == 0
+
+
+def test_shares_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(paragraphs, "PAIRS", 3)
+    monkeypatch.setattr(paragraphs, "SLICE_BYTES", 100)
+    for sizes in ([], [0], [500], [10] * 10, [90, 20, 500, 0, 0, 0, 0, 100, 1]):
+        found = paragraphs._shares(np.array(sizes, dtype=np.int64))
+        assert [k for at, n in found for k in range(at, at + n)] == list(range(len(sizes)))
+        assert all(1 <= n <= 3 and (n == 1 or sum(sizes[at:at + n - 1]) < 100) for at, n in found)
